@@ -79,8 +79,8 @@ _AT_RISK = ("r <= 2 and f >= 4 and m >= 4", "At Risk High Value")
 _ASLEEP = ("r <= 2 and f <= 2", "Hibernating")
 
 _SID = (
-    "cast('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-    "cast(l_shipdate as date), cast(l_quantity as bigint))), 1, 15) as bigint)"
+    "((l_orderkey * 7 + l_linenumber) * 1000000 "
+    "+ (l_partkey * 1009 + l_suppkey * 13 + cast(l_quantity as bigint)) % 1000000)"
 )
 _KIND = "cast('0x' || substr(md5(p_type), 1, 7) as bigint)"
 _REGION_CODE = "case when length(r_name) > 6 then substr(r_name, 3, 2) else substr(r_name, 1, 2) end"

@@ -30,8 +30,7 @@ def input_bytes(df: DataFrame) -> int | None:
     An operator that only groups, filters or joins on unique keys returns no more rows than its inputs hold, so this
     bounds its result; a source without statistics counts as unlimited.
     """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
-    except Exception:  # no JVM plan behind this frame (for example a remote session)
+    if not hasattr(df, "_jdf"):  # a remote session has no plan on this side
         return None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

@@ -21,6 +21,10 @@ log = logging.getLogger(__name__)
 
 INT_MAX = 2**31 - 1
 
+# Partners that each anchor offers before it is known which anchors have to offer more; any number gives the same
+# result.
+PROBE_DEPTH = 3
+
 
 @dataclass(frozen=True)
 class ModelSettings:
@@ -146,10 +150,12 @@ def heuristic_recommendations(
     a stored result of ``product_pairs``.
 
     Joining every owned product with all of its partners would produce far more candidates than can be ranked among
-    the first ``top_n``.  Instead each anchor first offers its ``top_n`` best partners.  The ``top_n``-th product that
-    is left for a customer after removing owned ones is a floor; an anchor is asked for more only where its own
-    ``top_n``-th partner is still better than that floor, and then only for partners above it.  This drops no
-    candidate that could be ranked.
+    the first ``top_n``.  Instead each anchor first offers its few best partners.  The ``top_n``-th product that is
+    left for a customer after removing owned ones is a floor; an anchor is asked for more only where the last partner
+    it offered is still better than that floor, and then only for partners above it.  This drops no candidate that
+    could be ranked.
+
+    The partner lists and the first candidates are read several times and cost the most, so each is checkpointed.
     """
     n = settings.top_n
     if pairs is None:
@@ -159,11 +165,13 @@ def heuristic_recommendations(
 
     per_anchor = Window.partitionBy("anchor")
     nearest = per_anchor.orderBy(F.desc("line_pairs"), F.asc("related"))
-    partners = pairs.select(
-        "anchor",
-        F.col("related").alias("product_id"),
-        F.col("line_pairs").cast("double").alias("score"),
-        F.row_number().over(nearest).alias("_depth"),
+    partners = checkpointed(
+        pairs.select(
+            "anchor",
+            F.col("related").alias("product_id"),
+            F.col("line_pairs").cast("double").alias("score"),
+            F.row_number().over(nearest).alias("_depth"),
+        )
     )
 
     def not_owned(candidates: DataFrame) -> DataFrame:
@@ -171,13 +179,13 @@ def heuristic_recommendations(
         return candidates.alias("c").join(has.alias("h"), same, "left_anti")
 
     anchors = owned.select("customer_id", F.col("product_id").alias("anchor"))
-    first = not_owned(anchors.join(partners.where(F.col("_depth") <= n), "anchor"))
-    first = _ranked(first.select("customer_id", "product_id", "score"), n)
+    first = not_owned(anchors.join(partners.where(F.col("_depth") <= PROBE_DEPTH), "anchor"))
+    first = checkpointed(_ranked(first.select("customer_id", "product_id", "score"), n))
 
     floor = first.where(F.col("recommendation_rank") == n).select(
         "customer_id", F.col("score").alias("_floor_score"), F.col("product_id").alias("_floor_product")
     )
-    cut = partners.where(F.col("_depth") == n).select(
+    cut = partners.where(F.col("_depth") == PROBE_DEPTH).select(
         "anchor", F.col("score").alias("_cut_score"), F.col("product_id").alias("_cut_product")
     )
 
@@ -190,7 +198,7 @@ def heuristic_recommendations(
         anchors.join(cut, "anchor").join(floor, "customer_id", "left").where(above_floor("_cut_score", "_cut_product"))
     )
     deeper = not_owned(
-        open_anchors.join(partners.where(F.col("_depth") > n), "anchor").where(above_floor("score", "product_id"))
+        open_anchors.join(partners.where(F.col("_depth") > PROBE_DEPTH), "anchor").where(above_floor("score", "product_id"))
     )
     both = first.select("customer_id", "product_id", "score").unionByName(
         deeper.select("customer_id", "product_id", "score")

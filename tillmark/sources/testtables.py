@@ -11,8 +11,23 @@ from pyspark.sql import functions as F
 from tillmark.functions.money import MONEY
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double"
+    ),
+}
+
+
 def _scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """The schema is stated, so that defining a table reads no file."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _text_id(text: Column, digits: int) -> Column:
@@ -22,19 +37,13 @@ def _text_id(text: Column, digits: int) -> Column:
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     lines = _scan(spark, folder, "lineitem")
     orders = _scan(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    line_text = F.concat_ws(
-        "|",
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        F.col("l_shipdate").cast("date").cast("string"),
-        F.col("l_quantity").cast("bigint").cast("string"),
-    )
+    line = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    detail = F.col("l_partkey") * 1009 + F.col("l_suppkey") * 13 + F.col("l_quantity").cast("bigint")
     rate = F.col("l_discount").cast("decimal(4,2)")
+    # Two fact tables: a shuffled join at every size, so that small test data takes the plan that large data takes.
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("SalesID", _text_id(line_text, 15))
+        lines.withColumn("SalesID", line * 1_000_000 + detail % 1_000_000)
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             "SalesID",
             F.col("l_suppkey").alias("SalesPersonID"),
