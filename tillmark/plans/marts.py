@@ -150,10 +150,12 @@ SALES_GRAIN = (
 def sales_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Totals per day, customer country, salesperson country and product: the sales mart without its ranks.
 
-    Product labels hang on the product id, so they are joined to the totals instead of widening every shuffled line.
-    ``unique_products`` is 1 wherever there is a product, as the product is part of the grain.
+    Product labels hang on the product id and the calendar fields on the day, so both are added to the totals instead
+    of widening every shuffled line.  ``unique_products`` is 1 wherever there is a product, as the product is part of the grain.
     """
-    totals = fact.groupBy(*SALES_GRAIN).agg(
+    places = ("customer_country", "customer_country_code", "salesperson_country", "product_id")
+    day = F.make_date("year", "month", "day").alias("_day")
+    totals = fact.groupBy(day, *places).agg(
         F.count_distinct("sales_id").alias("transaction_count"),
         F.sum("quantity").alias("total_units_sold"),
         F.sum("total_price").alias("total_revenue"),
@@ -168,7 +170,11 @@ def sales_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
     label = products.select("product_id", "product_name", "category_name", "class", "price_category")
     revenue, customers = F.col("total_revenue"), F.col("unique_customers")
     return totals.join(label, "product_id", "left").select(
-        *SALES_GRAIN,
+        F.year("_day").alias("year"),
+        F.month("_day").alias("month"),
+        F.dayofmonth("_day").alias("day"),
+        F.dayofweek("_day").alias("day_of_week"),
+        *places,
         "product_name",
         "category_name",
         "class",
@@ -184,8 +190,8 @@ def sales_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
         F.when(F.col("product_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("unique_products"),
         "unique_salespeople",
         "total_discounts_given",
-        labels.day_name(F.col("day_of_week")).alias("day_name"),
-        labels.season(F.col("month")).alias("quarter"),
+        labels.day_name(F.dayofweek("_day")).alias("day_name"),
+        labels.season(F.month("_day")).alias("quarter"),
         percent(F.col("total_profit"), revenue).alias("profit_margin_percentage"),
         per_unit(revenue, customers).alias("revenue_per_customer"),
         per_unit(F.col("total_units_sold"), customers).alias("units_per_customer"),

@@ -155,12 +155,12 @@ def heuristic_recommendations(
     it offered is still better than that floor, and then only for partners above it.  This drops no candidate that
     could be ranked.
 
-    The partner lists and the first candidates are read several times and cost the most, so each is checkpointed.
+    Purchases, partner lists and first candidates are read several times, so each is checkpointed.
     """
     n = settings.top_n
     if pairs is None:
         pairs = product_pairs(basket_items(sales, "TransactionNumber", "ProductID", "Quantity"))
-    owned = purchases(sales)
+    owned = checkpointed(purchases(sales))
     has = owned.withColumnRenamed("product_id", "_has")
 
     per_anchor = Window.partitionBy("anchor")

@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
         .appName("tillmark")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column costs more than small queries take to run.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
     )
