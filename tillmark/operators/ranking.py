@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillmark.operators.durable import checkpointed, input_bytes
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
 
 # monotonically_increasing_id() keeps the task number above, and the row number within the task in, these bits.
 ROW_BITS = 33
@@ -88,25 +88,24 @@ def _distributed(df, order_by, tie_break, partition_by, rank, row_number, ntiles
     tasks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     whole_order = _sort([asc(c) for c in partition_by] + order_by + tie_break)
     at = F.col("_at")
-    placed = checkpointed(
+    placed = (
         df.repartitionByRange(tasks, *whole_order)
         .sortWithinPartitions(*whole_order)
         .withColumn("_at", F.monotonically_increasing_id())
-    ).withColumns(
-        {
-            "_task": F.shiftright(at, ROW_BITS),
-            "_pos": at.bitwiseAND(F.lit(ROW_MASK)),
-            "_group": F.struct(*partition_by) if partition_by else F.lit(0),
-        }
+        .withColumns(
+            {
+                "_task": F.shiftright(at, ROW_BITS),
+                "_pos": at.bitwiseAND(F.lit(ROW_MASK)),
+                "_group": F.struct(*partition_by) if partition_by else F.lit(0),
+            }
+        )
+        .drop("_at")
     )
-
     key = F.struct(*[F.col(c) for c, _ in order_by])
-    if rank:
-        # One window group per task and group: no larger than the run of a task.
-        local = Window.partitionBy("_task", "_group").orderBy(*_sort(order_by))
-        placed = placed.withColumn("_local", F.rank().over(local))
-    else:
-        placed = placed.withColumn("_local", F.lit(1))
+    # One window group per task and group: no larger than the run of a task.
+    local = Window.partitionBy("_task", "_group").orderBy(*_sort(order_by))
+    # The task numbers are read twice below and must not be drawn twice: the range bounds come from a sample.
+    placed = checkpointed(placed.withColumn("_local", F.rank().over(local) if rank else F.lit(1)))
 
     runs = placed.groupBy("_task", "_group").agg(
         F.count(F.lit(1)).alias("_rows"),

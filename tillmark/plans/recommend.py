@@ -7,6 +7,7 @@ and category_name, ``customers`` has customer_id and customer_name.
 from __future__ import annotations
 
 import logging
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS
@@ -83,13 +84,16 @@ def _labelled(ranked: DataFrame, products: DataFrame, customers: DataFrame, mode
     )
 
 
-def _int_codes(ratings: DataFrame, column: str) -> DataFrame | None:
-    """id -> 32-bit code where ids do not fit the factorisation's 32-bit keys, None where they do."""
-    low, high = ratings.agg(F.min(column), F.max(column)).first()
-    if low is None or (low >= -INT_MAX and high <= INT_MAX):
-        return None
-    codes = with_ranks(ratings.select(column).distinct(), [asc(column)], [], row_number="_code")
-    return codes.select(column, F.col("_code").cast("int").alias(f"_{column}"))
+def _int_codes(ratings: DataFrame) -> dict[str, DataFrame]:
+    """Column -> (id, 32-bit code) for the id columns whose values do not fit the factorisation's 32-bit keys."""
+    ids = ("customer_id", "product_id")
+    reach = ratings.agg(*[F.max(F.abs(c)).alias(c) for c in ids]).first()
+    codes = {}
+    for column in ids:
+        if (reach[column] or 0) > INT_MAX:
+            numbered = with_ranks(ratings.select(column).distinct(), [asc(column)], [], row_number="_code")
+            codes[column] = numbered.select(column, F.col("_code").cast("int").alias(f"_{column}"))
+    return codes
 
 
 def als_recommendations(
@@ -101,13 +105,14 @@ def als_recommendations(
     checkpointed: every iteration of the fit reads them again.
     """
     ratings = checkpointed(als_ratings(sales).select("customer_id", "product_id", "rating"))
+    codes = _int_codes(ratings)
     coded = ratings
-    codes = {column: _int_codes(ratings, column) for column in ("customer_id", "product_id")}
-    for column, code in codes.items():
-        if code is None:
-            coded = coded.withColumn(f"_{column}", F.col(column).cast("int"))
+    for column in ("customer_id", "product_id"):
+        if column in codes:
+            coded = coded.join(codes[column], column)
         else:
-            coded = coded.join(code, column)
+            coded = coded.withColumn(f"_{column}", F.col(column).cast("int"))
+    blocks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     model = ALS(
         userCol="_customer_id",
         itemCol="_product_id",
@@ -118,6 +123,11 @@ def als_recommendations(
         nonnegative=True,
         coldStartStrategy="drop",
         seed=settings.seed,
+        # Customers grow with the data and get a block per shuffle partition; the catalogue stays far smaller.
+        numUserBlocks=blocks,
+        numItemBlocks=min(blocks, max(8, math.isqrt(blocks))),
+        # Cuts the lineage of the factors, so that a lost executor does not cost all iterations.
+        checkpointInterval=5,
     ).fit(coded)
     flat = (
         model.recommendForAllUsers(settings.top_n)
@@ -128,13 +138,16 @@ def als_recommendations(
             F.col("hit.rating").cast("double").alias("score"),
         )
     )
-    for column, code in codes.items():
-        if code is None:
-            flat = flat.withColumn(column, F.col(f"_{column}").cast("bigint"))
+    for column in ("customer_id", "product_id"):
+        if column in codes:
+            flat = flat.join(codes[column], f"_{column}")
         else:
-            flat = flat.join(code, f"_{column}")
-    fresh = flat.join(ratings.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti")
-    return _labelled(_ranked(fresh, settings.top_n), products, customers, "ALS")
+            flat = flat.withColumn(column, F.col(f"_{column}").cast("bigint"))
+    fresh = flat.select("customer_id", "product_id", "score").join(
+        ratings.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti"
+    )
+    # Scoring every customer against every product is the dearest step: it runs once, whatever reads the result.
+    return _labelled(checkpointed(_ranked(fresh, settings.top_n)), products, customers, "ALS")
 
 
 def heuristic_recommendations(
