@@ -113,3 +113,16 @@ def test_full_refresh(spark, workspace, tmp_path):
         lazy = getattr(workspace, name).select(plain.columns)
         assert plain.exceptAll(lazy).isEmpty() and lazy.exceptAll(plain).isEmpty()
     assert stored["customer_recommendations"].where(F.col("model_type") != "ALS").isEmpty()
+
+
+def test_repeated_sale_ids_are_counted_once(spark):
+    ddl = "sales_id string, customer_id bigint, product_id bigint, quantity bigint, total_price decimal(18,4), discount decimal(18,4), sales_date timestamp_ntz"
+    one = Decimal(1)
+    unique = spark.createDataFrame([(f"s{i}", i % 2, i % 3, 1, one, one, DAY) for i in range(7)], ddl)
+    repeated = unique.unionByName(unique.where("sales_id in ('s1', 's2')"))
+    assert facts.has_unique_ids(unique) and not facts.has_unique_ids(repeated)
+
+    def counts(sales, unique_ids=False):
+        return {r.customer_id: r.purchase_count for r in facts.fct_customer_behavior(sales, unique_ids).collect()}
+
+    assert counts(unique) == counts(unique, True) == counts(repeated) == {0: 4, 1: 3}

@@ -495,7 +495,8 @@ FINAL: dict[str, str] = {
     "als_ratings": """
         select *, round(ln(1 + raw_rating), 6) as rating
         from (select CustomerID as customer_id, ProductID as product_id,
-                     cast(sum(case when TotalPrice > 0 then TotalPrice else Quantity end) as double) as raw_rating
+                     cast(sum(case when TotalPrice > 0 then TotalPrice else Quantity end) as double) as raw_rating,
+                     count(*) as lines
               from model_lines group by all)""",
     "model_gate": """
         select count(distinct CustomerID) as users, count(distinct ProductID) as items, count(*) as interactions

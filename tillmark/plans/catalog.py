@@ -124,7 +124,7 @@ _QUERIES: dict[str, Query] = {
     "repaired_sales": _repaired_raw_sales,
     "customer_segments": _table("customer_segments"),
     "als_ratings": _rounded(_report(recommend.als_ratings, "model_sales"), "rating"),
-    "model_gate": _report(recommend.model_gate, "model_sales"),
+    "model_gate": _report(lambda sales: recommend.model_gate(recommend.als_ratings(sales)), "model_sales"),
     "heuristic_recommendations": _table(_HEURISTIC),
     "als_recommendations": _table("als_recommendations"),
     "customer_recommendations": _table("customer_recommendations"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import labels
@@ -10,6 +10,20 @@ from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, line_profit, per_unit
 
 
+def sale_count(unique_ids: bool) -> Column:
+    """Number of different sales in a group.
+
+    A distinct count moves every sale id through a shuffle.  Where the ids of the table have been found unique
+    (``has_unique_ids``) a plain count gives the same number and is combined before the shuffle.
+    """
+    return F.count("sales_id") if unique_ids else F.count_distinct("sales_id")
+
+
+def has_unique_ids(sales: DataFrame) -> bool:
+    """Whether no sale id occurs twice.  One job over one column, worth it before several tables are built."""
+    return sales.where(F.col("sales_id").isNotNull()).groupBy("sales_id").count().where("count > 1").isEmpty()
+
+
 def fct_sales_summary(
     sales: DataFrame, products: DataFrame, customers: DataFrame, employees: DataFrame
 ) -> DataFrame:
@@ -65,14 +79,14 @@ def fct_sales_summary(
     )
 
 
-def fct_customer_behavior(sales: DataFrame) -> DataFrame:
+def fct_customer_behavior(sales: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Purchase behaviour per customer, measured against the last day of the whole data set.
 
     ``purchase_count`` counts sale lines, not baskets.  The last day is a scalar subquery: one value, no join.
     """
     last_day = sales.agg(F.max(F.col("sales_date").cast("date"))).scalar()
     bought = sales.groupBy("customer_id").agg(
-        F.count_distinct("sales_id").alias("purchase_count"),
+        sale_count(unique_ids).alias("purchase_count"),
         F.count_distinct("product_id").alias("distinct_products_purchased"),
         F.sum("quantity").alias("total_quantity"),
         F.sum("total_price").alias("total_spend"),
@@ -102,13 +116,13 @@ def fct_customer_behavior(sales: DataFrame) -> DataFrame:
     )
 
 
-def fct_employee_performance(employees: DataFrame, sales: DataFrame) -> DataFrame:
+def fct_employee_performance(employees: DataFrame, sales: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Sales per employee, employees without a sale included (counts 0, sums null).
 
     Sales are folded to one row per salesperson before they meet the employees.
     """
     sold = sales.groupBy(F.col("salesperson_id").alias("employee_id")).agg(
-        F.count_distinct("sales_id").alias("_sales"),
+        sale_count(unique_ids).alias("_sales"),
         F.count_distinct("customer_id").alias("_customers"),
         F.sum("quantity").alias("total_units_sold"),
         F.sum("total_price").alias("total_sales_revenue"),

@@ -10,6 +10,7 @@ from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, per_unit, percent
 from tillmark.operators.baskets import basket_items, product_pairs
 from tillmark.operators.ranking import asc, desc, with_ranks
+from tillmark.plans.facts import sale_count
 
 # Weights of the recommendation score, smallest support and list lengths.
 WEIGHT_FREQUENCY = 0.45
@@ -20,13 +21,13 @@ TOP_ANCHORS = 10
 TOP_RECOMMENDATIONS = 10
 
 
-def customer_lifetime_value(sales: DataFrame, customers: DataFrame) -> DataFrame:
+def customer_lifetime_value(sales: DataFrame, customers: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Value and global spend rank per customer.
 
     ``estimated_clv`` is spend per order times orders, that is: the spend.
     """
     spent = sales.groupBy("customer_id").agg(
-        F.count_distinct("sales_id").alias("total_orders"),
+        sale_count(unique_ids).alias("total_orders"),
         F.count_distinct(F.col("sales_date").cast("date")).alias("days_active"),
         F.sum("total_price").alias("total_spent"),
         exact_avg("total_price").alias("avg_order_value"),
@@ -147,7 +148,7 @@ SALES_GRAIN = (
 )
 
 
-def sales_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
+def sales_totals(fact: DataFrame, products: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Totals per day, customer country, salesperson country and product: the sales mart without its ranks.
 
     Product labels hang on the product id and the calendar fields on the day, so both are added to the totals instead
@@ -156,7 +157,7 @@ def sales_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
     places = ("customer_country", "customer_country_code", "salesperson_country", "product_id")
     day = F.make_date("year", "month", "day").alias("_day")
     totals = fact.groupBy(day, *places).agg(
-        F.count_distinct("sales_id").alias("transaction_count"),
+        sale_count(unique_ids).alias("transaction_count"),
         F.sum("quantity").alias("total_units_sold"),
         F.sum("total_price").alias("total_revenue"),
         F.sum("estimated_profit").alias("total_profit"),
@@ -217,21 +218,28 @@ def mart_sales_summary(totals: DataFrame) -> DataFrame:
     )
 
 
-def customer_products(sales: DataFrame) -> DataFrame:
-    """What each customer bought, ranked by how often and for how much; ties go to the smaller product id."""
+def customer_products(sales: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """What each customer bought, ranked by how often and for how much; ties go to the smaller product id.
+
+    ``products_owned`` is the length of the customer's list.  A window group here is a list of distinct products, not
+    of sale lines, so even the largest customer has no more rows than the catalogue.
+    """
     bought = sales.groupBy("customer_id", "product_id").agg(
-        F.count_distinct("sales_id").alias("purchase_frequency"),
+        sale_count(unique_ids).alias("purchase_frequency"),
         F.sum("quantity").alias("total_units_bought"),
         F.sum("total_price").alias("total_spent_on_product"),
         F.max("sales_date").alias("last_purchase_date"),
     )
-    favourite = Window.partitionBy("customer_id").orderBy(
+    own = Window.partitionBy("customer_id")
+    favourite = own.orderBy(
         F.desc("purchase_frequency"), F.desc_nulls_last("total_spent_on_product"), F.asc("product_id")
     )
-    return bought.withColumn("product_rank", F.row_number().over(favourite))
+    return bought.withColumns(
+        {"products_owned": F.count(F.lit(1)).over(own), "product_rank": F.row_number().over(favourite)}
+    )
 
 
-def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
+def mart_recommend(sales: DataFrame, products: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Up to ten recommendations per customer from products bought together with the customer's favourites.
 
     ``sales`` is any sale-line table (the enriched fact, or the lines it is made of: no label of it is read).  Only a
@@ -241,9 +249,7 @@ def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
     For one customer and one anchor the score falls with the support, so only the anchor's best partners can be
     among the ten: at most ten plus as many as the customer owns, since no more than those can be excluded.
     """
-    bought = customer_products(sales)
-    owned = bought.select("customer_id", "product_id")
-    owned_count = owned.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_owned"))
+    bought = customer_products(sales, unique_ids)
 
     pairs = product_pairs(basket_items(sales, "transaction_number", "product_id", "quantity"))
     nearest = Window.partitionBy("anchor").orderBy(F.desc("baskets"), F.asc("related"))
@@ -255,7 +261,7 @@ def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
         F.row_number().over(nearest).alias("_depth"),
     )
 
-    favourites = bought.where(F.col("product_rank") <= TOP_ANCHORS).join(owned_count, "customer_id", "left")
+    favourites = bought.where(F.col("product_rank") <= TOP_ANCHORS)
     spend = F.ln(1 + F.col("total_spent_on_product").cast("double"))
     score = (
         WEIGHT_FREQUENCY * F.col("purchase_frequency")
@@ -264,7 +270,7 @@ def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
     )
     candidates = (
         favourites.join(partners, F.col("product_id") == F.col("anchor"))
-        .where(F.col("_depth") <= F.coalesce("_owned", F.lit(0)) + TOP_RECOMMENDATIONS)
+        .where(F.col("_depth") <= F.col("products_owned") + TOP_RECOMMENDATIONS)
         .select(
             "customer_id",
             F.col("anchor").alias("purchased_product"),
@@ -274,7 +280,7 @@ def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
             score.alias("recommendation_score"),
         )
     )
-    has = owned.select("customer_id", F.col("product_id").alias("recommended_product"))
+    has = sales.select("customer_id", F.col("product_id").alias("recommended_product")).distinct()
     best = Window.partitionBy("customer_id").orderBy(
         F.desc_nulls_last("recommendation_score"),
         F.desc("co_purchase_txn_count"),

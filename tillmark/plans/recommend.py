@@ -54,7 +54,7 @@ def als_ratings(sales: DataFrame) -> DataFrame:
     worth = F.when(F.col("TotalPrice") > 0, F.col("TotalPrice")).otherwise(F.coalesce("Quantity", F.lit(0)))
     return (
         sales.groupBy(F.col("CustomerID").alias("customer_id"), F.col("ProductID").alias("product_id"))
-        .agg(F.sum(worth.cast("decimal(24,4)")).alias("raw_rating"))
+        .agg(F.sum(worth.cast("decimal(24,4)")).alias("raw_rating"), F.count(F.lit(1)).alias("lines"))
         .withColumn("rating", F.ln(1 + F.col("raw_rating").cast("double")))
     )
 
@@ -97,14 +97,13 @@ def _int_codes(ratings: DataFrame) -> dict[str, DataFrame]:
 
 
 def als_recommendations(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, settings: ModelSettings = DEFAULTS
+    ratings: DataFrame, products: DataFrame, customers: DataFrame, settings: ModelSettings = DEFAULTS
 ) -> DataFrame:
-    """Top products per customer by matrix factorisation.
+    """Top products per customer by matrix factorisation of ``als_ratings``.
 
-    The list is cut to ``top_n`` before owned products are removed, so fewer may remain.  The ratings are
-    checkpointed: every iteration of the fit reads them again.
+    The list is cut to ``top_n`` before owned products are removed, so fewer may remain.  The fit reads the ratings
+    again and again: give it stored or checkpointed ones.
     """
-    ratings = checkpointed(als_ratings(sales).select("customer_id", "product_id", "rating"))
     codes = _int_codes(ratings)
     coded = ratings
     for column in ("customer_id", "product_id"):
@@ -112,7 +111,7 @@ def als_recommendations(
             coded = coded.join(codes[column], column)
         else:
             coded = coded.withColumn(f"_{column}", F.col(column).cast("int"))
-    blocks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     model = ALS(
         userCol="_customer_id",
         itemCol="_product_id",
@@ -219,12 +218,12 @@ def heuristic_recommendations(
     return _labelled(_ranked(both, n), products, customers, "HEURISTIC_FALLBACK")
 
 
-def model_gate(sales: DataFrame) -> DataFrame:
-    """One row: users, items and interactions of the input."""
-    return sales.agg(
-        F.count_distinct("CustomerID").alias("users"),
-        F.count_distinct("ProductID").alias("items"),
-        F.count(F.lit(1)).alias("interactions"),
+def model_gate(ratings: DataFrame) -> DataFrame:
+    """One row: users, items and interactions (sale lines) behind the ratings."""
+    return ratings.agg(
+        F.count_distinct("customer_id").alias("users"),
+        F.count_distinct("product_id").alias("items"),
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("interactions"),
     )
 
 
@@ -233,10 +232,11 @@ def recommendations(
 ) -> DataFrame:
     """Factorisation where there is enough data and it works, co-purchase counts otherwise.
 
-    The gate reads one aggregate row.  Like the fit, it runs while the result is being defined; a failure while the
-    result is written later is not covered by the fallback.
+    The gate reads one aggregate row of the ratings, which are folded from the sales once for gate and fit.  Both run
+    while the result is being defined; a failure while the result is written later is not covered by the fallback.
     """
-    profile = model_gate(sales).first()
+    ratings = checkpointed(als_ratings(sales))
+    profile = model_gate(ratings).first()
     enough = (
         profile.users >= settings.min_users
         and profile.items >= settings.min_items
@@ -244,7 +244,7 @@ def recommendations(
     )
     if enough:
         try:
-            result = als_recommendations(sales, products, customers, settings)
+            result = als_recommendations(ratings, products, customers, settings)
             if not result.isEmpty():
                 return result
             log.warning("factorisation left no recommendation; using co-purchase counts")

@@ -13,6 +13,7 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillmark.operators.durable import checkpointed
 from tillmark.plans import facts, marts, recommend, segments, staging
 from tillmark.sources import readers, sinks, testtables
 
@@ -47,6 +48,7 @@ class Workspace:
     ):
         self._sources = dict(sources)
         self._stored: dict[str, DataFrame] = {}
+        self._unique_ids = False
         self.as_of = as_of
         self.settings = settings
 
@@ -68,7 +70,11 @@ class Workspace:
         return getattr(self, name)
 
     def refresh(self, target: str, tables: tuple[str, ...] = REFRESH_ORDER) -> dict[str, DataFrame]:
-        """Rebuild tables in order below ``target``: a folder (anything with a slash) or a database."""
+        """Rebuild tables in order below ``target``: a folder (anything with a slash) or a database.
+
+        The stored sales are checked once for repeated ids; without any, the tables above count instead of counting
+        distinct ids.
+        """
         for name in tables:
             place = f"{target.rstrip('/')}/{name}" if "/" in target else f"{target}.{name}"
             frame = getattr(self, name)
@@ -78,6 +84,8 @@ class Workspace:
                 self._stored[name] = sinks.drop_and_write(frame, place)
             else:
                 self._stored[name] = sinks.write_table(frame, place)
+            if name == "st_sales":
+                self._unique_ids = facts.has_unique_ids(self._stored[name])
         return dict(self._stored)
 
     # --- lookups and staging -----------------------------------------------------------------------------------------
@@ -122,17 +130,17 @@ class Workspace:
 
     @cached_property
     def fct_customer_behavior(self) -> DataFrame:
-        return facts.fct_customer_behavior(self.table("st_sales"))
+        return facts.fct_customer_behavior(self.table("st_sales"), self._unique_ids)
 
     @cached_property
     def fct_employee_performance(self) -> DataFrame:
-        return facts.fct_employee_performance(self.table("st_employees"), self.table("st_sales"))
+        return facts.fct_employee_performance(self.table("st_employees"), self.table("st_sales"), self._unique_ids)
 
     # --- marts -------------------------------------------------------------------------------------------------------
 
     @cached_property
     def customer_lifetime_value(self) -> DataFrame:
-        return marts.customer_lifetime_value(self.table("st_sales"), self.table("st_customers"))
+        return marts.customer_lifetime_value(self.table("st_sales"), self.table("st_customers"), self._unique_ids)
 
     @cached_property
     def mart_customer_behavior(self) -> DataFrame:
@@ -147,7 +155,7 @@ class Workspace:
         """The sales mart without ranks, for the reports that use none."""
         if "mart_sales_summary" in self._stored:
             return self._stored["mart_sales_summary"]
-        return marts.sales_totals(self.table("fct_sales_summary"), self.table("st_products"))
+        return marts.sales_totals(self.table("fct_sales_summary"), self.table("st_products"), self._unique_ids)
 
     @cached_property
     def mart_sales_summary(self) -> DataFrame:
@@ -155,7 +163,7 @@ class Workspace:
 
     @cached_property
     def mart_recommend(self) -> DataFrame:
-        return marts.mart_recommend(self.table("st_sales"), self.table("st_products"))
+        return marts.mart_recommend(self.table("st_sales"), self.table("st_products"), self._unique_ids)
 
     # --- customer models ---------------------------------------------------------------------------------------------
 
@@ -184,8 +192,9 @@ class Workspace:
 
     @cached_property
     def als_recommendations(self) -> DataFrame:
+        ratings = checkpointed(recommend.als_ratings(self.model_sales))
         return recommend.als_recommendations(
-            self.model_sales, self.product_labels, self.customer_labels, self.settings
+            ratings, self.product_labels, self.customer_labels, self.settings
         )
 
     @property
