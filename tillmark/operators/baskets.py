@@ -1,15 +1,21 @@
 """Products bought together.
 
 Lines are first folded to one row per basket and product, so repeated lines and very long baskets shrink to at most
-the number of distinct products.  Each unordered pair is counted once and mirrored afterwards.  Baskets with more
-than ``TILE`` products are cut into tiles, so that no task ever meets more than two tiles' worth of one basket.
+the number of distinct products.  Each unordered pair is counted once and mirrored afterwards.
+
+A basket with more than ``TILE`` products is long.  Where all pairs are the result, a long basket is cut into tiles, so
+that no task meets more than two tiles' worth of it.  Where only pairs of two or more baskets count, a long basket is
+not paired up at all: it is looked up for the pairs that ordinary baskets have, and only products that occur in
+several long baskets are paired among those.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmark.operators.durable import checkpointed
+
 TILE = 2000
 
 
@@ -25,55 +31,81 @@ def basket_items(lines: DataFrame, basket: str, product: str, quantity: str) ->
     )
 
 
-def product_pairs(items: DataFrame, tile: int = TILE) -> DataFrame:
-    """Ordered pairs of different products that share a basket.
+def product_pairs(items: DataFrame, min_baskets: int = 1, tile: int = TILE) -> DataFrame:
+    """Ordered pairs of different products that share at least ``min_baskets`` baskets.
 
     Columns: anchor, related, baskets (number of shared baskets), line_pairs (pairs of lines over all of them) and
     related_units (units of the related product, once for each line of the anchor).
+
+    The items are checkpointed: both sides of the join read them, and whether there is a long basket is asked first.
     """
-    sized = items.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("basket")))
-    ordinary = _meet(sized.where(F.col("_size") <= tile), ["basket"], None)
-    long = _meet(_tiles(sized.where(F.col("_size") > tile), tile), ["basket", "_row", "_col"], _once_per_tile())
-
-    both_ways = (
-        ordinary.unionByName(long)
-        .groupBy("low", "high")
-        .agg(
-            F.count(F.lit(1)).alias("baskets"),
-            F.sum("line_pairs").alias("line_pairs"),
-            F.sum("low_units").alias("low_units"),
-            F.sum("high_units").alias("high_units"),
-        )
-        .select(
-            "baskets",
-            "line_pairs",
-            F.explode(
-                F.array(
-                    F.struct(F.col("low").alias("anchor"), F.col("high").alias("related"), F.col("high_units").alias("units")),
-                    F.struct(F.col("high").alias("anchor"), F.col("low").alias("related"), F.col("low_units").alias("units")),
-                )
-            ).alias("way"),
-        )
+    sized = checkpointed(items.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("basket"))))
+    long = sized.where(F.col("_size") > tile)
+    if long.isEmpty():
+        pairs = _summed(_meet(sized, ["basket"]))
+    else:
+        ordinary = _meet(sized.where(F.col("_size") <= tile), ["basket"])
+        if min_baskets < 2:
+            pairs = _summed(ordinary.unionByName(_meet_tiled(long, tile)))
+        else:
+            known = checkpointed(_summed(ordinary))
+            several = long.groupBy("product").count().where("count > 1").select("product")
+            only_long = _meet_tiled(long.join(several, "product", "left_semi"), tile).join(
+                known, ["low", "high"], "left_anti"
+            )
+            pairs = _summed(known.unionByName(_looked_up(known, long)).unionByName(only_long))
+    both_ways = pairs.where(F.col("baskets") >= min_baskets).select(
+        "baskets",
+        "line_pairs",
+        F.explode(
+            F.array(
+                F.struct(F.col("low").alias("anchor"), F.col("high").alias("related"), F.col("high_units").alias("units")),
+                F.struct(F.col("high").alias("anchor"), F.col("low").alias("related"), F.col("low_units").alias("units")),
+            )
+        ).alias("way"),
     )
     return both_ways.select(
         "way.anchor", "way.related", "baskets", "line_pairs", F.col("way.units").alias("related_units")
     )
 
 
-def _meet(items: DataFrame, keys: list[str], extra) -> DataFrame:
-    low, high = items.alias("l"), items.alias("h")
+def _summed(met: DataFrame) -> DataFrame:
+    measures = ("baskets", "line_pairs", "low_units", "high_units")
+    return met.groupBy("low", "high").agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def _pair(low: str, high: str) -> list[Column]:
+    """One meeting of two items in a basket."""
+    return [
+        F.col(f"{low}.product").alias("low"),
+        F.col(f"{high}.product").alias("high"),
+        F.lit(1).cast("bigint").alias("baskets"),
+        (F.col(f"{low}.lines") * F.col(f"{high}.lines")).alias("line_pairs"),
+        (F.col(f"{high}.lines") * F.col(f"{low}.units")).alias("low_units"),
+        (F.col(f"{low}.lines") * F.col(f"{high}.units")).alias("high_units"),
+    ]
+
+
+def _meet(items: DataFrame, keys: list[str], extra: Column | None = None) -> DataFrame:
     condition = F.col("l.product") < F.col("h.product")
     for key in keys:
         condition = condition & (F.col(f"l.{key}") == F.col(f"h.{key}"))
     if extra is not None:
         condition = condition & extra
-    return low.join(high, condition).select(
-        F.col("l.product").alias("low"),
-        F.col("h.product").alias("high"),
-        (F.col("l.lines") * F.col("h.lines")).alias("line_pairs"),
-        (F.col("h.lines") * F.col("l.units")).alias("low_units"),
-        (F.col("l.lines") * F.col("h.units")).alias("high_units"),
-    )
+    return items.alias("l").join(items.alias("h"), condition).select(*_pair("l", "h"))
+
+
+def _looked_up(known: DataFrame, long: DataFrame) -> DataFrame:
+    """Meetings, in long baskets, of products that are a pair already."""
+    low = known.select("low", "high").alias("k").join(long.alias("l"), F.col("k.low") == F.col("l.product"))
+    same = [F.col("h.basket") == F.col("l.basket"), F.col("h.product") == F.col("k.high")]
+    return low.join(long.alias("h"), same).select(*_pair("l", "h"))
+
+
+def _meet_tiled(items: DataFrame, tile: int) -> DataFrame:
+    """Products of one block share many tiles; they count only in the tile of that block with itself."""
+    once = (F.col("l._row") == F.col("l._col")) | (F.col("l._block") != F.col("h._block"))
+    return _meet(_tiles(items, tile), ["basket", "_row", "_col"], once)
 
 
 def _tiles(items: DataFrame, tile: int) -> DataFrame:
@@ -93,8 +125,3 @@ def _tiles(items: DataFrame, tile: int) -> DataFrame:
         .withColumns({"_row": F.col("_tile.row"), "_col": F.col("_tile.col")})
         .drop("_tile", "_blocks")
     )
-
-
-def _once_per_tile():
-    """Products of one block share many tiles; they count only in the tile of that block with itself."""
-    return (F.col("l._row") == F.col("l._col")) | (F.col("l._block") != F.col("h._block"))

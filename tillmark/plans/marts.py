@@ -251,9 +251,10 @@ def mart_recommend(sales: DataFrame, products: DataFrame, unique_ids: bool = Fal
     """
     bought = customer_products(sales, unique_ids)
 
-    pairs = product_pairs(basket_items(sales, "transaction_number", "product_id", "quantity"))
+    items = basket_items(sales, "transaction_number", "product_id", "quantity")
+    pairs = product_pairs(items, min_baskets=MIN_SUPPORT)
     nearest = Window.partitionBy("anchor").orderBy(F.desc("baskets"), F.asc("related"))
-    partners = pairs.where(F.col("baskets") >= MIN_SUPPORT).select(
+    partners = pairs.select(
         "anchor",
         "related",
         F.col("baskets").alias("co_purchase_txn_count"),
