@@ -11,7 +11,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tillmark.operators.baskets import basket_items, product_pairs
@@ -21,6 +21,8 @@ from tillmark.operators.ranking import asc, with_ranks
 log = logging.getLogger(__name__)
 
 INT_MAX = 2**31 - 1
+ID_COLUMNS = ("customer_id", "product_id")
+RATINGS_PER_BLOCK = 1_000_000
 
 # Partners that each anchor offers before it is known which anchors have to offer more; any number gives the same
 # result.
@@ -84,16 +86,16 @@ def _labelled(ranked: DataFrame, products: DataFrame, customers: DataFrame, mode
     )
 
 
-def _int_codes(ratings: DataFrame) -> dict[str, DataFrame]:
-    """Column -> (id, 32-bit code) for the id columns whose values do not fit the factorisation's 32-bit keys."""
-    ids = ("customer_id", "product_id")
-    reach = ratings.agg(*[F.max(F.abs(c)).alias(c) for c in ids]).first()
-    codes = {}
-    for column in ids:
-        if (reach[column] or 0) > INT_MAX:
-            numbered = with_ranks(ratings.select(column).distinct(), [asc(column)], [], row_number="_code")
-            codes[column] = numbered.select(column, F.col("_code").cast("int").alias(f"_{column}"))
-    return codes
+def _profile(ratings: DataFrame) -> Row:
+    """Number of ratings and the largest ids, in one job."""
+    largest = [F.coalesce(F.max(F.abs(c)), F.lit(0)).alias(c) for c in ID_COLUMNS]
+    return ratings.agg(F.count(F.lit(1)).alias("ratings"), *largest).first()
+
+
+def _int_codes(ratings: DataFrame, column: str) -> DataFrame:
+    """(id, 32-bit code) for ids that do not fit the factorisation's 32-bit keys."""
+    numbered = with_ranks(ratings.select(column).distinct(), [asc(column)], [], row_number="_code")
+    return numbered.select(column, F.col("_code").cast("int").alias(f"_{column}"))
 
 
 def als_recommendations(
@@ -104,14 +106,16 @@ def als_recommendations(
     The list is cut to ``top_n`` before owned products are removed, so fewer may remain.  The fit reads the ratings
     again and again: give it stored or checkpointed ones.
     """
-    codes = _int_codes(ratings)
+    profile = _profile(ratings)
+    codes = {c: _int_codes(ratings, c) for c in ID_COLUMNS if profile[c] > INT_MAX}
     coded = ratings
-    for column in ("customer_id", "product_id"):
+    for column in ID_COLUMNS:
         if column in codes:
             coded = coded.join(codes[column], column)
         else:
             coded = coded.withColumn(f"_{column}", F.col(column).cast("int"))
-    blocks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = min(partitions, max(8, math.ceil(profile.ratings / RATINGS_PER_BLOCK)))
     model = ALS(
         userCol="_customer_id",
         itemCol="_product_id",
@@ -122,7 +126,7 @@ def als_recommendations(
         nonnegative=True,
         coldStartStrategy="drop",
         seed=settings.seed,
-        # Customers grow with the data and get a block per shuffle partition; the catalogue stays far smaller.
+        # Customers grow with the data, up to one block per shuffle partition; the catalogue stays far smaller.
         numUserBlocks=blocks,
         numItemBlocks=min(blocks, max(8, math.isqrt(blocks))),
         # Cuts the lineage of the factors, so that a lost executor does not cost all iterations.
@@ -137,7 +141,7 @@ def als_recommendations(
             F.col("hit.rating").cast("double").alias("score"),
         )
     )
-    for column in ("customer_id", "product_id"):
+    for column in ID_COLUMNS:
         if column in codes:
             flat = flat.join(codes[column], f"_{column}")
         else:
