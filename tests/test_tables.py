@@ -126,3 +126,20 @@ def test_repeated_sale_ids_are_counted_once(spark):
         return {r.customer_id: r.purchase_count for r in facts.fct_customer_behavior(sales, unique_ids).collect()}
 
     assert counts(unique) == counts(unique, True) == counts(repeated) == {0: 4, 1: 3}
+
+
+def test_dimensions_are_broadcast_only_while_small(spark, workspace, monkeypatch):
+    from tillmark.operators import durable
+
+    def star():
+        fact = facts.fct_sales_summary(
+            workspace.st_sales, workspace.st_products, workspace.st_customers, workspace.st_employees
+        )
+        return fact, fact._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+
+    small, hints = star()
+    assert hints == 3
+    monkeypatch.setattr(durable, "LOOKUP_BYTES", 0)
+    large, hints = star()
+    assert hints == 0
+    assert small.exceptAll(large).isEmpty() and small.count() == large.count()

@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Files of this size unpack to what an executor can hold several times over.
+LOOKUP_BYTES = 8 * 1024 * 1024
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -34,3 +38,13 @@ def input_bytes(df: DataFrame) -> int | None:
         return None
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def lookup(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast where the files behind it are small, unchanged where they are not or unknown.
+
+    Spark's own estimate multiplies the sizes of joined tables, so a dimension that was itself joined with its lookups
+    looks too large to broadcast however small it is.
+    """
+    size = input_bytes(df)
+    return F.broadcast(df) if size is not None and size <= LOOKUP_BYTES else df

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, line_profit, per_unit
+from tillmark.operators.durable import lookup
 
 
 def sale_count(unique_ids: bool) -> Column:
@@ -29,8 +30,8 @@ def fct_sales_summary(
 ) -> DataFrame:
     """Sale lines with product, customer and salesperson labels and the estimated profit.
 
-    The product join comes first: lines that were just priced by product are still partitioned by it where that join
-    had to be shuffled.
+    Dimensions are broadcast only where a check of their size allows it.  The product join comes first: lines that were
+    just priced by product are still partitioned by it where that join had to be shuffled.
     """
     product = products.select("product_id", "product_name", "category_name", "class", "price_category", "price")
     customer = customers.select(
@@ -46,9 +47,9 @@ def fct_sales_summary(
         F.col("country_name").alias("salesperson_country"),
     )
     star = (
-        sales.join(product, "product_id", "left")
-        .join(customer, "customer_id", "left")
-        .join(salesperson, "salesperson_id", "left")
+        sales.join(lookup(product), "product_id", "left")
+        .join(lookup(customer), "customer_id", "left")
+        .join(lookup(salesperson), "salesperson_id", "left")
     )
     return star.select(
         surrogate_key("sales_id").alias("sales_summary_id"),

@@ -9,6 +9,7 @@ from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, per_unit, percent
 from tillmark.operators.baskets import basket_items, product_pairs
+from tillmark.operators.durable import lookup
 from tillmark.operators.ranking import asc, desc, with_ranks
 from tillmark.plans.facts import sale_count
 
@@ -170,7 +171,7 @@ def sales_totals(fact: DataFrame, products: DataFrame, unique_ids: bool = False)
     )
     label = products.select("product_id", "product_name", "category_name", "class", "price_category")
     revenue, customers = F.col("total_revenue"), F.col("unique_customers")
-    return totals.join(label, "product_id", "left").select(
+    return totals.join(lookup(label), "product_id", "left").select(
         F.year("_day").alias("year"),
         F.month("_day").alias("month"),
         F.dayofmonth("_day").alias("day"),

@@ -1,7 +1,7 @@
 """Lookup tables, dimensions and the sales fact in their cleaned form.
 
-Joins carry no broadcast hint: lookups are small enough for Spark to broadcast them by size, and a dimension that
-grows beyond the threshold falls back to a shuffled join.
+Joins carry no broadcast hint: Spark broadcasts a source table by the size of its files, and one that grows beyond the
+threshold falls back to a shuffled join.
 """
 
 from __future__ import annotations
