@@ -68,6 +68,7 @@ def test_ranked_marts_do_not_depend_on_the_way_of_ranking(spark, workspace, monk
         lambda: marts.mart_sales_summary(workspace.sales_totals),
         lambda: marts.mart_employee_performance(workspace.fct_employee_performance),
         lambda: marts.customer_lifetime_value(workspace.st_sales, workspace.st_customers),
+        lambda: marts.mart_customer_behavior(workspace.fct_customer_behavior, workspace.st_customers),
     ):
         monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", 1 << 40)
         small = sorted(map(str, build().collect()))

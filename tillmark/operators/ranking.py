@@ -45,6 +45,12 @@ def ntile_of(row_number: Column, total: Column, tiles: int) -> Column:
     return F.when(row_number <= in_larger, F.ceil(row_number / (size + 1))).otherwise(rest).cast("int")
 
 
+def exceeds_one_task(df: DataFrame) -> bool:
+    """Whether the rows may be too many for one task to sort; unknown sizes count as too many."""
+    size = input_bytes(df)
+    return size is None or size > SMALL_INPUT_BYTES
+
+
 def with_ranks(
     df: DataFrame,
     order_by: Sequence[tuple[str, bool]],
@@ -63,8 +69,7 @@ def with_ranks(
     gives the same numbers.  ``distributed`` forces one of the two ways; None decides by the size of the input.
     """
     if distributed is None:
-        size = input_bytes(df)
-        distributed = size is None or size > SMALL_INPUT_BYTES
+        distributed = exceeds_one_task(df)
     ntiles = dict(ntiles or {})
     way = _distributed if distributed else _windowed
     return way(df, list(order_by), [asc(c) for c in tie_break], list(partition_by), rank, row_number, ntiles)

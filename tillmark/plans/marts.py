@@ -9,8 +9,8 @@ from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, per_unit, percent
 from tillmark.operators.baskets import basket_items, product_pairs
-from tillmark.operators.durable import lookup
-from tillmark.operators.ranking import asc, desc, with_ranks
+from tillmark.operators.durable import checkpointed, lookup
+from tillmark.operators.ranking import asc, desc, exceeds_one_task, with_ranks
 from tillmark.plans.facts import sale_count
 
 # Weights of the recommendation score, smallest support and list lengths.
@@ -61,10 +61,22 @@ def customer_lifetime_value(sales: DataFrame, customers: DataFrame, unique_ids:
 
 
 def rfm_scores(df: DataFrame, recency: str, frequency: str, monetary: str) -> DataFrame:
-    """Quintile scores 1..5 over the whole table; 5 is best (few days since the last purchase, many, much)."""
+    """Quintile scores 1..5 over the whole table; 5 is best (few days since the last purchase, many, much).
+
+    A large table is checkpointed and only (customer, measure) goes through the three sorts; the scores are joined back.
+    """
     orders = (("_old", recency), ("frequency_score", frequency), ("monetary_score", monetary))
+    large = exceeds_one_task(df)
+    if large:
+        df = checkpointed(df)
     for score, column in orders:
-        df = with_ranks(df, [asc(column)], ["customer_id"], ntiles={score: 5})
+        if large:
+            narrow = df.select(F.col("customer_id").alias("_customer"), column)
+            tiles = with_ranks(narrow, [asc(column)], ["_customer"], ntiles={score: 5}, distributed=True)
+            same = F.col("customer_id").eqNullSafe(F.col("_customer"))
+            df = df.join(tiles.select("_customer", score), same).drop("_customer")
+        else:
+            df = with_ranks(df, [asc(column)], ["customer_id"], ntiles={score: 5}, distributed=False)
     return df.withColumn("recency_score", 6 - F.col("_old")).drop("_old")
 
 
