@@ -1,0 +1,10 @@
+"""Operators for building training data from a corpus of documents and pages.
+
+Functions that run in tasks are shipped with their code, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
