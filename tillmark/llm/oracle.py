@@ -36,5 +36,29 @@ from doc left join covered using (r) left join items using (r)
 """
 
 
+OP10 = f"""
+with rest as (
+    select page_id, url,
+        case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as r
+    from pages
+), part as (
+    select row_number() over () as n, page_id, {FOLDED.format("regexp_extract(r, '^([^/?#]*)', 1)")} as host,
+        regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path
+    from rest
+), rule(action, h, p) as (
+    values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'),
+        ('allow', 'org', '/fr/')
+), fit as (
+    select n, h || p as rule, action from part join rule
+    on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+    qualify row_number() over (partition by n order by length(h || p) desc, length(h) desc) = 1
+)
+select page_id, host, path, rule, coalesce(action, 'allow') as verdict from part left join fit using (n)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_decontamination": OP1}
+    return {
+        "op1_decontamination": OP1,
+        "op10_url_filters": OP10,
+    }

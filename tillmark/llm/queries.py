@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate
+from tillmark.llm import decontaminate, url_filter
 from tillmark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,5 +27,13 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judged(pages).select("page_id", "url_filter.*")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontamination": op1_decontamination}
+    return {
+        "op1_decontamination": op1_decontamination,
+        "op10_url_filters": op10_url_filters,
+    }
