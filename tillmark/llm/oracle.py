@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tillmark.llm import licenses, secrets
+
 # Word patterns of the contracts.
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SOLID = r"[^\x20\x09-\x0D]+"
@@ -57,8 +59,80 @@ select page_id, host, path, rule, coalesce(action, 'allow') as verdict from part
 """
 
 
+def _rows(values) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in values)
+
+
+OP4 = f"""
+with doc as (
+    select row_number() over () as r, doc_id, coalesce(text, '') as t,
+        regexp_extract_all({FOLDED.format("coalesce(text, '')")}, '{LETTERS}') as w
+    from documents
+), phrase(p, label) as (values {_rows(licenses.PHRASES.items())}),
+spot as (
+    select r, label, i - 1 as pos from (
+        select r, w, label, string_split(p, ' ') as q, unnest(range(1, len(w) + 1)) as i from doc, phrase
+    ) where w[i : i + len(q) - 1] = q
+), base as (
+    select r, count(*) as n, min(pos) as lo, max(pos) as hi, list_distinct(list(label)) as labels from spot group by r
+), template(label, t) as (values {_rows(licenses.TEMPLATES)}),
+tokens as (select label, list_distinct(string_split(t, ' ')) as q from template),
+line as (
+    select r, list_distinct(regexp_extract_all({FOLDED.format("b")}, '{LETTERS}')) as q
+    from (select r, unnest(string_split_regex(t, '[\n\r]+')) as b from doc)
+), pair as (
+    select r, label, len(list_intersect(line.q, tokens.q)) as n, len(tokens.q) as size
+    from line, tokens where len(list_intersect(line.q, tokens.q)) >= ceil({licenses.CONTAINMENT} * len(tokens.q) - 1e-9)
+), met as (select r, list_distinct(list(label)) as labels, max(n / size) as score from pair group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_base, lo as first_word, hi as last_word,
+    array_to_string(list_sort(coalesce(base.labels, [])), ',') as base_labels,
+    array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(met.labels, []))), ',') as labels,
+    case when n > 0 then 1.0::double else coalesce(score, 0.0)::double end as score
+from doc left join base using (r) left join met using (r)
+"""
+
+
+def _kind(rank: int, kind: secrets.Kind) -> str:
+    pattern = kind.pattern.replace("'", "''")
+    return f"""
+        select r, {rank} as k, '{kind.name}' as kind, m[i] as match, regexp_extract(m[i], '{pattern}', {kind.group}) as v,
+            list_sum(list_transform(g[1 : i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0) as s
+        from (
+            select r, m, g, unnest(range(1, len(m) + 1)) as i from (
+                select r, regexp_extract_all(t, '{pattern}') as m, string_split_regex(t, '{pattern}') as g from doc
+            )
+        )
+        where length(regexp_extract(m[i], '{pattern}', {kind.group})) >= {kind.least}"""
+
+
+OP8 = f"""
+with doc as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
+raw as ({" union all ".join(_kind(rank, kind) for rank, kind in enumerate(secrets.KINDS))}),
+span as (
+    select r, k, kind, v, cast(s as bigint) as s, kind || ':' || cast(s as bigint) || ':' || cast(s + length(match) as bigint) as x
+    from raw
+), owner as (
+    select v, count(distinct coalesce(source, chr(0))) as n from span join doc using (r) group by v
+), folded as (
+    select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+        count(*) filter (kind = 'hex') as n_hex,
+        string_agg(x, ',' order by s, k) filter (k < {len(secrets.BASE)}) as base,
+        string_agg(x, ',' order by s, k) as spans,
+        count(*) filter (n < {secrets.COMMON_OWNERS}) as n_live, count(*) filter (n >= {secrets.COMMON_OWNERS}) as n_copied
+    from span join owner using (v) group by r
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+    sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
+    coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+from doc left join folded using (r)
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_decontamination": OP1,
+        "op4_license_scan": OP4,
+        "op8_secret_scan": OP8,
         "op10_url_filters": OP10,
     }

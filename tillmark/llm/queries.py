@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, url_filter
+from tillmark.llm import decontaminate, licenses, secrets, url_filter
 from tillmark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,42 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    own = F.col("licenses")
+    return licenses.scanned(documents).select(
+        "doc_id",
+        *[own[c].alias(c) for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join(own["base_labels"], ",").alias("base_labels"),
+        F.array_join(own["labels"], ",").alias("labels"),
+        own["score"].alias("score"),
+    )
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source")
+    found = secrets.scanned(documents, keep=["doc_id"])
+    base = [k.name for k in secrets.BASE]
+
+    def listed(column):
+        parts = [column["kind"], column["start"].cast("string"), column["end"].cast("string")]
+        return F.concat_ws(":", *parts)
+
+    def count(name):
+        return F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    own = F.array_join(F.transform(F.filter("spans", lambda s: s["kind"].isin(base)), listed), ",")
+    live = F.size(F.filter("judged", lambda s: s["live"])).cast("long")
+    return found.select(
+        "doc_id",
+        *map(count, base),
+        F.sha2(own.cast("binary"), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", listed), ",").alias("spans"),
+        live.alias("n_live"),
+        (F.size("judged") - live).alias("n_copied"),
+    )
+
+
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judged(pages).select("page_id", "url_filter.*")
@@ -35,5 +71,7 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op4_license_scan": op4_license_scan,
+        "op8_secret_scan": op8_secret_scan,
         "op10_url_filters": op10_url_filters,
     }
