@@ -35,10 +35,10 @@ class ItemAutomaton:
 
     def __init__(self, items: list[tuple[str | None, np.ndarray]], window: int):
         self.window = window
-        self.vocabulary = np.unique(np.concatenate([h for _, h in items] or [np.zeros(0, np.uint64)]))
+        self.vocabulary = words.Vocabulary(np.concatenate([h for _, h in items] or [np.zeros(0, np.uint64)]))
         self.steps: list[dict[int, int]] = [{}]
         self.link, self.size = [-1], [0]
-        ids = [np.searchsorted(self.vocabulary, h).tolist() for _, h in items]
+        ids = [self.vocabulary.find(h)[1].tolist() for _, h in items]
         for one in ids:
             last = 0
             for word in one:
@@ -136,13 +136,9 @@ class ItemAutomaton:
         return hits, items, longest
 
 
-def _known_runs(block: words.Block, automaton: ItemAutomaton, table: np.ndarray):
+def _known_runs(block: words.Block, automaton: ItemAutomaton):
     """Runs of words of one text that all occur in items and are long enough to hold a window: (text, from, numbers)."""
-    maybe = np.flatnonzero(table[(block.hashes >> np.uint64(44)).astype(np.int64)])
-    places = np.searchsorted(automaton.vocabulary, block.hashes[maybe])
-    places[places == len(automaton.vocabulary)] = 0
-    known = automaton.vocabulary[places] == block.hashes[maybe]
-    at, numbers = maybe[known], places[known]
+    at, numbers = automaton.vocabulary.find(block.hashes)
     if not len(at):
         return
     rows = np.searchsorted(block.bounds, at, "right") - 1
@@ -168,15 +164,13 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def scan(column: pa.Array, automaton: ItemAutomaton) -> list[tuple[int, int, int, list, list]]:
     """For each text: words, words hit, longest match, item ids, hit spans as byte places of the UTF-8 text."""
-    table = np.zeros(1 << 20, bool)
-    table[(automaton.vocabulary >> np.uint64(44)).astype(np.int64)] = True
     out = []
     for block in words.blocks(column, words.LETTERS):
         hits: dict[int, list[tuple[int, int]]] = {}
         items: dict[int, set[int]] = {}
         longest: dict[int, int] = {}
         if len(automaton.vocabulary):
-            for row, start, numbers in _known_runs(block, automaton, table):
+            for row, start, numbers in _known_runs(block, automaton):
                 found, owners, most = automaton.stream(numbers)
                 longest[row] = max(longest.get(row, 0), most)
                 if found:

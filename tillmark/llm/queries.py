@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, licenses, secrets, url_filter
+from tillmark.llm import decontaminate, licenses, secrets, toxicity, url_filter
+from tillmark.llm.learning import fold
 from tillmark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,17 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit_labelled(documents, table(spark, folder, "labels"), fold("doc_id"))
+    return toxicity.scored(documents, model).select(
+        "doc_id",
+        (fold("doc_id") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judged(pages).select("page_id", "url_filter.*")
@@ -73,5 +85,6 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": op1_decontamination,
         "op4_license_scan": op4_license_scan,
         "op8_secret_scan": op8_secret_scan,
+        "op9_toxicity": op9_toxicity,
         "op10_url_filters": op10_url_filters,
     }

@@ -171,3 +171,30 @@ def distinct_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
     keep[1:] = (found[1:] != found[:-1]) | (rows[1:] != rows[:-1])
     rows, found = rows[keep], found[keep]
     return found, np.searchsorted(rows, np.arange(block.last - block.first + 1))
+
+
+class Vocabulary:
+    """Some word hashes, numbered in ascending order, to be found among the words of a block."""
+
+    BITS = 20
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(np.asarray(hashes, np.uint64))
+        self.first_bits = np.zeros(1 << self.BITS, bool)
+        self.first_bits[self._first(self.hashes)] = True
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``hashes`` that hold a word of the vocabulary, and its number."""
+        maybe = np.flatnonzero(self.first_bits[self._first(hashes)])
+        if not len(maybe):
+            return maybe, maybe
+        wanted = hashes[maybe]
+        numbers = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+        same = self.hashes[numbers] == wanted
+        return maybe[same], numbers[same]
