@@ -38,6 +38,26 @@ from doc left join covered using (r) left join items using (r)
 """
 
 
+OP2 = f"""
+with recursive doc as (
+    select row_number() over () as r, doc_id,
+        regexp_extract_all({FOLDED.format("coalesce(text, '')")}, '{SOLID}') as w
+    from documents
+), gram as (
+    select distinct r, array_to_string(w[i : i + least(len(w), 3) - 1], ' ') as g
+    from (select r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from doc where len(w) > 0)
+), size as (select r, count(*) as n from gram group by r),
+pair as (
+    select x.r as a, y.r as b, count(*) as c from gram x join gram y on x.g = y.g and x.r < y.r group by all
+), link as (
+    select a, b from pair join size s on s.r = a join size t on t.r = b where 100 * c >= 90 * (s.n + t.n - c)
+), both_ways as (select a, b from link union all select b, a from link),
+reach(r, other) as (select r, r from doc union select reach.r, b from reach join both_ways on a = other)
+select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(o.doc_id) as component_id
+from doc d left join size using (r) join reach on reach.r = d.r join doc o on o.r = reach.other
+group by d.r, d.doc_id
+"""
+
 OP10 = f"""
 with rest as (
     select page_id, url,
@@ -132,6 +152,7 @@ from doc left join folded using (r)
 def statements() -> dict[str, str]:
     return {
         "op1_decontamination": OP1,
+        "op2_ngram_jaccard": OP2,
         "op4_license_scan": OP4,
         "op8_secret_scan": OP8,
         "op10_url_filters": OP10,

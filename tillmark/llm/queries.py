@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, licenses, secrets, toxicity, url_filter
+from tillmark.llm import decontaminate, jaccard, licenses, secrets, toxicity, url_filter
 from tillmark.llm.learning import fold
 from tillmark.llm.shared import table
 
@@ -28,6 +28,11 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.linked(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     own = F.col("licenses")
@@ -83,6 +88,7 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_ngram_jaccard": op2_ngram_jaccard,
         "op4_license_scan": op4_license_scan,
         "op8_secret_scan": op8_secret_scan,
         "op9_toxicity": op9_toxicity,
