@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, jaccard, licenses, secrets, toxicity, url_filter
+from tillmark.llm import decontaminate, fingerprints, jaccard, licenses, secrets, toxicity, url_filter
 from tillmark.llm.learning import fold
 from tillmark.llm.shared import table
 
@@ -33,6 +33,10 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_minhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edit_compared(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     own = F.col("licenses")
@@ -89,6 +93,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_ngram_jaccard": op2_ngram_jaccard,
+        "op3_minhash_fingerprints": op3_minhash_fingerprints,
         "op4_license_scan": op4_license_scan,
         "op8_secret_scan": op8_secret_scan,
         "op9_toxicity": op9_toxicity,
