@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, fingerprints, jaccard, licenses, secrets, toxicity, url_filter
+from tillmark.llm import decontaminate, fingerprints, jaccard, licenses, packing, secrets, toxicity, url_filter
 from tillmark.llm.learning import fold
 from tillmark.llm.shared import table
 
@@ -49,6 +49,11 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.packed(documents, packing.word_tokens(F.col("text")))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "source")
     found = secrets.scanned(documents, keep=["doc_id"])
@@ -95,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op2_ngram_jaccard": op2_ngram_jaccard,
         "op3_minhash_fingerprints": op3_minhash_fingerprints,
         "op4_license_scan": op4_license_scan,
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op8_secret_scan": op8_secret_scan,
         "op9_toxicity": op9_toxicity,
         "op10_url_filters": op10_url_filters,
