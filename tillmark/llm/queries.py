@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, fingerprints, jaccard, licenses, packing, secrets, toxicity, url_filter
+from tillmark.llm import decontaminate, fingerprints, jaccard, licenses, packing, quality, secrets, toxicity, url_filter
 from tillmark.llm.learning import fold
 from tillmark.llm.shared import table
 
@@ -54,6 +54,19 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(documents, packing.word_tokens(F.col("text")))
 
 
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    model = quality.fit(documents, table(spark, folder, "labels"), fold("doc_id") != 0)
+    return quality.scored(documents, model).select(
+        "doc_id",
+        (fold("doc_id") == 0).alias("held_out"),
+        "text_score",
+        "page_score",
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "source")
     found = secrets.scanned(documents, keep=["doc_id"])
@@ -101,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op3_minhash_fingerprints": op3_minhash_fingerprints,
         "op4_license_scan": op4_license_scan,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op7_quality_classifier": op7_quality_classifier,
         "op8_secret_scan": op8_secret_scan,
         "op9_toxicity": op9_toxicity,
         "op10_url_filters": op10_url_filters,
