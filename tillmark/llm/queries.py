@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, fingerprints, jaccard, licenses, packing, quality, secrets, toxicity, url_filter
+from tillmark.llm import decontaminate, fingerprints, html_extract, jaccard, licenses, packing, quality, secrets, toxicity, url_filter
 from tillmark.llm.learning import fold
 from tillmark.llm.shared import table
 
@@ -54,6 +54,12 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(documents, packing.word_tokens(F.col("text")))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_extract.extracted(pages, html_extract.fit(pages), column="text")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     model = quality.fit(documents, table(spark, folder, "labels"), fold("doc_id") != 0)
@@ -114,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op3_minhash_fingerprints": op3_minhash_fingerprints,
         "op4_license_scan": op4_license_scan,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_html_extraction": op6_html_extraction,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_secret_scan": op8_secret_scan,
         "op9_toxicity": op9_toxicity,
