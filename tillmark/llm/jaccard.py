@@ -8,7 +8,8 @@ exact and runs in four steps.
    space is cut into more than *D* parts, so linked sets agree completely in at least one part.  A set's parts are its
    block keys.  Parts that hold hardly a shingle say little; some are left out, and as many parts more than needed are
    cut, so that one that says more always remains.  How many parts there are depends on the size class of the set, and
-   every set is cut for its own class and the next one.
+   every set is cut for its own class and the next one.  (For thresholds well below 0.9 the parts get too small to say
+   anything; another source of block keys can be given, such as MinHash bands.)
 3. *Groups.*  Sets that share a block are candidates; connected candidates form a group.  Large groups are cut into
    tiles by size class and hash, and tiles of neighbouring classes meet in pairs.
 4. *Signature trees.*  Each tile becomes a tree whose nodes hold the OR of their sets' token bitmaps and the range of
@@ -411,13 +412,16 @@ def deduplicated(
     text_column: str = "text",
     size: int = SHINGLE,
     threshold: Fraction = THRESHOLD,
+    signer: Signer | None = None,
 ) -> DataFrame:
     """``documents`` with one of each component: the row whose id names it.  A row that repeats id and text stays once.
 
     Null and empty texts link with nothing, so they stay.  Rows without an id stay unless a row with one is in their
     component.
     """
-    found = linked(documents, id_column=id_column, text_column=text_column, size=size, threshold=threshold)
+    found = linked(
+        documents, id_column=id_column, text_column=text_column, size=size, threshold=threshold, signer=signer
+    )
     keep = found.where(F.col(id_column).eqNullSafe(F.col("component_id")))
     keep = keep.select(F.col(id_column).alias("_id"), F.col("text_key").alias("_key")).distinct()
     columns = documents.columns
