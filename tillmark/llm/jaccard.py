@@ -348,7 +348,9 @@ def linked_sets(
     members = stored(groups.join(firsts, "set_id"))
     num, den = threshold.numerator, threshold.denominator
     kept = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    kept = kept.join(members.select("first_id").distinct(), F.col("id").eqNullSafe(F.col("first_id")), "left_semi")
+    # Texts are shuffled at every size: a plan that broadcasts the ids of few sets only shows its cost beyond them.
+    wanted = members.select("first_id").distinct().hint("merge")
+    kept = kept.join(wanted, F.col("id").eqNullSafe(F.col("first_id")), "left_semi")
 
     def sets(batches):
         for batch in batches:
