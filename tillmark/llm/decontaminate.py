@@ -287,9 +287,9 @@ def _several(documents: DataFrame, text_column: str, results: list[DataFrame]) -
     found = joined.mapInArrow(
         merge, "_text string, _n_hit long, _longest long, _items array<string>, _spans array<struct<start: long, end: long>>"
     )
-    first = results[0]
-    out = first.join(found, F.col(text_column) == F.col("_text"), "left")
     own = "contamination"
+    first = results[0].select(F.struct(*documents.columns).alias("row"), F.col(text_column).alias("own_text"), own)
+    out = first.join(found, F.col("own_text") == F.col("_text"), "left")
     value = F.struct(
         F.col(f"{own}.n_words").alias("n_words"),
         F.coalesce("_n_hit", F.lit(0)).cast("long").alias("n_hit"),
@@ -297,7 +297,7 @@ def _several(documents: DataFrame, text_column: str, results: list[DataFrame]) -
         F.coalesce("_items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("_spans", F.array().cast("array<struct<start: long, end: long>>")).alias("spans"),
     )
-    return out.withColumn(own, value).select(*documents.columns, own)
+    return out.select("row.*", value.alias(own))
 
 
 def decontaminated(

@@ -425,8 +425,9 @@ def deduplicated(
         documents, id_column=id_column, text_column=text_column, size=size, threshold=threshold, signer=signer
     )
     keep = found.where(F.col(id_column).eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col(id_column).alias("_id"), F.col("text_key").alias("_key")).distinct()
-    columns = documents.columns
-    own = documents.withColumn("_own", text_key(F.col(text_column)))
-    match = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key"))
-    return own.join(keep, match, "left_semi").dropDuplicates([id_column, "_own"]).select(columns)
+    keep = keep.select(F.col(id_column).alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
+    own = documents.select(
+        F.struct("*").alias("row"), F.col(id_column).alias("id"), text_key(F.col(text_column)).alias("key")
+    )
+    match = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    return own.join(keep, match, "left_semi").dropDuplicates(["id", "key"]).select("row.*")

@@ -173,8 +173,7 @@ def scanned(documents: DataFrame, *, text_column: str = "text", phrases=PHRASES,
     arrays) and score: the largest containment of a template, 1 where a phrase stands, else 0.  Null counts as empty.
     Rows keep their number; an own column ``licenses`` is replaced.  Labels follow the text, so equal texts share them.
     """
-    columns = [c for c in documents.columns if c != "licenses"]
-    documents = documents.select(columns)
+    documents = documents.drop("licenses")
     text = F.coalesce(F.col(text_column), F.lit(""))
     found = licensed_blocks(documents, text_column=text_column, templates=templates)
     labels = (
@@ -182,17 +181,17 @@ def scanned(documents: DataFrame, *, text_column: str = "text", phrases=PHRASES,
         .agg(F.collect_set("label").alias("found"), F.max("containment").alias("containment"))
         .withColumnRenamed("text_key", "_key")
     )
-    base = documents.withColumns(
-        {
-            "_key": text_key(F.col(text_column)),
-            "_words": F.regexp_count(text, F.lit(ANY_WORD)).cast("long"),
-            "_base": _phrase_places(text, phrases),
-        }
+    # The caller's columns travel as one, so that none of their names matters.
+    base = documents.select(
+        F.struct("*").alias("row"),
+        text_key(F.col(text_column)).alias("_key"),
+        F.regexp_count(text, F.lit(ANY_WORD)).cast("long").alias("_words"),
+        _phrase_places(text, phrases).alias("_base"),
     )
     own = F.array_sort(F.array_distinct(F.transform("_base", lambda b: b["label"])))
     total = F.reduce("_base", F.lit(0).cast("long"), lambda a, b: a + b["n"])
     return base.join(labels, "_key", "left").select(
-        *columns,
+        "row.*",
         F.struct(
             F.col("_words").alias("n_words"),
             total.alias("n_base"),

@@ -224,9 +224,16 @@ def fit(
     named = labels.where(seen & F.col(label_column).isNotNull()).groupBy(F.col(id_column).alias("_id"))
     known = named.agg(F.max(F.col(label_column).cast("int")).alias("label"))
     known = bounded_sample(known, MAX_LABELLED, "_id")
-    text = [F.col(text_column), F.col(source_column).cast("string"), F.col(language_column).cast("string")]
-    own = documents.join(F.broadcast(known), F.col(id_column) == F.col("_id"))  # MAX_LABELLED ids
-    pool = bounded_sample(documents.where(seen), MAX_UNLABELLED, id_column)
+    text = ["text", "source", "lang"]
+    rows = documents.select(
+        F.col(id_column).alias("id"),
+        F.col(text_column).alias("text"),
+        F.col(source_column).cast("string").alias("source"),
+        F.col(language_column).cast("string").alias("lang"),
+        seen.alias("seen"),
+    )
+    own = rows.join(F.broadcast(known), F.col("id") == F.col("_id"))  # MAX_LABELLED ids
+    pool = bounded_sample(rows.where("seen"), MAX_UNLABELLED, "id")
     rows = _features(own.select("label", *text)).collect()
     free = _features(pool.select(F.lit(-1).alias("label"), *text)).collect()
     rows.sort(key=lambda r: (bytes(r["page"]), r["label"]))  # the same order at every run

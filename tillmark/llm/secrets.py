@@ -186,14 +186,14 @@ def redacted(
 
     Only rows that hold candidates are joined; all others, null texts included, pass by untouched.
     """
-    columns = documents.columns
     text = F.coalesce(F.col(text_column), F.lit(""))
     found = found_spans(documents, keep=[], text_column=text_column, repository=repository, owner=owner)
     judged = judged_spans(found, common_owners)
     likely = "|".join(f"(?:[0-9a-f]{{{k.least}}})" if k.name == "hex" else f"(?:{k.pattern})" for k in KINDS)
     holds = text.rlike(likely)
-    judged = judged.withColumnRenamed("text_key", "_key").withColumnRenamed("judged", "_judged")
-    own = documents.where(holds).withColumn("_own", text_key(F.col(text_column)))
-    own = own.join(judged, F.col("_own") == F.col("_key"), "left")
-    new = F.when(F.col("_judged").isNull(), F.col(text_column)).otherwise(masked(F.col(text_column), F.col("_judged")))
-    return documents.where(~holds).unionByName(own.withColumn(text_column, new).select(columns))
+    own = documents.where(holds).select(F.struct("*").alias("row"), text_key(F.col(text_column)).alias("key"))
+    own = own.join(judged, F.col("key") == F.col("text_key"), "left")
+    old = F.col("row").getField(text_column)
+    new = F.when(F.col("judged").isNull(), old).otherwise(masked(old, F.col("judged")))
+    own = own.select(F.col("row").withField(text_column, new).alias("row")).select("row.*")
+    return documents.where(~holds).unionByName(own)

@@ -79,14 +79,13 @@ def train(toxic: SparseRows, unlabelled: SparseRows, features: int, prior: float
     return weights[:-1], float(weights[-1])
 
 
-def _hashes(sample: DataFrame, text_column: str) -> DataFrame:
+def _hashes(sample: DataFrame) -> DataFrame:
     """word, toxic, texts: in how many texts of a batch a word is."""
 
     def count(batches):
         for batch in batches:
-            names = batch.schema.names
-            toxic = np.asarray(batch.column(names.index("_toxic")))
-            for block in words.blocks(batch.column(names.index(text_column)), words.LETTERS):
+            toxic = np.asarray(batch.column(0))
+            for block in words.blocks(batch.column(1), words.LETTERS):
                 found, bounds = words.distinct_sets(block, 1)
                 own = np.repeat(toxic[block.first : block.last], np.diff(bounds))
                 for label in (0, 1):
@@ -94,21 +93,20 @@ def _hashes(sample: DataFrame, text_column: str) -> DataFrame:
                     arrays = [pa.array(word.view(np.int64)), pa.array(np.full(len(word), label, np.int32)), pa.array(texts)]
                     yield pa.RecordBatch.from_arrays(arrays, ["word", "toxic", "texts"])
 
-    return sample.select("_toxic", text_column).mapInArrow(count, "word long, toxic int, texts long")
+    return sample.mapInArrow(count, "word long, toxic int, texts long")
 
 
-def _rows(sample: DataFrame, text_column: str, vocabulary: words.Vocabulary) -> DataFrame:
+def _rows(sample: DataFrame, vocabulary: words.Vocabulary) -> DataFrame:
     def rows(batches):
         for batch in batches:
-            names = batch.schema.names
-            for block in words.blocks(batch.column(names.index(text_column)), words.LETTERS):
+            for block in words.blocks(batch.column(1), words.LETTERS):
                 own, numbers = present(block, vocabulary)
                 cuts = np.searchsorted(own, np.arange(block.last - block.first + 1)).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(cuts), pa.array(numbers.astype(np.int32)))
-                toxic = batch.column(names.index("_toxic")).slice(block.first, block.last - block.first)
+                toxic = batch.column(0).slice(block.first, block.last - block.first)
                 yield pa.RecordBatch.from_arrays([toxic, listed], ["toxic", "features"])
 
-    return sample.select("_toxic", text_column).mapInArrow(rows, "toxic int, features array<int>")
+    return sample.mapInArrow(rows, "toxic int, features array<int>")
 
 
 def fit(
@@ -126,16 +124,15 @@ def fit(
     Without a confirmed example, or without documents, the model gives every text the prior.
     """
     prior = min(max(prior, LEAST_PRIOR), MOST_PRIOR)
+    documents = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     ids = bounded_sample(confirmed.select(F.col(id_column).alias("_id")).distinct(), max_toxic, "_id")
-    toxic = documents.join(F.broadcast(ids), F.col(id_column) == F.col("_id"), "left_semi")  # max_toxic ids
-    plain = bounded_sample(documents, max_unlabelled, id_column)
-    sample = toxic.select(F.lit(1).alias("_toxic"), text_column).unionByName(
-        plain.select(F.lit(0).alias("_toxic"), text_column)
-    )
-    texts = {r["_toxic"]: r["count"] for r in sample.groupBy("_toxic").count().collect()}
+    toxic = documents.join(F.broadcast(ids), F.col("id") == F.col("_id"), "left_semi")  # max_toxic ids
+    plain = bounded_sample(documents, max_unlabelled, "id")
+    sample = toxic.select(F.lit(1).alias("toxic"), "text").unionByName(plain.select(F.lit(0).alias("toxic"), "text"))
+    texts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(texts) < 2:
         return Model(words.Vocabulary(np.zeros(0, np.uint64)), np.zeros(1), float(np.log(prior / (1 - prior))))
-    counted = _hashes(sample, text_column).groupBy("word").agg(
+    counted = _hashes(sample).groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("texts")).otherwise(0)).alias("p"),
         F.sum(F.when(F.col("toxic") == 0, F.col("texts")).otherwise(0)).alias("u"),
     )
@@ -146,7 +143,7 @@ def fit(
     told = told.where(F.col("gain") >= LEAST_GAIN)
     chosen = told.orderBy(F.desc("gain"), "word").limit(FEATURES).select("word").collect()
     vocabulary = words.Vocabulary(np.array([r["word"] for r in chosen], np.int64).view(np.uint64))
-    rows = _rows(sample, text_column, vocabulary).collect()  # as many as the sample has, of FEATURES numbers at most
+    rows = _rows(sample, vocabulary).collect()  # as many as the sample has, of FEATURES numbers at most
     parts = [SparseRows([np.array(r["features"], np.int64) for r in rows if r["toxic"] == t]) for t in (1, 0)]
     weights, bias = train(*parts, max(len(vocabulary), 1), prior)
     return Model(vocabulary, weights, bias)
