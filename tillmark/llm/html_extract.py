@@ -312,13 +312,20 @@ class _Layout:
         self.out.append(end)
 
     def made(self) -> tuple[list[Leaf], list[int]] | None:
+        """The blocks and labels of one page; one in seven is nothing but its article."""
+        bare = self.maybe(0.15)
+        before = (self.notice, 0.35), (self.header, 0.5), (self.menu, 0.8), (self.advert, 0.4), (self.form, 0.2), (self.sidebar, 0.2)
+        after = (
+            (self.advert, 0.2), (self.comments, 0.5), (self.sidebar, 0.4), (self.form, 0.25), (self.menu, 0.15),
+            (self.notice, 0.2), (self.footer, 0.85),
+        )
         self.out.append("<html><body>")
-        for part, chance in ((self.notice, 0.35), (self.header, 0.5), (self.menu, 0.8), (self.advert, 0.4), (self.form, 0.2), (self.sidebar, 0.2)):
-            if self.maybe(chance):
+        for part, chance in before:
+            if not bare and self.maybe(chance):
                 part()
         self.article()
-        for part, chance in ((self.advert, 0.2), (self.comments, 0.5), (self.sidebar, 0.4), (self.form, 0.25), (self.menu, 0.15), (self.notice, 0.2), (self.footer, 0.85)):
-            if self.maybe(chance):
+        for part, chance in after:
+            if not bare and self.maybe(chance):
                 part()
         self.out.append("</body></html>")
         blocks = leaves("".join(self.out))
