@@ -1,10 +1,11 @@
-"""Both ways of ranking against plain Python, with ties, nulls, tiny inputs and dominant keys."""
+"""Ranking against plain Python, with ties, nulls, tiny inputs and dominant keys."""
 
 import random
 
 import pytest
 
-from tillmark.operators.ranking import asc, desc, with_ranks
+from tillmark.operators import durable, ranking
+from tillmark.operators.ranking import Ranks, asc, desc, with_ranks
 
 
 def tiles(total, n):
@@ -27,18 +28,11 @@ def expected(rows, ascending, grouped):
     return out
 
 
-def ranked(spark, rows, ascending, grouped, distributed):
+def ranked(spark, rows, ascending, grouped):
     frame = spark.createDataFrame(rows, "g string, id bigint, v bigint").repartition(3)
-    got = with_ranks(
-        frame,
-        [asc("v") if ascending else desc("v")],
-        ["id"],
-        partition_by=["g"] if grouped else [],
-        rank="rank",
-        row_number="number",
-        ntiles={"tile": 5},
-        distributed=distributed,
-    )
+    order = [asc("v") if ascending else desc("v")]
+    groups = ["g"] if grouped else []
+    got = with_ranks(frame, Ranks(order, ["id"], groups, rank="rank", row_number="number", ntiles={"tile": 5}))
     assert got.columns == ["g", "id", "v", "number", "tile", "rank"]
     return {r.id: (r["rank"], r.number, r.tile) for r in got.collect()}
 
@@ -48,54 +42,50 @@ def sample(n, spread, seed, groups=("a",)):
     return [(pick.choice(groups), i, None if pick.random() < 0.1 else pick.randrange(spread)) for i in range(n)]
 
 
-@pytest.mark.parametrize("distributed", [False, True])
 @pytest.mark.parametrize("n", [1, 2, 4, 5, 7, 12])
-def test_tiny_inputs(spark, n, distributed):
+def test_tiny_inputs(spark, n):
     rows = sample(n, 3, n)
-    assert ranked(spark, rows, True, False, distributed) == expected(rows, True, False)
+    assert ranked(spark, rows, True, False) == expected(rows, True, False)
 
 
-@pytest.mark.parametrize("distributed", [False, True])
 @pytest.mark.parametrize("ascending", [False, True])
 @pytest.mark.parametrize("spread", [1, 4, 1000])
-def test_ties_and_nulls(spark, spread, ascending, distributed):
+def test_ties_and_nulls(spark, spread, ascending):
     """spread 1: every key is equal, so the ties of one key span all tasks."""
     rows = sample(400, spread, spread)
-    assert ranked(spark, rows, ascending, False, distributed) == expected(rows, ascending, False)
+    assert ranked(spark, rows, ascending, False) == expected(rows, ascending, False)
 
 
-@pytest.mark.parametrize("distributed", [False, True])
-def test_groups_one_of_them_dominant(spark, distributed):
+def test_groups_one_of_them_dominant(spark):
     rows = sample(500, 6, 1, groups=("big", "big", "big", "big", "b", "c", None))
-    assert ranked(spark, rows, False, True, distributed) == expected(rows, False, True)
+    assert ranked(spark, rows, False, True) == expected(rows, False, True)
 
 
-def test_large_way_sorts_no_data_in_one_task(spark):
-    """Once numbered, the rows are not shuffled again; only the summary of one row per task moves."""
-    frame = spark.range(1000).selectExpr("id", "id % 7 as v")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # would leave one task for such few rows
-    got = with_ranks(frame, [desc("v")], ["id"], rank="rank", distributed=True)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    rows, summary = plan.split("BroadcastExchange")
-    assert "SinglePartition" not in plan and "Exchange" not in rows
-    assert summary.count("Exchange hashpartitioning") == 2 and "partial_count" in summary
-    assert got.count() == 1000
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+def test_several_batches_in_one_run(spark):
+    """Groups and ties that go on from one Arrow batch to the next."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    rows = sample(300, 5, 9, groups=("a", "b"))
+    assert ranked(spark, rows, True, True) == expected(rows, True, True)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_unknown_size_takes_the_large_way(spark, monkeypatch):
-    from tillmark.operators import ranking
+def test_stored_frames_have_one_exchange_and_no_single_task(spark, workspace, monkeypatch):
+    """Every frame that a ranked table stores: the table itself once, and narrow rows shuffled by range alone."""
+    plans = []
+    real = durable.checkpointed
 
-    monkeypatch.setattr(ranking, "input_bytes", lambda df: None)
-    called = []
-    real = ranking._distributed
-    monkeypatch.setattr(ranking, "_distributed", lambda *a: called.append(1) or real(*a))
-    with_ranks(spark.range(10), [asc("id")], [], row_number="n").collect()
-    assert called == [1]
+    def seen(df):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df)
 
+    totals = real(workspace.sales_totals)
+    monkeypatch.setattr(ranking, "checkpointed", seen)
+    from tillmark.plans import marts
 
-def test_input_bytes_counts_files(spark, workspace):
-    from tillmark.operators.durable import input_bytes
-
-    size = input_bytes(workspace.fct_customer_behavior)
-    assert 10_000 < size < 10_000_000
+    final = marts.mart_sales_summary(totals)._jdf.queryExecution().executedPlan().toString()
+    assert len(plans) == 3
+    (wide, first), *narrow = plans
+    assert len(wide) == len(totals.columns) + 1 and "Exchange" not in first
+    for columns, plan in narrow:
+        assert len(columns) == 6 and plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan
+    assert "SinglePartition" not in final + "".join(p for _, p in plans)

@@ -7,15 +7,18 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from tillmark.checks import reference_sql
+from tillmark.plans import catalog
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.queries()
+SQL = reference_sql.statements()
 WITHOUT_SQL = {"als_recommendations", "customer_recommendations"}
 
 
 def test_every_query_has_sql_but_the_factorisation():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -55,11 +55,6 @@ def test_missing_lookups(spark, workspace):
     assert readers.require_rows(unlabelled, "products") is unlabelled
 
 
-def test_cap_is_off_by_default(spark):
-    assert readers.cap_rows(spark.range(10)).count() == 10
-    assert readers.cap_rows(spark.range(10), 4).count() == 4
-
-
 def test_upsert(spark):
     ddl = "k bigint, v string"
     target = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], ddl)

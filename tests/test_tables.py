@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tillmark.operators import durable
 from tillmark.plans import facts, marts, reports, segments
 from tillmark.plans.workspace import LOAD_TIME, REFRESH_ORDER, Workspace
 
@@ -61,21 +62,6 @@ def test_employees_without_sales_and_all_tiers(spark):
     assert sum(rows[i].pct_country_revenue for i in range(1, 8)) == pytest.approx(Decimal(100), abs=Decimal("0.05"))
 
 
-def test_ranked_marts_do_not_depend_on_the_way_of_ranking(spark, workspace, monkeypatch):
-    from tillmark.operators import ranking
-
-    for build in (
-        lambda: marts.mart_sales_summary(workspace.sales_totals),
-        lambda: marts.mart_employee_performance(workspace.fct_employee_performance),
-        lambda: marts.customer_lifetime_value(workspace.st_sales, workspace.st_customers),
-        lambda: marts.mart_customer_behavior(workspace.fct_customer_behavior, workspace.st_customers),
-    ):
-        monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", 1 << 40)
-        small = sorted(map(str, build().collect()))
-        monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", 0)
-        assert sorted(map(str, build().collect())) == small
-
-
 def test_previous_month_across_the_year_end(spark):
     rows = [(2000, 12, 5, 1), (2001, 1, 7, 2), (2000, 11, 3, 1), (2001, 1, 1, 1)]
     totals = spark.createDataFrame(rows, "year int, month int, total_revenue bigint, total_profit bigint")
@@ -105,7 +91,9 @@ def test_tiles_are_even(workspace):
 def test_full_refresh(spark, workspace, tmp_path):
     """All tables stored, each built from the stored ones below it, equal to the lazy ones."""
     fresh = Workspace(dict(workspace._sources), as_of=workspace.as_of)
+    before = list(durable._written)
     stored = fresh.refresh(str(tmp_path))
+    assert durable._written == before  # intermediate tables are gone
     assert list(stored) == list(REFRESH_ORDER)
     for name, frame in stored.items():
         assert (LOAD_TIME.get(name) in frame.columns) == (name in LOAD_TIME)
@@ -114,6 +102,8 @@ def test_full_refresh(spark, workspace, tmp_path):
         lazy = getattr(workspace, name).select(plain.columns)
         assert plain.exceptAll(lazy).isEmpty() and lazy.exceptAll(plain).isEmpty()
     assert stored["customer_recommendations"].where(F.col("model_type") != "ALS").isEmpty()
+    # What is asked for later does not need them.
+    assert fresh.mart_employee_performance.count() == stored["mart_employee_performance"].count()
 
 
 def test_repeated_sale_ids_are_counted_once(spark):
@@ -121,26 +111,35 @@ def test_repeated_sale_ids_are_counted_once(spark):
     one = Decimal(1)
     unique = spark.createDataFrame([(f"s{i}", i % 2, i % 3, 1, one, one, DAY) for i in range(7)], ddl)
     repeated = unique.unionByName(unique.where("sales_id in ('s1', 's2')"))
-    assert facts.has_unique_ids(unique) and not facts.has_unique_ids(repeated)
 
-    def counts(sales, unique_ids=False):
-        return {r.customer_id: r.purchase_count for r in facts.fct_customer_behavior(sales, unique_ids).collect()}
+    def counts(sales):
+        return {r.customer_id: r.purchase_count for r in facts.fct_customer_behavior(sales).collect()}
 
-    assert counts(unique) == counts(unique, True) == counts(repeated) == {0: 4, 1: 3}
+    assert counts(unique) == counts(repeated) == {0: 4, 1: 3}
 
 
-def test_dimensions_are_broadcast_only_while_small(spark, workspace, monkeypatch):
-    from tillmark.operators import durable
-
-    def star():
-        fact = facts.fct_sales_summary(
-            workspace.st_sales, workspace.st_products, workspace.st_customers, workspace.st_employees
-        )
-        return fact, fact._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
-
-    small, hints = star()
-    assert hints == 3
-    monkeypatch.setattr(durable, "LOOKUP_BYTES", 0)
-    large, hints = star()
-    assert hints == 0
-    assert small.exceptAll(large).isEmpty() and small.count() == large.count()
+def test_a_large_dimension_is_not_broadcast(spark, workspace):
+    """Fifty million rows that would pack into few bytes; the plan is looked at, not run."""
+    many = spark.range(50_000_000).select(
+        F.col("id").alias("customer_id"), *[F.lit("x").alias(c) for c in ("city_name", "country_name", "country_code")]
+    )
+    fact = facts.fct_sales_summary(workspace.st_sales, workspace.st_products, many, workspace.st_employees)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [customer_id" in plan and "strategy=broadcast" not in fact._jdf.queryExecution().analyzed().toString()
+
+
+def test_repeated_dimension_rows_through_a_refresh(spark, workspace, tmp_path):
+    """A customer and a product that occur twice multiply lines as a plain join does; sales still count once."""
+    sources = dict(workspace._sources)
+    for name, key in (("customers", "CustomerID"), ("products", "ProductID")):
+        own = workspace.source(name)
+        sources[name] = own.unionByName(own.where(F.col(key) <= 20))
+    space = Workspace(sources, as_of=workspace.as_of)
+    wanted = REFRESH_ORDER[: REFRESH_ORDER.index("fct_customer_behavior")]
+    stored = space.refresh(str(tmp_path), wanted)
+    got = space.sales_totals.groupBy("product_id").agg(F.sum("total_units_sold").alias("units"), F.sum("transaction_count").alias("n"))
+    fact, labels = stored["fct_sales_summary"], stored["st_products"].select("product_id", "product_name")
+    plain = fact.drop("product_name").join(labels, "product_id", "left").groupBy("product_id", "year", "month", "day", "customer_country", "customer_country_code", "salesperson_country", "product_name")
+    plain = plain.agg(F.sum("quantity").alias("u"), F.count_distinct("sales_id").alias("c")).groupBy("product_id")
+    want = plain.agg(F.sum("u").alias("units"), F.sum("c").alias("n"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -1 +1,10 @@
-"""Retail sales analytics on Spark: every operator maps DataFrames to a DataFrame."""
+"""Retail sales analytics on Spark.
+
+Functions that run in tasks are shipped with their code, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -454,7 +454,6 @@ FINAL: dict[str, str] = {
                           sales_date::varchar as sales_date, 'new-' || sales_id as sales_id,
                           quantity + 1 as quantity)
         from lines where salesperson_id % 2 = 1""",
-    "capped_rows": "select least(count(*), 200000) as rows from src_sales",
     "st_customers": "select * from customers_clean",
     "st_employees": _final("employees_clean", text="birth_date hire_date"),
     "st_products": _final("products_clean", money="price", text="modify_date"),

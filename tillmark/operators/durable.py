@@ -1,50 +1,53 @@
-"""Cutting lineage and judging input size."""
+"""Cutting lineage: intermediate tables in the folder that the cluster shares, and their removal."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-# Files of this size unpack to what an executor can hold several times over.
-LOOKUP_BYTES = 8 * 1024 * 1024
+_written: list[str] = []
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read from the shared checkpoint folder from then on.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, else one in the warehouse; never one of a single machine."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tillmark").rstrip("/")
 
-    The folder is the one the session names in ``spark.checkpoint.dir``.  Only a local session without that setting
-    gets a temporary folder of its own: on a cluster such a folder would be lost with its machine.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="tillmark-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files and tables that the plan of ``df`` reads, None where that is unknown.
-
-    An operator that only groups, filters or joins on unique keys returns no more rows than its inputs hold, so this
-    bounds its result; a source without statistics counts as unlimited.
-    """
-    if not hasattr(df, "_jdf"):  # a remote session has no plan on this side
-        return None
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed now, written once to the shared folder, and read from there from then on.
 
-def lookup(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast where the files behind it are small, unchanged where they are not or unknown.
-
-    Spark's own estimate multiplies the sizes of joined tables, so a dimension that was itself joined with its lookups
-    looks too large to broadcast however small it is.
+    This runs a job, so a function that calls it is not lazy.  The files stay until ``scratch`` or ``release`` removes
+    them: whatever reads the result must have been stored by then.
     """
-    size = input_bytes(df)
-    return F.broadcast(df) if size is not None and size <= LOOKUP_BYTES else df
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate tables written since the ``since``-th."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while len(_written) > since:
+        path = hadoop.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are gone afterwards, also where the work inside fails."""
+    since = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, since)
+
+
+def iteration_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their own lineage in the shared folder too."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

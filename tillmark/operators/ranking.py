@@ -1,25 +1,26 @@
 """Ranks over a whole table, or over groups that may be as large as one.
 
-A window without partition columns, or with few large partitions, sorts each of them in a single task.  That is fine
-while the input is known to be small.  Beyond ``SMALL_INPUT_BYTES`` the rows are range-partitioned on the complete
-order instead (a unique tie-break keeps equal keys from piling up in one task), each task numbers its own sorted run,
-and a summary of one row per task and group turns local positions into global ones.  Both ways return the same ranks.
+A window without partition columns, or with few large partitions, sorts each of them in a single task.  Here only what
+decides the order is sorted: those narrow rows are range-partitioned on the complete order (a unique tie-break keeps
+equal keys from piling up in one task), each task numbers its sorted run in one pass, and a summary of one row per task
+and group turns local positions into global ones.  The ranks are joined back to the rows by a row id.
+
+The input is stored once, and so is each narrow numbering, as it is read twice.  There is one way for every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.operators.durable import checkpointed, input_bytes
-
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
+from tillmark.operators.durable import checkpointed
 
-# monotonically_increasing_id() keeps the task number above, and the row number within the task in, these bits.
-ROW_BITS = 33
-ROW_MASK = (1 << ROW_BITS) - 1
+NUMBERED = "_row long, _task int, _group long, _key long, _number long, _local long"
 
 
 def asc(name: str) -> tuple[str, bool]:
@@ -30,9 +31,26 @@ def desc(name: str) -> tuple[str, bool]:
     return name, False
 
 
-def _sort(columns: Sequence[tuple[str, bool]]) -> list[Column]:
-    """Nulls are smallest: first when ascending, last when descending."""
-    return [F.col(c).asc_nulls_first() if up else F.col(c).desc_nulls_last() for c, up in columns]
+@dataclass(frozen=True)
+class Ranks:
+    """What to add for one order.
+
+    ``rank`` follows ``order_by`` alone, so equal keys share a rank.  ``row_number`` and ``ntiles`` (column -> number
+    of tiles) follow ``order_by`` and then ``tie_break`` ascending, which together must be unique, so that a rerun
+    gives the same numbers.  Nulls are smallest.
+    """
+
+    order_by: Sequence[tuple[str, bool]]
+    tie_break: Sequence[str] = ()
+    partition_by: Sequence[str] = ()
+    rank: str | None = None
+    row_number: str | None = None
+    ntiles: Mapping[str, int] = field(default_factory=dict)
+
+    @property
+    def whole_order(self) -> list[Column]:
+        order = [asc(c) for c in self.partition_by] + list(self.order_by) + [asc(c) for c in self.tie_break]
+        return [F.col(c).asc_nulls_first() if up else F.col(c).desc_nulls_last() for c, up in order]
 
 
 def ntile_of(row_number: Column, total: Column, tiles: int) -> Column:
@@ -45,78 +63,67 @@ def ntile_of(row_number: Column, total: Column, tiles: int) -> Column:
     return F.when(row_number <= in_larger, F.ceil(row_number / (size + 1))).otherwise(rest).cast("int")
 
 
-def exceeds_one_task(df: DataFrame) -> bool:
-    """Whether the rows may be too many for one task to sort; unknown sizes count as too many."""
-    size = input_bytes(df)
-    return size is None or size > SMALL_INPUT_BYTES
-
-
-def with_ranks(
-    df: DataFrame,
-    order_by: Sequence[tuple[str, bool]],
-    tie_break: Sequence[str],
-    *,
-    partition_by: Sequence[str] = (),
-    rank: str | None = None,
-    row_number: str | None = None,
-    ntiles: Mapping[str, int] | None = None,
-    distributed: bool | None = None,
-) -> DataFrame:
-    """Add rank columns to ``df``.
-
-    ``rank`` follows ``order_by`` alone, so equal keys share a rank.  ``row_number`` and ``ntiles`` (column -> number
-    of tiles) follow ``order_by`` and then ``tie_break`` ascending, which together must be unique, so that a rerun
-    gives the same numbers.  ``distributed`` forces one of the two ways; None decides by the size of the input.
-    """
-    if distributed is None:
-        distributed = exceeds_one_task(df)
-    ntiles = dict(ntiles or {})
-    way = _distributed if distributed else _windowed
-    return way(df, list(order_by), [asc(c) for c in tie_break], list(partition_by), rank, row_number, ntiles)
+def with_ranks(df: DataFrame, *wanted: Ranks) -> DataFrame:
+    """``df`` with the columns of every entry of ``wanted``.  Runs jobs: the rows are stored first."""
+    whole = checkpointed(df.withColumn("_row", F.monotonically_increasing_id()))
+    out, added = whole, []
+    for ranks in wanted:
+        found = _ranked(whole, ranks)
+        added += [c for c in found.columns if c != "_row"]
+        out = out.join(found, "_row")
+    return out.select(*df.columns, *added)
+
+
+def _same(columns: Sequence[str]) -> Column:
+    """A value that is equal where all columns are; a null is told from every other value."""
+    return F.xxhash64(*[part for c in columns for part in (F.col(c).isNull(), F.col(c))]) if columns else F.lit(0).cast("long")
+
+
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Position within the group and first position of the key, counted from 1, over one sorted run."""
+    seen, group, key, group_start, key_start = 0, None, None, 0, 0
+    for batch in batches:
+        groups, keys = np.asarray(batch.column(2)), np.asarray(batch.column(3))
+        if not len(groups):
+            continue
+        opens = np.ones(len(groups), bool)
+        opens[1:] = groups[1:] != groups[:-1]
+        opens[0] = group is None or groups[0] != group
+        fresh = opens.copy()
+        fresh[1:] |= keys[1:] != keys[:-1]
+        fresh[0] |= key is None or keys[0] != key
+        at = np.arange(seen, seen + len(groups))
+        starts = np.maximum.accumulate(np.where(opens, at, group_start))
+        firsts = np.maximum.accumulate(np.where(fresh, at, key_start))
+        arrays = [*batch.columns, pa.array(at - starts + 1), pa.array(firsts - starts + 1)]
+        yield pa.RecordBatch.from_arrays(arrays, ["_row", "_task", "_group", "_key", "_number", "_local"])
+        seen += len(groups)
+        group, key, group_start, key_start = groups[-1], keys[-1], int(starts[-1]), int(firsts[-1])
+
+
+def numbered(whole: DataFrame, ranks: Ranks) -> DataFrame:
+    """(row, task, group, key, number and first number of the key within the task's run of the group)."""
+    tasks = max(2, int(whole.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = ranks.whole_order
+    used = {*ranks.partition_by, *ranks.tie_break, *[c for c, _ in ranks.order_by]}
+    narrow = whole.select("_row", *sorted(used))
+    run = narrow.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    marked = run.select(
+        "_row",
+        F.spark_partition_id().alias("_task"),
+        _same(ranks.partition_by).alias("_group"),
+        _same([c for c, _ in ranks.order_by]).alias("_key"),
+    )
+    return marked.mapInArrow(_number, NUMBERED)
 
 
-def _windowed(df, order_by, tie_break, partition_by, rank, row_number, ntiles) -> DataFrame:
-    by_key = Window.partitionBy(*partition_by).orderBy(*_sort(order_by))
-    total = Window.partitionBy(*partition_by).orderBy(*_sort(order_by + tie_break))
-    added: dict[str, Column] = {}
-    if row_number:
-        added[row_number] = F.row_number().over(total).cast("bigint")
-    for name, tiles in ntiles.items():
-        added[name] = F.ntile(tiles).over(total)
-    if rank:
-        added[rank] = F.rank().over(by_key).cast("bigint")
-    return df.withColumns(added)
-
-
-def _distributed(df, order_by, tie_break, partition_by, rank, row_number, ntiles) -> DataFrame:
-    spark = df.sparkSession
-    tasks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    whole_order = _sort([asc(c) for c in partition_by] + order_by + tie_break)
-    at = F.col("_at")
-    placed = (
-        df.repartitionByRange(tasks, *whole_order)
-        .sortWithinPartitions(*whole_order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumns(
-            {
-                "_task": F.shiftright(at, ROW_BITS),
-                "_pos": at.bitwiseAND(F.lit(ROW_MASK)),
-                "_group": F.struct(*partition_by) if partition_by else F.lit(0),
-            }
-        )
-        .drop("_at")
-    )
-    key = F.struct(*[F.col(c) for c, _ in order_by])
-    # One window group per task and group: no larger than the run of a task.
-    local = Window.partitionBy("_task", "_group").orderBy(*_sort(order_by))
+def _ranked(whole: DataFrame, ranks: Ranks) -> DataFrame:
     # The task numbers are read twice below and must not be drawn twice: the range bounds come from a sample.
-    placed = checkpointed(placed.withColumn("_local", F.rank().over(local) if rank else F.lit(1)))
-
+    placed = checkpointed(numbered(whole, ranks))
     runs = placed.groupBy("_task", "_group").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.min("_pos").alias("_first_pos"),
-        F.min_by(key, "_pos").alias("_first_key"),
-        F.max_by(key, "_pos").alias("_last_key"),
+        F.min_by("_key", "_number").alias("_first_key"),
+        F.max_by("_key", "_number").alias("_last_key"),
         F.max("_local").alias("_last_local"),
     )
     # Rows of a run that share its last key; summed over the runs that end with that key they tell how far the ties of
@@ -132,20 +139,20 @@ def _distributed(df, order_by, tie_break, partition_by, rank, row_number, ntiles
         .withColumn("_previous_tied", F.lag("_tied_so_far").over(in_group))
         .withColumn(
             "_carry",
-            F.when(F.col("_first_key").eqNullSafe(F.col("_previous_key")), F.col("_previous_tied")).otherwise(F.lit(0)),
+            F.when(F.col("_first_key") == F.col("_previous_key"), F.col("_previous_tied")).otherwise(F.lit(0)),
         )
-        .select("_task", "_group", "_first_pos", "_before", "_total", "_carry")
+        .select("_task", "_group", "_before", "_total", "_carry")
     )
-    if not partition_by:
+    if not ranks.partition_by:
         runs = F.broadcast(runs)  # one row per task
-    ranked = placed.join(runs, ["_task", "_group"])
-    number = F.col("_before") + F.col("_pos") - F.col("_first_pos") + 1
+    joined = placed.join(runs, ["_task", "_group"])
+    number = F.col("_before") + F.col("_number")
     added: dict[str, Column] = {}
-    if row_number:
-        added[row_number] = number
-    for name, tiles in ntiles.items():
+    if ranks.row_number:
+        added[ranks.row_number] = number
+    for name, tiles in ranks.ntiles.items():
         added[name] = ntile_of(number, F.col("_total"), tiles)
-    if rank:
+    if ranks.rank:
         carry = F.when(F.col("_local") == 1, F.col("_carry")).otherwise(F.lit(0))
-        added[rank] = (F.col("_before") + F.col("_local") - carry).cast("bigint")
-    return ranked.withColumns(added).select(*df.columns, *added)
+        added[ranks.rank] = (F.col("_before") + F.col("_local") - carry).cast("bigint")
+    return joined.select("_row", *[value.alias(name) for name, value in added.items()])

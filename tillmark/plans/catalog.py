@@ -69,11 +69,6 @@ def _upserted_sales(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.upsert(lines, again.unionByName(fresh), "sales_id")
 
 
-def _capped_rows(spark: SparkSession, folder: str) -> DataFrame:
-    capped = readers.cap_rows(testtables.sales(tune(spark), folder), 200_000)
-    return capped.agg(F.count(F.lit(1)).alias("rows"))
-
-
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     lines = _table("st_sales")(spark, folder)
     return product_pairs(basket_items(lines, "transaction_number", "product_id", "quantity")).select(
@@ -105,7 +100,6 @@ _QUERIES: dict[str, Query] = {
     "customer_labels": _table("customer_labels"),
     "sales_source_fallback": _sales_fallback,
     "upserted_sales": _upserted_sales,
-    "capped_rows": _capped_rows,
     # staging, facts, marts
     "st_customers": _table("st_customers"),
     "st_employees": _table("st_employees"),

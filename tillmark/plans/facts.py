@@ -8,21 +8,11 @@ from pyspark.sql import functions as F
 from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, line_profit, per_unit
-from tillmark.operators.durable import lookup
 
 
-def sale_count(unique_ids: bool) -> Column:
-    """Number of different sales in a group.
-
-    A distinct count moves every sale id through a shuffle.  Where the ids of the table have been found unique
-    (``has_unique_ids``) a plain count gives the same number and is combined before the shuffle.
-    """
-    return F.count("sales_id") if unique_ids else F.count_distinct("sales_id")
-
-
-def has_unique_ids(sales: DataFrame) -> bool:
-    """Whether no sale id occurs twice.  One job over one column, worth it before several tables are built."""
-    return sales.where(F.col("sales_id").isNotNull()).groupBy("sales_id").count().where("count > 1").isEmpty()
+def sale_count() -> Column:
+    """Number of different sales in a group: an id that a join has repeated counts once."""
+    return F.count_distinct("sales_id")
 
 
 def fct_sales_summary(
@@ -30,7 +20,7 @@ def fct_sales_summary(
 ) -> DataFrame:
     """Sale lines with product, customer and salesperson labels and the estimated profit.
 
-    Dimensions are broadcast only where a check of their size allows it.  The product join comes first: lines that were
+    Whether a dimension is broadcast is left to Spark, which sees its size at run time.  The product join comes first: lines that were
     just priced by product are still partitioned by it where that join had to be shuffled.
     """
     product = products.select("product_id", "product_name", "category_name", "class", "price_category", "price")
@@ -47,9 +37,9 @@ def fct_sales_summary(
         F.col("country_name").alias("salesperson_country"),
     )
     star = (
-        sales.join(lookup(product), "product_id", "left")
-        .join(lookup(customer), "customer_id", "left")
-        .join(lookup(salesperson), "salesperson_id", "left")
+        sales.join(product, "product_id", "left")
+        .join(customer, "customer_id", "left")
+        .join(salesperson, "salesperson_id", "left")
     )
     return star.select(
         surrogate_key("sales_id").alias("sales_summary_id"),
@@ -80,14 +70,14 @@ def fct_sales_summary(
     )
 
 
-def fct_customer_behavior(sales: DataFrame, unique_ids: bool = False) -> DataFrame:
+def fct_customer_behavior(sales: DataFrame) -> DataFrame:
     """Purchase behaviour per customer, measured against the last day of the whole data set.
 
-    ``purchase_count`` counts sale lines, not baskets.  The last day is a scalar subquery: one value, no join.
+    ``purchase_count`` counts sale lines, not baskets.  The last day is a scalar subquery over the
+    customers' own last days: one value, no join, and the grouping below it is shared.
     """
-    last_day = sales.agg(F.max(F.col("sales_date").cast("date"))).scalar()
     bought = sales.groupBy("customer_id").agg(
-        sale_count(unique_ids).alias("purchase_count"),
+        sale_count().alias("purchase_count"),
         F.count_distinct("product_id").alias("distinct_products_purchased"),
         F.sum("quantity").alias("total_quantity"),
         F.sum("total_price").alias("total_spend"),
@@ -97,6 +87,7 @@ def fct_customer_behavior(sales: DataFrame, unique_ids: bool = False) -> DataFra
         F.sum("discount").alias("total_discount_received"),
         exact_avg("discount").alias("avg_discount_per_transaction"),
     )
+    last_day = bought.agg(F.max(F.col("last_purchase_date").cast("date"))).scalar()
     idle_days = F.datediff("data_as_of_date", "last_purchase_date")
     return bought.withColumn("data_as_of_date", last_day).select(
         surrogate_key("customer_id").alias("customer_behavior_id"),
@@ -117,13 +108,13 @@ def fct_customer_behavior(sales: DataFrame, unique_ids: bool = False) -> DataFra
     )
 
 
-def fct_employee_performance(employees: DataFrame, sales: DataFrame, unique_ids: bool = False) -> DataFrame:
+def fct_employee_performance(employees: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales per employee, employees without a sale included (counts 0, sums null).
 
     Sales are folded to one row per salesperson before they meet the employees.
     """
     sold = sales.groupBy(F.col("salesperson_id").alias("employee_id")).agg(
-        sale_count(unique_ids).alias("_sales"),
+        sale_count().alias("_sales"),
         F.count_distinct("customer_id").alias("_customers"),
         F.sum("quantity").alias("total_units_sold"),
         F.sum("total_price").alias("total_sales_revenue"),

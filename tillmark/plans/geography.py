@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.keys import text_key
-from tillmark.operators.ranking import asc, with_ranks
+from tillmark.operators.ranking import Ranks, asc, with_ranks
 
 # Country names that the ISO table lists under another name.
 COUNTRY_ALIASES = {
@@ -101,7 +101,7 @@ def new_countries(cities: DataFrame, countries: DataFrame, iso: DataFrame, world
         .agg(F.min("CityID").alias("_first_city"))
     )
     highest = countries.agg(F.coalesce(F.max("CountryID"), F.lit(0))).scalar()
-    numbered = with_ranks(missing, [asc("_first_city")], ["CountryCode"], row_number="_number")
+    numbered = with_ranks(missing, Ranks([asc("_first_city")], ["CountryCode"], row_number="_number"))
     return numbered.select((highest + F.col("_number")).alias("CountryID"), "CountryName", "CountryCode")
 
 

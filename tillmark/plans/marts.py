@@ -9,8 +9,7 @@ from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, per_unit, percent
 from tillmark.operators.baskets import basket_items, product_pairs
-from tillmark.operators.durable import checkpointed, lookup
-from tillmark.operators.ranking import asc, desc, exceeds_one_task, with_ranks
+from tillmark.operators.ranking import Ranks, asc, desc, with_ranks
 from tillmark.plans.facts import sale_count
 
 # Weights of the recommendation score, smallest support and list lengths.
@@ -22,22 +21,23 @@ TOP_ANCHORS = 10
 TOP_RECOMMENDATIONS = 10
 
 
-def customer_lifetime_value(sales: DataFrame, customers: DataFrame, unique_ids: bool = False) -> DataFrame:
+def customer_lifetime_value(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Value and global spend rank per customer.
 
     ``estimated_clv`` is spend per order times orders, that is: the spend.
     """
     spent = sales.groupBy("customer_id").agg(
-        sale_count(unique_ids).alias("total_orders"),
+        sale_count().alias("total_orders"),
         F.count_distinct(F.col("sales_date").cast("date")).alias("days_active"),
         F.sum("total_price").alias("total_spent"),
         exact_avg("total_price").alias("avg_order_value"),
         F.max("sales_date").alias("last_purchase_date"),
         F.min("sales_date").alias("first_purchase_date"),
     )
-    ranked = with_ranks(
-        spent, [desc("total_spent")], ["customer_id"], rank="customer_spend_rank", ntiles={"value_quintile": 5}
+    by_spend = Ranks(
+        [desc("total_spent")], ["customer_id"], rank="customer_spend_rank", ntiles={"value_quintile": 5}
     )
+    ranked = with_ranks(spent, by_spend)
     tenure = F.datediff("last_purchase_date", "first_purchase_date")
     named = ranked.join(customers.select("customer_id", "full_name", "first_name", "last_name"), "customer_id", "left")
     return named.select(
@@ -61,22 +61,9 @@ def customer_lifetime_value(sales: DataFrame, customers: DataFrame, unique_ids:
 
 
 def rfm_scores(df: DataFrame, recency: str, frequency: str, monetary: str) -> DataFrame:
-    """Quintile scores 1..5 over the whole table; 5 is best (few days since the last purchase, many, much).
-
-    A large table is checkpointed and only (customer, measure) goes through the three sorts; the scores are joined back.
-    """
+    """Quintile scores 1..5 over the whole table; 5 is best (few days since the last purchase, many, much)."""
     orders = (("_old", recency), ("frequency_score", frequency), ("monetary_score", monetary))
-    large = exceeds_one_task(df)
-    if large:
-        df = checkpointed(df)
-    for score, column in orders:
-        if large:
-            narrow = df.select(F.col("customer_id").alias("_customer"), column)
-            tiles = with_ranks(narrow, [asc(column)], ["_customer"], ntiles={score: 5}, distributed=True)
-            same = F.col("customer_id").eqNullSafe(F.col("_customer"))
-            df = df.join(tiles.select("_customer", score), same).drop("_customer")
-        else:
-            df = with_ranks(df, [asc(column)], ["customer_id"], ntiles={score: 5}, distributed=False)
+    df = with_ranks(df, *[Ranks([asc(column)], ["customer_id"], ntiles={score: 5}) for score, column in orders])
     return df.withColumn("recency_score", 6 - F.col("_old")).drop("_old")
 
 
@@ -147,9 +134,10 @@ def mart_employee_performance(performance: DataFrame) -> DataFrame:
     )
     by_revenue = [desc("total_sales_revenue")]
     ranked = with_ranks(
-        shared, by_revenue, ["employee_id"], partition_by=["employee_country"], rank="country_rank"
+        shared,
+        Ranks(by_revenue, ["employee_id"], partition_by=["employee_country"], rank="country_rank"),
+        Ranks(by_revenue, ["employee_id"], rank="company_rank"),
     )
-    ranked = with_ranks(ranked, by_revenue, ["employee_id"], rank="company_rank")
     return ranked.drop("_country", "_country_revenue").withColumn(
         "performance_tier", labels.performance_tier(F.col("total_sales_revenue"))
     )
@@ -161,7 +149,7 @@ SALES_GRAIN = (
 )
 
 
-def sales_totals(fact: DataFrame, products: DataFrame, unique_ids: bool = False) -> DataFrame:
+def sales_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Totals per day, customer country, salesperson country and product: the sales mart without its ranks.
 
     Product labels hang on the product id and the calendar fields on the day, so both are added to the totals instead
@@ -170,7 +158,7 @@ def sales_totals(fact: DataFrame, products: DataFrame, unique_ids: bool = False)
     places = ("customer_country", "customer_country_code", "salesperson_country", "product_id")
     day = F.make_date("year", "month", "day").alias("_day")
     totals = fact.groupBy(day, *places).agg(
-        sale_count(unique_ids).alias("transaction_count"),
+        sale_count().alias("transaction_count"),
         F.sum("quantity").alias("total_units_sold"),
         F.sum("total_price").alias("total_revenue"),
         F.sum("estimated_profit").alias("total_profit"),
@@ -181,9 +169,16 @@ def sales_totals(fact: DataFrame, products: DataFrame, unique_ids: bool = False)
         F.count_distinct("salesperson_id").alias("unique_salespeople"),
         F.sum("discount").alias("total_discounts_given"),
     )
-    label = products.select("product_id", "product_name", "category_name", "class", "price_category")
+    # A product row that occurs more than once multiplies its lines, as a join before the grouping would.
+    label = products.groupBy("product_id", "product_name", "category_name", "class", "price_category").agg(
+        F.count(F.lit(1)).alias("_times")
+    )
+    times = F.coalesce("_times", F.lit(1))
+    summed = ("total_units_sold", "total_revenue", "total_profit", "total_discounts_given")
     revenue, customers = F.col("total_revenue"), F.col("unique_customers")
-    return totals.join(lookup(label), "product_id", "left").select(
+    labelled = totals.join(label, "product_id", "left")
+    labelled = labelled.withColumns({c: (F.col(c) * times).cast(totals.schema[c].dataType) for c in summed})
+    return labelled.select(
         F.year("_day").alias("year"),
         F.month("_day").alias("month"),
         F.dayofmonth("_day").alias("day"),
@@ -215,30 +210,31 @@ def sales_totals(fact: DataFrame, products: DataFrame, unique_ids: bool = False)
 
 def mart_sales_summary(totals: DataFrame) -> DataFrame:
     """Sales totals with the two monthly ranks.  The ranks compare the daily rows of a month, not monthly totals."""
-    ranked = with_ranks(
-        totals,
-        [desc("total_units_sold"), desc("total_revenue")],
-        SALES_GRAIN,
-        partition_by=["year", "month"],
-        rank="monthly_hot_selling_product_rank",
-    )
     return with_ranks(
-        ranked,
-        [desc("total_revenue")],
-        SALES_GRAIN,
-        partition_by=["year", "month", "category_name"],
-        rank="monthly_category_revenue_rank",
+        totals,
+        Ranks(
+            [desc("total_units_sold"), desc("total_revenue")],
+            SALES_GRAIN,
+            partition_by=["year", "month"],
+            rank="monthly_hot_selling_product_rank",
+        ),
+        Ranks(
+            [desc("total_revenue")],
+            SALES_GRAIN,
+            partition_by=["year", "month", "category_name"],
+            rank="monthly_category_revenue_rank",
+        ),
     )
 
 
-def customer_products(sales: DataFrame, unique_ids: bool = False) -> DataFrame:
+def customer_products(sales: DataFrame) -> DataFrame:
     """What each customer bought, ranked by how often and for how much; ties go to the smaller product id.
 
     ``products_owned`` is the length of the customer's list.  A window group here is a list of distinct products, not
     of sale lines, so even the largest customer has no more rows than the catalogue.
     """
     bought = sales.groupBy("customer_id", "product_id").agg(
-        sale_count(unique_ids).alias("purchase_frequency"),
+        sale_count().alias("purchase_frequency"),
         F.sum("quantity").alias("total_units_bought"),
         F.sum("total_price").alias("total_spent_on_product"),
         F.max("sales_date").alias("last_purchase_date"),
@@ -252,7 +248,7 @@ def customer_products(sales: DataFrame, unique_ids: bool = False) -> DataFrame:
     )
 
 
-def mart_recommend(sales: DataFrame, products: DataFrame, unique_ids: bool = False) -> DataFrame:
+def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Up to ten recommendations per customer from products bought together with the customer's favourites.
 
     ``sales`` is any sale-line table (the enriched fact, or the lines it is made of: no label of it is read).  Only a
@@ -262,7 +258,7 @@ def mart_recommend(sales: DataFrame, products: DataFrame, unique_ids: bool = Fal
     For one customer and one anchor the score falls with the support, so only the anchor's best partners can be
     among the ten: at most ten plus as many as the customer owns, since no more than those can be excluded.
     """
-    bought = customer_products(sales, unique_ids)
+    bought = customer_products(sales)
 
     items = basket_items(sales, "transaction_number", "product_id", "quantity")
     pairs = product_pairs(items, min_baskets=MIN_SUPPORT)

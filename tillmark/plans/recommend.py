@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tillmark.operators.baskets import basket_items, product_pairs
-from tillmark.operators.durable import checkpointed
-from tillmark.operators.ranking import asc, with_ranks
+from tillmark.operators.durable import checkpointed, iteration_checkpoints
+from tillmark.operators.ranking import Ranks, asc, with_ranks
 
 log = logging.getLogger(__name__)
 
@@ -94,7 +94,7 @@ def _profile(ratings: DataFrame) -> Row:
 
 def _int_codes(ratings: DataFrame, column: str) -> DataFrame:
     """(id, 32-bit code) for ids that do not fit the factorisation's 32-bit keys."""
-    numbered = with_ranks(ratings.select(column).distinct(), [asc(column)], [], row_number="_code")
+    numbered = with_ranks(ratings.select(column).distinct(), Ranks([asc(column)], row_number="_code"))
     return numbered.select(column, F.col("_code").cast("int").alias(f"_{column}"))
 
 
@@ -106,6 +106,7 @@ def als_recommendations(
     The list is cut to ``top_n`` before owned products are removed, so fewer may remain.  The fit reads the ratings
     again and again: give it stored or checkpointed ones.
     """
+    iteration_checkpoints(ratings.sparkSession)
     profile = _profile(ratings)
     codes = {c: _int_codes(ratings, c) for c in ID_COLUMNS if profile[c] > INT_MAX}
     coded = ratings

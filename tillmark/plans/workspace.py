@@ -1,6 +1,7 @@
 """All tables of one data set, wired together.
 
-Every table is a lazy frame built from the ones before it.  With a target folder or database each table is written
+Every table is a frame built from the ones before it; tables that rank rows or pair products store intermediate ones
+while they are being defined.  With a target folder or database each table is written
 once and read back by the tables above it, which is how a full refresh runs on a cluster: no table is computed twice,
 and a lost executor costs the tasks of one table.
 """
@@ -13,7 +14,7 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmark.operators.durable import checkpointed
+from tillmark.operators.durable import checkpointed, scratch
 from tillmark.plans import facts, marts, recommend, segments, staging
 from tillmark.sources import readers, sinks, testtables
 
@@ -48,7 +49,6 @@ class Workspace:
     ):
         self._sources = dict(sources)
         self._stored: dict[str, DataFrame] = {}
-        self._unique_ids = False
         self.as_of = as_of
         self.settings = settings
 
@@ -72,9 +72,16 @@ class Workspace:
     def refresh(self, target: str, tables: tuple[str, ...] = REFRESH_ORDER) -> dict[str, DataFrame]:
         """Rebuild tables in order below ``target``: a folder (anything with a slash) or a database.
 
-        The stored sales are checked once for repeated ids; without any, the tables above count instead of counting
-        distinct ids.
+        Intermediate tables are removed at the end, so frames that were built from them are forgotten: a table asked
+        for later is the stored one, or is built anew from stored ones.
         """
+        with scratch(self.source("sales").sparkSession):
+            self._store(target, tables)
+        for name in [n for n in self.__dict__ if isinstance(getattr(type(self), n, None), cached_property)]:
+            del self.__dict__[name]
+        return dict(self._stored)
+
+    def _store(self, target: str, tables: tuple[str, ...]) -> None:
         for name in tables:
             place = f"{target.rstrip('/')}/{name}" if "/" in target else f"{target}.{name}"
             frame = getattr(self, name)
@@ -84,9 +91,6 @@ class Workspace:
                 self._stored[name] = sinks.drop_and_write(frame, place)
             else:
                 self._stored[name] = sinks.write_table(frame, place)
-            if name == "st_sales":
-                self._unique_ids = facts.has_unique_ids(self._stored[name])
-        return dict(self._stored)
 
     # --- lookups and staging -----------------------------------------------------------------------------------------
 
@@ -130,17 +134,17 @@ class Workspace:
 
     @cached_property
     def fct_customer_behavior(self) -> DataFrame:
-        return facts.fct_customer_behavior(self.table("st_sales"), self._unique_ids)
+        return facts.fct_customer_behavior(self.table("st_sales"))
 
     @cached_property
     def fct_employee_performance(self) -> DataFrame:
-        return facts.fct_employee_performance(self.table("st_employees"), self.table("st_sales"), self._unique_ids)
+        return facts.fct_employee_performance(self.table("st_employees"), self.table("st_sales"))
 
     # --- marts -------------------------------------------------------------------------------------------------------
 
     @cached_property
     def customer_lifetime_value(self) -> DataFrame:
-        return marts.customer_lifetime_value(self.table("st_sales"), self.table("st_customers"), self._unique_ids)
+        return marts.customer_lifetime_value(self.table("st_sales"), self.table("st_customers"))
 
     @cached_property
     def mart_customer_behavior(self) -> DataFrame:
@@ -155,7 +159,7 @@ class Workspace:
         """The sales mart without ranks, for the reports that use none."""
         if "mart_sales_summary" in self._stored:
             return self._stored["mart_sales_summary"]
-        return marts.sales_totals(self.table("fct_sales_summary"), self.table("st_products"), self._unique_ids)
+        return marts.sales_totals(self.table("fct_sales_summary"), self.table("st_products"))
 
     @cached_property
     def mart_sales_summary(self) -> DataFrame:
@@ -163,7 +167,7 @@ class Workspace:
 
     @cached_property
     def mart_recommend(self) -> DataFrame:
-        return marts.mart_recommend(self.table("st_sales"), self.table("st_products"), self._unique_ids)
+        return marts.mart_recommend(self.table("st_sales"), self.table("st_products"))
 
     # --- customer models ---------------------------------------------------------------------------------------------
 

@@ -107,8 +107,3 @@ def require_rows(df: DataFrame, label: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{label} is empty; nothing can be built from it")
     return df
-
-
-def cap_rows(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """At most ``max_rows`` rows, any of them.  Off unless a number is given: capped input gives partial results."""
-    return df if max_rows is None else df.limit(max_rows)
