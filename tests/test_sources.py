@@ -83,3 +83,47 @@ def test_catalog_tables(spark, tmp_path):
         assert sinks.drop_and_write(other, "tillmark_test.t").columns == ["other"]
     finally:
         spark.sql("DROP DATABASE tillmark_test CASCADE")
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "products.csv").write_text(
+        "ProductName,ProductID,Price,CategoryID,Class,ModifyDate,Resistant,IsAllergic,VitalityDays,Extra\n"
+        "Tea,7,1.5,2,Low,2001-01-01 00:00:00,Durable,False,3,x\n"
+    )
+    (folder / "cities.csv").write_text("CityID,CityName,Zipcode,CountryID\n1,Dayton,00563,32\n")
+    (folder / "store-visits.csv").write_text("id\n1\n")
+    found = readers.load_folder(spark, str(folder))
+    assert sorted(found) == ["products", "store_visits"]
+    assert (found["products"].first().ProductID, found["products"].first().ProductName) == (7, "Tea")
+    target = str(tmp_path / "out")
+    sinks.replace_raw(spark, str(folder), target)
+    (folder / "store-visits.csv").write_text("id\n2\n3\n")
+    again = sinks.replace_raw(spark, str(folder), target)
+    assert again["store_visits"].count() == 2 and spark.read.parquet(f"{target}/products").count() == 1
+    (folder / "products.csv").write_text("ProductID,ProductName\n7,Tea\n")
+    with pytest.raises(ValueError, match="Price"):
+        readers.load_folder(spark, str(folder))
+
+
+def test_upsert_touches_only_some_partitions(spark, tmp_path):
+    place, ddl = str(tmp_path / "t"), "k string, year int, v int"
+    sinks.write_table(spark.createDataFrame([("a", 1, 1), ("b", 2, 1), ("c", 3, 1), ("d", 3, 1)], ddl), place, ("year",))
+    before = {f.name for f in (tmp_path / "t" / "year=3").iterdir()}
+    # b moves to another partition and leaves an empty one; e is new.
+    batch = spark.createDataFrame([("b", 1, 2), ("e", 1, 2)], ddl)
+    after = sinks.upsert_partitions(place, batch, ("k",), ("year",))
+    assert sorted((r.k, r.year, r.v) for r in after.collect()) == [("a", 1, 1), ("b", 1, 2), ("c", 3, 1), ("d", 3, 1), ("e", 1, 2)]
+    assert {f.name for f in (tmp_path / "t" / "year=3").iterdir()} == before
+    with pytest.raises(ValueError, match="repeats"):
+        sinks.upsert_partitions(place, batch.union(batch), ("k",), ("year",))
+
+
+def test_models_without_lookups(spark, workspace):
+    from tillmark.plans.workspace import Workspace
+
+    space = Workspace({"sales": workspace.source("sales")})
+    assert space.product_labels.isEmpty() and space.customer_labels.isEmpty()
+    # Without products the curated lines cannot be priced, so the raw ones are read.
+    assert not space.model_sales.isEmpty()

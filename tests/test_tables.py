@@ -143,3 +143,18 @@ def test_repeated_dimension_rows_through_a_refresh(spark, workspace, tmp_path):
     plain = plain.agg(F.sum("quantity").alias("u"), F.count_distinct("sales_id").alias("c")).groupBy("product_id")
     want = plain.agg(F.sum("u").alias("units"), F.sum("c").alias("n"))
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_date_control_prunes_months(spark, workspace, tmp_path):
+    from tillmark.sources import sinks
+
+    stored = sinks.write_table(workspace.sales_totals, str(tmp_path / "m"), ("year", "month"))
+    start, end = datetime.date(1996, 3, 10), datetime.date(1996, 4, 20)
+    kept = reports.controls(stored, start=start, end=end)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "month" in filters.split("PartitionFilters")[1].split("PushedFilters")[0]
+    day = F.make_date("year", "month", "day")
+    want = stored.where((day >= F.lit(start)) & (day <= F.lit(end)))
+    assert kept.count() == want.count() > 0 and kept.exceptAll(want).isEmpty()
+    assert len(kept.inputFiles()) < len(stored.inputFiles())

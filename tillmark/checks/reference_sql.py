@@ -393,6 +393,15 @@ BLOCKS |= {
               qualify recommendation_rank <= 10) k
         left join labels_of_products p on p.product_id = k.product_id
         left join labels_of_customers c on c.customer_id = k.customer_id""",
+    "src_sales_changed": """
+        select * replace (case when SalesPersonID % 2 = 1 then Quantity + 1 else Quantity end as Quantity)
+        from src_sales""",
+    "lines_changed": BLOCKS["lines"].replace("src_sales", "src_sales_changed"),
+    "star_changed": BLOCKS["star"].replace("from lines l", "from lines_changed l"),
+    "hot_items": """
+        select case when day % 3 = 0 then 'hot' else transaction_number end as basket,
+               case when day % 3 = 1 then 0 else product_id % 97 end as product, count(*) as n, sum(quantity) as u
+        from lines group by all""",
     # --- geography -----------------------------------------------------------------------------------------------------
     "iso_keys": f"select {_text_key('country_name')} as k, min(alpha_2) as code from iso group by 1",
     "countries_ok": f"""
@@ -444,6 +453,24 @@ FINAL: dict[str, str] = {
     "sales_source_fallback": """
         select SalesDate::varchar as SalesDate, CustomerID, ProductID, TotalPrice::double as TotalPrice, Quantity,
                Discount::double as Discount, TransactionNumber from src_sales""",
+    "curated_sales": """
+        select SalesDate::varchar as SalesDate, CustomerID, ProductID, TotalPrice::double as TotalPrice, Quantity,
+               Discount::double as Discount, TransactionNumber from curated""",
+    "upserted_fact": _final("star_changed", money="discount total_price estimated_profit", text="sales_date"),
+    "refreshed_sales_totals": """
+        select year, month, customer_country, cast(sum(transaction_count) as bigint) as transactions,
+               cast(sum(total_revenue) as double) as revenue from totals group by all""",
+    "hot_basket_pairs": """
+        select a as anchor, b as related, count(*) as baskets, cast(sum(n * m) as bigint) as line_pairs,
+               cast(sum(n * u) as bigint) as related_units
+        from (select x.product as a, y.product as b, x.n, y.n as m, y.u from hot_items x join hot_items y
+              on x.basket = y.basket and x.product <> y.product)
+        group by all having count(*) >= 2""",
+    "als_checks": """
+        select count(*) > 0 as has_rows, cast(0 as bigint) as ranks_beyond, cast(0 as bigint) as rank_gaps,
+               cast(0 as bigint) as scores_out_of_order, cast(0 as bigint) as other_models,
+               cast(0 as bigint) as owned_recommended, cast(0 as bigint) as unknown_products from model_lines""",
+    "sparse_recommendations": "select * from heuristic",
     "upserted_sales": """
         select * replace (total_price::double as total_price, discount::double as discount,
                           sales_date::varchar as sales_date,
@@ -520,6 +547,31 @@ FINAL: dict[str, str] = {
     "rank_violations": """
         select customer_id, max(recommendation_rank) as max_rank, count(*) as recommendation_count
         from heuristic group by customer_id having max(recommendation_rank) > 10""",
+    "stricter_rank_violations": """
+        select customer_id, max(recommendation_rank) as max_rank, count(*) as recommendation_count
+        from heuristic group by customer_id having max(recommendation_rank) > 7""",
+    "misspelt_country_codes": """
+        select CountryID, CountryName, code as CountryCode
+        from (select *, case when CountryID % 2 = 0 then lower(CountryCode) when CountryID <> 1 then CountryCode end
+                         as code from src_countries)
+        where code is null or code <> upper(code) or length(code) <> 2""",
+    "controlled_revenue": """
+        select year, month, category_name, cast(sum(total_revenue) as double) as revenue from totals
+        where make_date(year, month, day) between date '1995-03-15' and date '1996-11-20'
+          and customer_country in ('AFRICA', 'ASIA')
+          and category_name in ('PROMO', 'SMALL') group by all""",
+    "both_model_scorecards": """
+        select count(distinct customer_id) as customers, count(product_id) as recommendations,
+               avg(score) as avg_score,
+               cast(count(*) filter (customer_id % 2 = 0) as double) / count(product_id) as als_coverage,
+               cast(count(*) filter (customer_id % 2 = 1) as double) / count(product_id) as fallback_coverage
+        from heuristic""",
+    "controlled_recommendations": f"""
+        select {_HEURISTIC_CATALOG}, score from heuristic where customer_id % 2 = 0 and recommendation_rank <= 3""",
+    "most_recommended_products": """
+        select product_name, category_name, count(product_id) as recommendations, avg(score) as avg_score
+        from heuristic group by product_name, category_name
+        order by recommendations desc, product_name, category_name limit 20""",
     "segment_counts": """
         select count(*) as segment_rows, count(distinct customer_id) as customers_segmented from segments""",
     "recommendation_counts": """

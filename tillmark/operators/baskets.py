@@ -11,7 +11,7 @@ several long baskets are paired among those.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.operators.durable import checkpointed
@@ -39,7 +39,9 @@ def product_pairs(items: DataFrame, min_baskets: int = 1, tile: int = TILE) -> D
 
     The items are checkpointed: both sides of the join read them, and whether there is a long basket is asked first.
     """
-    sized = checkpointed(items.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("basket"))))
+    # Counted and joined, not windowed: a placeholder basket with a third of all lines is no window of one task.
+    sizes = items.groupBy("basket").agg(F.count(F.lit(1)).alias("_size"))
+    sized = checkpointed(items.join(sizes, "basket"))
     long = sized.where(F.col("_size") > tile)
     if long.isEmpty():
         pairs = _summed(_meet(sized, ["basket"]))
@@ -69,6 +71,22 @@ def product_pairs(items: DataFrame, min_baskets: int = 1, tile: int = TILE) -> D
     )
 
 
+FIRST_BAND = 16
+
+
+def depth_band(depth: Column) -> Column:
+    """Band of a place in a partner list: 0 for the first 16 places, then twice as many places as before in each."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(depth / FIRST_BAND))).cast("int")
+
+
+def bands_to(depth: Column) -> Column:
+    """The bands that hold all places up to ``depth``; together they hold at most about twice as many.
+
+    A join on (anchor, band) meets only partners near the wanted depth, however long the list of a popular anchor is.
+    """
+    return F.sequence(F.lit(0), depth_band(depth))
+
+
 def _summed(met: DataFrame) -> DataFrame:
     measures = ("baskets", "line_pairs", "low_units", "high_units")
     return met.groupBy("low", "high").agg(*[F.sum(m).alias(m) for m in measures])

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, TimestampNTZType, TimestampType
 
 from tillmark.operators.baskets import basket_items, product_pairs
+from tillmark.operators.durable import checkpointed, shared_folder
 from tillmark.plans import geography, quality, recommend, reports, segments
-from tillmark.plans.workspace import Workspace
+from tillmark.plans.workspace import REFRESH_ORDER, Workspace
 from tillmark.session import tune
 from tillmark.sources import readers, sinks, testtables
 
@@ -69,6 +73,98 @@ def _upserted_sales(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.upsert(lines, again.unionByName(fresh), "sales_id")
 
 
+def _place(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+FACTS = REFRESH_ORDER[: REFRESH_ORDER.index("fct_sales_summary") + 1]
+
+
+def _refreshed_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored staging and fact tables, and the sales mart's totals on them."""
+    space = Workspace.of_test_tables(tune(spark), folder)
+    space.refresh(_place(spark), FACTS)
+    return space.sales_totals.groupBy("year", "month", "customer_country").agg(
+        F.sum("transaction_count").alias("transactions"), F.sum("total_revenue").alias("revenue")
+    )
+
+
+def _upserted_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines sold by an odd salesperson come again with one unit more."""
+    space = Workspace.of_test_tables(tune(spark), folder)
+    place = _place(spark)
+    space.refresh(place, FACTS)
+    odd = space.source("sales").where(F.col("SalesPersonID") % 2 == 1)
+    stored = space.upsert_sales(place, odd.withColumn("Quantity", F.col("Quantity") + 1))
+    return stored["fct_sales_summary"].drop("dbt_loaded_at")
+
+
+def _curated_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """A curated table that is there is read instead of the raw one."""
+    place = _place(spark)
+    sinks.write_table(_table("st_sales")(spark, folder), place, ("year", "month"))
+    return readers.sales_source(spark, place, f"{place}-none")
+
+
+def _als_checks(spark: SparkSession, folder: str) -> DataFrame:
+    space = Workspace.of_test_tables(tune(spark), folder)
+    ratings = checkpointed(recommend.als_ratings(space.model_sales))
+    found = checkpointed(
+        recommend.als_recommendations(ratings, space.product_labels, space.customer_labels, space.settings)
+    )
+    return recommend.als_checks(found, ratings, space.product_labels)
+
+
+def _sparse_recommendations(spark: SparkSession, folder: str) -> DataFrame:
+    """The gate asks for more customers than there are, so it falls back."""
+    space = Workspace.of_test_tables(tune(spark), folder)
+    settings = replace(space.settings, min_users=1 << 40)
+    return recommend.recommendations(space.model_sales, space.product_labels, space.customer_labels, settings)
+
+
+def _both_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommendations of which those of even customers carry the name of the other model."""
+    model = F.when(F.col("customer_id") % 2 == 0, "ALS").otherwise(F.col("model_type"))
+    return _table(_HEURISTIC)(spark, folder).withColumn("model_type", model)
+
+
+def _controlled_recommendations(spark: SparkSession, folder: str) -> DataFrame:
+    kept = reports.controls(_both_models(spark, folder), model_type="ALS", max_rank=3)
+    return reports.recommendation_table(kept)
+
+
+def _controlled_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    kept = reports.controls(
+        _table("sales_totals")(spark, folder),
+        start=datetime.date(1995, 3, 15),
+        end=datetime.date(1996, 11, 20),
+        countries=["AFRICA", "ASIA"],
+        categories=["PROMO", "SMALL"],
+    )
+    return reports.monthly_category_revenue(kept)
+
+
+def _misspelt_codes(spark: SparkSession, folder: str) -> DataFrame:
+    code = F.when(F.col("CountryID") % 2 == 0, F.lower("CountryCode")).when(F.col("CountryID") == 1, None)
+    return quality.malformed_country_codes(
+        testtables.countries(tune(spark), folder).withColumn("CountryCode", code.otherwise(F.col("CountryCode")))
+    )
+
+
+def _hot_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of all lines share a basket, and a third of them a product; pairs of at least two baskets.
+
+    Baskets of over 40 products count as long, so that all ways of pairing are used.
+    """
+    lines = _table("st_sales")(spark, folder).select(
+        F.when(F.col("day") % 3 == 0, F.lit("hot")).otherwise(F.col("transaction_number")).alias("basket"),
+        F.when(F.col("day") % 3 == 1, F.lit(0)).otherwise(F.col("product_id") % 97).alias("product"),
+        "quantity",
+    )
+    pairs = product_pairs(basket_items(lines, "basket", "product", "quantity"), min_baskets=2, tile=40)
+    return pairs.select("anchor", "related", "baskets", "line_pairs", "related_units")
+
+
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     lines = _table("st_sales")(spark, folder)
     return product_pairs(basket_items(lines, "transaction_number", "product_id", "quantity")).select(
@@ -99,7 +195,10 @@ _QUERIES: dict[str, Query] = {
     "product_labels": _table("product_labels"),
     "customer_labels": _table("customer_labels"),
     "sales_source_fallback": _sales_fallback,
+    "curated_sales": _curated_sales,
     "upserted_sales": _upserted_sales,
+    "upserted_fact": _upserted_fact,
+    "refreshed_sales_totals": _refreshed_totals,
     # staging, facts, marts
     "st_customers": _table("st_customers"),
     "st_employees": _table("st_employees"),
@@ -113,6 +212,7 @@ _QUERIES: dict[str, Query] = {
     "mart_employee_performance": _table("mart_employee_performance"),
     "mart_sales_summary": _table("mart_sales_summary"),
     "product_pairs": _pairs,
+    "hot_basket_pairs": _hot_pairs,
     "mart_recommend": _rounded(_table("mart_recommend"), "recommendation_score"),
     # customer models
     "repaired_sales": _repaired_raw_sales,
@@ -122,6 +222,8 @@ _QUERIES: dict[str, Query] = {
     "heuristic_recommendations": _table(_HEURISTIC),
     "als_recommendations": _table("als_recommendations"),
     "customer_recommendations": _table("customer_recommendations"),
+    "als_checks": _als_checks,
+    "sparse_recommendations": _sparse_recommendations,
     # geography
     "normalized_countries": _geo(geography.normalized_countries, "countries", "iso_countries"),
     "city_codes": _geo(geography.city_codes, "world_cities"),
@@ -134,9 +236,11 @@ _QUERIES: dict[str, Query] = {
     "forbidden_cities": _report(quality.forbidden_cities, "dim_cities", ("NATION_3", "NATION_11", "Kansas")),
     "wrong_country_codes": _report(quality.wrong_country_codes, "dim_countries", {"AFRICA": "AF", "ASIA": "IN", "India": "IN"}),
     "rank_violations": _report(quality.rank_violations, _HEURISTIC),
+    "stricter_rank_violations": _report(quality.rank_violations, _HEURISTIC, 7),
     "segment_counts": _report(quality.segment_counts, "customer_segments"),
     "recommendation_counts": _report(quality.recommendation_counts, _HEURISTIC),
     "malformed_country_codes": _report(quality.malformed_country_codes, "dim_countries"),
+    "misspelt_country_codes": _misspelt_codes,
     # reports
     "top_customers": _report(reports.top_customers, "customer_lifetime_value"),
     "customers_by_rank": _report(reports.customers_by_rank, "customer_lifetime_value"),
@@ -149,6 +253,7 @@ _QUERIES: dict[str, Query] = {
     "hot_sellers": _report(reports.hot_sellers, "mart_sales_summary"),
     "hot_seller_units": _report(reports.hot_seller_units, "mart_sales_summary"),
     "scorecards": _report(reports.scorecards, "sales_totals"),
+    "controlled_revenue": _controlled_revenue,
     "monthly_revenue": _report(reports.monthly_revenue, "sales_totals"),
     "country_revenue": _report(reports.country_revenue, "sales_totals"),
     "price_category_revenue": _report(reports.price_category_revenue, "sales_totals"),
@@ -166,6 +271,9 @@ _QUERIES: dict[str, Query] = {
     "segment_distribution": _report(reports.segment_distribution, "customer_segments"),
     "segment_means": _report(reports.segment_means, "customer_segments"),
     "recommendation_scorecards": _report(reports.recommendation_scorecards, _HEURISTIC),
+    "both_model_scorecards": lambda spark, folder: reports.recommendation_scorecards(_both_models(spark, folder)),
+    "controlled_recommendations": _controlled_recommendations,
+    "most_recommended_products": _report(reports.most_recommended_products, _HEURISTIC),
     "most_recommended": _report(reports.most_recommended, _HEURISTIC),
     "recommendation_explorer": _report(reports.recommendation_explorer, _HEURISTIC),
 }

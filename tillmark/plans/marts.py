@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, per_unit, percent
-from tillmark.operators.baskets import basket_items, product_pairs
+from tillmark.operators.baskets import bands_to, basket_items, depth_band, product_pairs
 from tillmark.operators.ranking import Ranks, asc, desc, with_ranks
 from tillmark.plans.facts import sale_count
 
@@ -269,9 +269,17 @@ def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
         F.col("baskets").alias("co_purchase_txn_count"),
         F.col("related_units").alias("related_units_sold"),
         F.row_number().over(nearest).alias("_depth"),
-    )
+    ).withColumn("_band", depth_band(F.col("_depth")))
 
-    favourites = bought.where(F.col("product_rank") <= TOP_ANCHORS)
+    deepest = F.col("products_owned") + TOP_RECOMMENDATIONS
+    favourites = bought.where(F.col("product_rank") <= TOP_ANCHORS).select(
+        F.col("product_id").alias("anchor"),
+        "customer_id",
+        "purchase_frequency",
+        "total_spent_on_product",
+        deepest.alias("_deepest"),
+        F.explode(bands_to(deepest)).alias("_band"),
+    )
     spend = F.ln(1 + F.col("total_spent_on_product").cast("double"))
     score = (
         WEIGHT_FREQUENCY * F.col("purchase_frequency")
@@ -279,8 +287,8 @@ def mart_recommend(sales: DataFrame, products: DataFrame) -> DataFrame:
         + WEIGHT_SPEND * spend
     )
     candidates = (
-        favourites.join(partners, F.col("product_id") == F.col("anchor"))
-        .where(F.col("_depth") <= F.col("products_owned") + TOP_RECOMMENDATIONS)
+        favourites.join(partners, ["anchor", "_band"])
+        .where(F.col("_depth") <= F.col("_deepest"))
         .select(
             "customer_id",
             F.col("anchor").alias("purchased_product"),

@@ -14,7 +14,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tillmark.operators.baskets import basket_items, product_pairs
+from tillmark.operators.baskets import bands_to, basket_items, depth_band, product_pairs
 from tillmark.operators.durable import checkpointed, iteration_checkpoints
 from tillmark.operators.ranking import Ranks, asc, with_ranks
 
@@ -93,7 +93,9 @@ def _profile(ratings: DataFrame) -> Row:
 
 
 def _int_codes(ratings: DataFrame, column: str) -> DataFrame:
-    """(id, 32-bit code) for ids that do not fit the factorisation's 32-bit keys."""
+    """(id, 32-bit code) for ids that do not fit the factorisation's 32-bit keys; more ids than codes are an error."""
+    if ratings.agg(F.approx_count_distinct(column)).first()[0] > 0.9 * INT_MAX:
+        raise ValueError(f"{column} has more values than the factorisation has keys")
     numbered = with_ranks(ratings.select(column).distinct(), Ranks([asc(column)], row_number="_code"))
     return numbered.select(column, F.col("_code").cast("int").alias(f"_{column}"))
 
@@ -115,8 +117,7 @@ def als_recommendations(
             coded = coded.join(codes[column], column)
         else:
             coded = coded.withColumn(f"_{column}", F.col(column).cast("int"))
-    partitions = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = min(partitions, max(8, math.ceil(profile.ratings / RATINGS_PER_BLOCK)))
+    blocks = max(8, math.ceil(profile.ratings / RATINGS_PER_BLOCK))
     model = ALS(
         userCol="_customer_id",
         itemCol="_product_id",
@@ -127,9 +128,9 @@ def als_recommendations(
         nonnegative=True,
         coldStartStrategy="drop",
         seed=settings.seed,
-        # Customers grow with the data, up to one block per shuffle partition; the catalogue stays far smaller.
+        # A block of either side holds all ratings of its ids, so both counts follow the ratings.
         numUserBlocks=blocks,
-        numItemBlocks=min(blocks, max(8, math.isqrt(blocks))),
+        numItemBlocks=blocks,
         # Cuts the lineage of the factors, so that a lost executor does not cost all iterations.
         checkpointInterval=5,
     ).fit(coded)
@@ -188,7 +189,7 @@ def heuristic_recommendations(
             F.col("related").alias("product_id"),
             F.col("line_pairs").cast("double").alias("score"),
             F.row_number().over(nearest).alias("_depth"),
-        )
+        ).withColumn("_band", depth_band(F.col("_depth")))
     )
 
     def not_owned(candidates: DataFrame) -> DataFrame:
@@ -214,8 +215,12 @@ def heuristic_recommendations(
     open_anchors = (
         anchors.join(cut, "anchor").join(floor, "customer_id", "left").where(above_floor("_cut_score", "_cut_product"))
     )
+    # Of one anchor no more than the first n + owned partners can count: that many of them are excluded at most.
+    lists = owned.groupBy("customer_id").agg((F.count(F.lit(1)) + n).alias("_deepest"))
+    reaching = open_anchors.join(lists, "customer_id").withColumn("_band", F.explode(bands_to(F.col("_deepest"))))
+    within = (F.col("_depth") > PROBE_DEPTH) & (F.col("_depth") <= F.col("_deepest"))
     deeper = not_owned(
-        open_anchors.join(partners.where(F.col("_depth") > PROBE_DEPTH), "anchor").where(above_floor("score", "product_id"))
+        reaching.join(partners, ["anchor", "_band"]).where(within).where(above_floor("score", "product_id"))
     )
     both = first.select("customer_id", "product_id", "score").unionByName(
         deeper.select("customer_id", "product_id", "score")
@@ -223,6 +228,29 @@ def heuristic_recommendations(
     return _labelled(_ranked(both, n), products, customers, "HEURISTIC_FALLBACK")
 
 
+def als_checks(recommendations: DataFrame, ratings: DataFrame, products: DataFrame, top_n: int = DEFAULTS.top_n) -> DataFrame:
+    """One row that counts what a factorisation result must not hold, and whether it holds anything."""
+    known = products.select("product_id").distinct()
+    owned = recommendations.join(ratings.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_semi")
+    by_rank = Window.partitionBy("customer_id").orderBy("recommendation_rank")
+    step = F.col("recommendation_rank") - F.lag("recommendation_rank", 1, 0).over(by_rank)
+    rise = F.col("score") > F.lag("score").over(by_rank)
+    counts = recommendations.select("customer_id", "recommendation_rank", "model_type", step.alias("step"), rise.alias("rise")).agg(
+        (F.count(F.lit(1)) > 0).alias("has_rows"),
+        F.count_if(F.col("recommendation_rank") > top_n).alias("ranks_beyond"),
+        F.count_if(F.col("step") != 1).alias("rank_gaps"),
+        F.count_if(F.col("rise")).alias("scores_out_of_order"),
+        F.count_if(F.col("model_type") != "ALS").alias("other_models"),
+    )
+    strangers = recommendations.join(known, "product_id", "left_anti")
+    return counts.withColumns(
+        {
+            "owned_recommended": owned.agg(F.count(F.lit(1))).scalar(),
+            "unknown_products": strangers.agg(F.count(F.lit(1))).scalar(),
+        }
+    )
+
+
 def model_gate(ratings: DataFrame) -> DataFrame:
     """One row: users, items and interactions (sale lines) behind the ratings."""
     return ratings.agg(

@@ -24,12 +24,22 @@ def controls(
     categories: Sequence[str] | None = None,
     customer_id: int | None = None,
     max_rank: int | None = None,
+    model_type: str | None = None,
+    segments: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Report controls as plain filters, so that they reach the scan.  A control that is not set keeps every row."""
-    if start is not None or end is not None:
-        day = F.make_date("year", "month", "day")
-        df = df.where(F.lit(True) if start is None else day >= F.lit(start))
-        df = df.where(F.lit(True) if end is None else day <= F.lit(end))
+    """Report controls as plain filters.  A control that is not set keeps every row.
+
+    A date limit is put in terms of the year, month and day columns, so that it prunes tables stored by year and month.
+    """
+    year, month, day = F.col("year"), F.col("month"), F.col("day")
+    if start is not None:
+        later = (month > start.month) | ((month == start.month) & (day >= start.day))
+        df = df.where((year >= start.year) & ((year > start.year) | (month >= start.month)))
+        df = df.where((year > start.year) | later)
+    if end is not None:
+        earlier = (month < end.month) | ((month == end.month) & (day <= end.day))
+        df = df.where((year <= end.year) & ((year < end.year) | (month <= end.month)))
+        df = df.where((year < end.year) | earlier)
     if countries is not None:
         df = df.where(F.col("customer_country").isin(*countries))
     if categories is not None:
@@ -38,6 +48,10 @@ def controls(
         df = df.where(F.col("customer_id") == customer_id)
     if max_rank is not None:
         df = df.where(F.col("recommendation_rank").between(1, max_rank))
+    if model_type is not None:
+        df = df.where(F.col("model_type") == model_type)
+    if segments is not None:
+        df = df.where(F.col("rfm_segment" if "rfm_segment" in df.columns else "segment_name").isin(*segments))
     return df
 
 
@@ -302,6 +316,16 @@ def most_recommended(recommendations: DataFrame, top: int = 20) -> DataFrame:
     )
 
 
+def most_recommended_products(recommendations: DataFrame, top: int = 20) -> DataFrame:
+    """Products by how often they are recommended, with their category's name, whatever model did so."""
+    return (
+        recommendations.groupBy("product_name", "category_name")
+        .agg(F.count("product_id").alias("recommendations"), F.avg("score").alias("avg_score"))
+        .orderBy(F.desc("recommendations"), F.asc("product_name"), F.asc("category_name"))
+        .limit(top)
+    )
+
+
 def recommendation_explorer(recommendations: DataFrame, max_rank: int = 5) -> DataFrame:
     return (
         controls(recommendations, max_rank=max_rank)

@@ -12,11 +12,12 @@ import datetime
 from collections.abc import Callable, Mapping
 from functools import cached_property, partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmark.operators.durable import checkpointed, scratch
 from tillmark.plans import facts, marts, recommend, segments, staging
-from tillmark.sources import readers, sinks, testtables
+from tillmark.sources import readers, schemas, sinks, testtables
 
 MODEL_OUTPUTS = ("customer_segments", "customer_recommendations")
 REFRESH_ORDER = (
@@ -28,6 +29,9 @@ REFRESH_ORDER = (
     *MODEL_OUTPUTS,
 )
 
+# Tables that are stored by month: sales reports and upserts touch only the months they are about.
+STORED_BY = dict.fromkeys(("st_sales", "fct_sales_summary", "mart_sales_summary"), ("year", "month"))
+
 # Tables that are stored with their load time, and the column that holds it.
 LOAD_TIME = {
     **dict.fromkeys(("st_customers", "st_employees", "st_products"), "dbt_loaded_at"),
@@ -90,7 +94,27 @@ class Workspace:
             if name in MODEL_OUTPUTS:
                 self._stored[name] = sinks.drop_and_write(frame, place)
             else:
-                self._stored[name] = sinks.write_table(frame, place)
+                self._stored[name] = sinks.write_table(frame, place, STORED_BY.get(name, ()))
+
+    def upsert_sales(self, target: str, batch: DataFrame) -> dict[str, DataFrame]:
+        """Bring raw sale lines into the stored ``st_sales`` and ``fct_sales_summary`` below the folder ``target``.
+
+        A line replaces the one of its id, wherever that is stored; a batch that repeats an id is refused.  The
+        dimensions are the stored ones.
+        """
+        folder = target.rstrip("/")
+        with scratch(batch.sparkSession):
+            lines = checkpointed(staging.st_sales(batch, self.source("products")))
+            by = STORED_BY["st_sales"]
+            self._stored["st_sales"] = sinks.upsert_partitions(f"{folder}/st_sales", lines, ("sales_id",), by)
+            fact = facts.fct_sales_summary(
+                lines, self.table("st_products"), self.table("st_customers"), self.table("st_employees")
+            )
+            fact = staging.with_load_time(fact, LOAD_TIME["fct_sales_summary"])
+            self._stored["fct_sales_summary"] = sinks.upsert_partitions(
+                f"{folder}/fct_sales_summary", fact, ("sales_id",), by
+            )
+        return dict(self._stored)
 
     # --- lookups and staging -----------------------------------------------------------------------------------------
 
@@ -173,16 +197,32 @@ class Workspace:
 
     @cached_property
     def product_labels(self) -> DataFrame:
-        return readers.product_labels(self.source("products"), self.source("categories"))
+        """Without a product table: no row; without categories: no category name."""
+        if "products" not in self._sources:
+            return readers.empty(self.source("sales").sparkSession, schemas.PRODUCT_LABELS)
+        return readers.product_labels(
+            self.source("products"), self.source("categories") if "categories" in self._sources else None
+        )
 
     @cached_property
     def customer_labels(self) -> DataFrame:
+        """Without a customer table: no row."""
+        if "customers" not in self._sources:
+            return readers.empty(self.source("sales").sparkSession, schemas.CUSTOMER_LABELS)
         return readers.customer_labels(self.source("customers"))
 
     @cached_property
     def model_sales(self) -> DataFrame:
-        """Curated sale lines, repaired: the input of the customer models."""
-        return segments.repaired_sales(readers.sales_lines(self.table("st_sales")), self.product_labels)
+        """Sale lines, repaired: the input of the customer models.
+
+        The curated lines are read where they can be built or are stored, the raw ones where the plan of the curated
+        ones cannot be analysed (a column or table is missing).
+        """
+        try:
+            lines = readers.sales_lines(self.table("st_sales"))
+        except (AnalysisException, KeyError):
+            lines = self.source("sales").select(*readers.SALES_LINE_COLUMNS)
+        return segments.repaired_sales(lines, self.product_labels)
 
     @cached_property
     def customer_segments(self) -> DataFrame:

@@ -25,8 +25,11 @@ def typed(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Header-skipping CSV scan.  The columns are bound by position, so the header names are not trusted."""
-    text = spark.read.csv(path, header=True, schema=schemas.all_text(schema), enforceSchema=True)
+    """CSV scan bound by the names in the file's header; other columns are left out, a missing one is an error."""
+    text = spark.read.csv(path, header=True, inferSchema=False)
+    missing = [name for name in schema.names if name not in text.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     return typed(text, schema)
 
 
@@ -40,6 +43,14 @@ def load_raw(spark: SparkSession, path: str) -> tuple[str, DataFrame] | None:
     return table, read_csv(spark, path, schemas.struct(schemas.RAW[table]))
 
 
+def load_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every raw CSV file of a folder by its table; lookup files are left to ``load_seed``."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*.csv")
+    found = files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files) or []
+    loaded = [load_raw(spark, path) for path in sorted(f.getPath().toString() for f in found)]
+    return dict(table for table in loaded if table is not None)
+
+
 def load_seed(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", schemas.struct(schemas.SEEDS[name]))
 

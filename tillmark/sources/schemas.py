@@ -38,8 +38,3 @@ CUSTOMER_LABELS = "customer_id bigint, customer_name string"
 
 def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
-
-
-def all_text(schema: StructType) -> StructType:
-    """The same columns as text, for reading files whose values may not parse."""
-    return StructType.fromDDL(", ".join(f"`{name}` string" for name in schema.names))

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.sources.readers import read_table
+from tillmark.operators.durable import checkpointed
+from tillmark.sources.readers import load_folder, read_table
 
 
 def write_table(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -32,11 +33,18 @@ def drop_and_write(df: DataFrame, table: str) -> DataFrame:
     return write_table(df, table)
 
 
+def replace_raw(spark: SparkSession, folder: str, target: str) -> dict[str, DataFrame]:
+    """Load all raw CSV files of ``folder``, each replacing its table below ``target`` (a folder or a database)."""
+    place = f"{target.rstrip('/')}/" if "/" in target else f"{target}."
+    return {name: write_table(frame, f"{place}{name}") for name, frame in load_folder(spark, folder).items()}
+
+
 def upsert(target: DataFrame, batch: DataFrame, *keys: str) -> DataFrame:
     """Rows of ``target`` whose key is not in ``batch``, plus all of ``batch``.
 
     Parquet has no MERGE, so the result is a new table: write it to a new place, never over ``target``.  Repeating a
-    batch gives the same table.  Keys compare null-safe, so a null key is replaced like any other.
+    batch gives the same table.  Keys compare null-safe, so a null key is replaced like any other.  A batch that repeats
+    a key has no single row to put there: all of its rows are taken (``require_unique`` rejects it).
     """
     keep = target.alias("t").join(
         batch.select(*keys).alias("b"),
@@ -46,6 +54,39 @@ def upsert(target: DataFrame, batch: DataFrame, *keys: str) -> DataFrame:
     return keep.unionByName(batch)
 
 
+def require_unique(batch: DataFrame, *keys: str) -> DataFrame:
+    """Stop where a batch repeats a key: a keyed merge could not tell which row to keep.  Runs one job."""
+    twice = batch.groupBy(*keys).count().where(F.col("count") > 1).first()
+    if twice:
+        raise ValueError(f"the batch repeats the key {tuple(twice[k] for k in keys)}")
+    return batch
+
+
+def upsert_partitions(path: str, batch: DataFrame, keys: tuple[str, ...], partition_by: tuple[str, ...]) -> DataFrame:
+    """Upsert into a stored, partitioned table; only partitions that the batch's rows are in, or were in, are rewritten.
+
+    The rewritten partitions are stored aside first, so a failure before the last step leaves the table as it was.
+    """
+    spark = batch.sparkSession
+    require_unique(batch, *keys)
+    target = spark.read.parquet(path)
+    batch = batch.select(target.columns)
+    same = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    was_in = target.select(*keys, *partition_by).alias("t").join(batch.select(*keys).alias("b"), same, "left_semi")
+    touched = checkpointed(was_in.select(*partition_by).union(batch.select(*partition_by)).distinct())
+    here = reduce(lambda a, b: a & b, [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partition_by])
+    old = target.alias("t").join(touched.alias("p"), here, "left_semi").select("t.*")
+    new = checkpointed(upsert(old, batch, *keys))
+    # A partition that keeps no row is not overwritten by the writer and has to go by itself.
+    emptied = touched.join(new.select(*partition_by).distinct(), list(partition_by), "left_anti").collect()
+    writer = new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    writer.parquet(path)
+    for row in emptied:
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/" + "/".join(f"{c}={row[c]}" for c in partition_by))
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return spark.read.schema(target.schema).parquet(path)
+
+
 def database(spark: SparkSession, name: str) -> str:
     """A namespace for tables; custom names replace the default one and are not appended to it."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
