@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.keys import text_key
+from tillmark.operators.durable import checkpointed
 from tillmark.operators.ranking import Ranks, asc, with_ranks
 
 # Country names that the ISO table lists under another name.
@@ -74,28 +75,26 @@ def city_codes(world: DataFrame) -> DataFrame:
     )
 
 
-def _resolved_cities(cities: DataFrame, known: DataFrame, iso: DataFrame, world: DataFrame) -> DataFrame:
-    """Cities with the country code found for their name, where a known country or an ISO country has that code."""
+def _named_cities(cities: DataFrame, iso: DataFrame, world: DataFrame) -> DataFrame:
+    """Cities with the country code found for their name and the ISO country of it; stored, as it is read repeatedly."""
     iso_names = iso.groupBy(F.col("alpha_2").alias("_code")).agg(F.min("country_name").alias("_iso_name"))
     found = cities.withColumn("city_key", text_key(F.col("CityName"))).join(city_codes(world), "city_key", "left")
-    return found.join(known, F.col("country_code") == F.col("_known_code"), "left").join(
-        iso_names, F.col("country_code") == F.col("_code"), "left"
-    )
+    return checkpointed(found.join(iso_names, F.col("country_code") == F.col("_code"), "left").drop("_code"))
 
 
-def _known(countries: DataFrame) -> DataFrame:
+def _with_known(named: DataFrame, countries: DataFrame) -> DataFrame:
     """Country id per code; a code that occurs twice stands for its last row, by id."""
-    return (
+    known = (
         countries.where(_code("CountryCode").isNotNull())
         .groupBy(_code("CountryCode").alias("_known_code"))
         .agg(F.max("CountryID").alias("_known_id"))
     )
+    return named.join(known, F.col("country_code") == F.col("_known_code"), "left")
 
 
-def new_countries(cities: DataFrame, countries: DataFrame, iso: DataFrame, world: DataFrame) -> DataFrame:
-    """Countries that cities belong to and ``countries`` lacks, numbered on from the highest id in city order."""
+def _created(named: DataFrame, countries: DataFrame) -> DataFrame:
     missing = (
-        _resolved_cities(cities, _known(countries), iso, world)
+        _with_known(named, countries)
         .where(F.col("_known_id").isNull() & F.col("_iso_name").isNotNull())
         .groupBy(F.col("country_code").alias("CountryCode"), F.col("_iso_name").alias("CountryName"))
         .agg(F.min("CityID").alias("_first_city"))
@@ -105,6 +104,25 @@ def new_countries(cities: DataFrame, countries: DataFrame, iso: DataFrame, world
     return numbered.select((highest + F.col("_number")).alias("CountryID"), "CountryName", "CountryCode")
 
 
+def _moved(named: DataFrame, complete: DataFrame) -> DataFrame:
+    target = F.col("_known_id")
+    return _with_known(named, complete).select(
+        "CityID",
+        "CityName",
+        "Zipcode",
+        F.coalesce(target, F.col("CountryID")).alias("CountryID"),
+        F.when(target.isNull(), "unresolved")
+        .when(target.eqNullSafe(F.col("CountryID")), "unchanged")
+        .otherwise("updated")
+        .alias("status"),
+    )
+
+
+def new_countries(cities: DataFrame, countries: DataFrame, iso: DataFrame, world: DataFrame) -> DataFrame:
+    """Countries that cities belong to and ``countries`` lacks, numbered on from the highest id in city order."""
+    return _created(_named_cities(cities, iso, world), countries)
+
+
 def completed_countries(cities: DataFrame, countries: DataFrame, iso: DataFrame, world: DataFrame) -> DataFrame:
     """Normalised countries plus the created ones."""
     normal = normalized_countries(countries, iso).drop("code_changed")
@@ -116,25 +134,18 @@ def normalized_cities(cities: DataFrame, countries: DataFrame, iso: DataFrame, w
 
     ``status`` is updated, unchanged or unresolved.
     """
-    complete = _known(completed_countries(cities, countries, iso, world))
-    target = F.col("_known_id")
-    return _resolved_cities(cities, complete, iso, world).select(
-        "CityID",
-        "CityName",
-        "Zipcode",
-        F.coalesce(target, F.col("CountryID")).alias("CountryID"),
-        F.when(target.isNull(), "unresolved")
-        .when(target.eqNullSafe(F.col("CountryID")), "unchanged")
-        .otherwise("updated")
-        .alias("status"),
-    )
+    named = _named_cities(cities, iso, world)
+    normal = normalized_countries(countries, iso).drop("code_changed")
+    return _moved(named, normal.unionByName(_created(named, normal)))
 
 
 def geography_counters(cities: DataFrame, countries: DataFrame, iso: DataFrame, world: DataFrame) -> DataFrame:
     """One row: countries updated and created, cities updated and unresolved."""
-    normal = normalized_countries(countries, iso)
-    created = new_countries(cities, normal.drop("code_changed"), iso, world)
-    moved = normalized_cities(cities, countries, iso, world)
+    named = _named_cities(cities, iso, world)
+    normal = checkpointed(normalized_countries(countries, iso))
+    plain = normal.drop("code_changed")
+    created = _created(named, plain)
+    moved = _moved(named, plain.unionByName(created))
 
     def tally(df: DataFrame, counter: str, condition: Column) -> DataFrame:
         return df.select(F.lit(counter).alias("counter"), condition.cast("bigint").alias("hit"))
