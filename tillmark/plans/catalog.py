@@ -61,8 +61,7 @@ def _repaired_raw_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sales_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """No curated table in the folder, so the raw one is read: here the lines under the raw column names."""
-    testtables.sales(tune(spark), folder).createOrReplaceTempView("tillmark_raw_sales")
-    return readers.sales_source(spark, f"{folder}/st_sales.parquet", "tillmark_raw_sales")
+    return readers.sales_source(spark, f"{folder}/st_sales.parquet", testtables.sales(tune(spark), folder))
 
 
 def _upserted_sales(spark: SparkSession, folder: str) -> DataFrame:

@@ -78,15 +78,16 @@ SALES_LINE_COLUMNS = (
 )
 
 
-def sales_source(spark: SparkSession, curated: str, raw: str) -> DataFrame:
-    """The curated sales table, or the raw one where the curated table is missing or lacks a column.
+def sales_source(spark: SparkSession, curated: str, raw: str | DataFrame) -> DataFrame:
+    """The curated sales table, or the raw one (or frame) where the curated table is missing or lacks a column.
 
     Both problems show up while the plan is analysed, before any task runs; failures of later tasks are not covered.
     """
     try:
         return sales_lines(read_table(spark, curated))
     except AnalysisException:
-        return read_table(spark, raw).select(*SALES_LINE_COLUMNS)
+        lines = read_table(spark, raw) if isinstance(raw, str) else raw
+        return lines.select(*SALES_LINE_COLUMNS)
 
 
 def product_labels(products: DataFrame, categories: DataFrame | None) -> DataFrame:
