@@ -10,7 +10,9 @@ the matches of a pattern (``split``) and the matches themselves (``regexp_extrac
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +37,7 @@ class Kind:
     pattern: str
     group: int  # that holds the value
     least: int  # characters of the value
+    signs: tuple[str, ...]  # lower-case pieces of which a text with a match has one
 
     @property
     def base(self) -> bool:
@@ -43,25 +46,42 @@ class Kind:
 
 # The base kinds of the contract, in its order.
 BASE = (
-    Kind("assign", rf"""({_KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Kind("access", "AKIA[A-Z0-9]+", 0, 20),
-    Kind("hex", "[0-9a-f]+", 0, 24),
+    Kind("assign", rf"""({_KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, ("passw", "secret", "token", "apikey", "api_key")),
+    Kind("access", "AKIA[A-Z0-9]+", 0, 20, ("akia",)),
+    Kind("hex", "[0-9a-f]+", 0, 24, ()),
 )
 MORE = (
-    Kind("prefixed", "(?:ghp|gho|ghu|ghs|ghr|glpat|sk|xoxa|xoxb|xoxp)[_-][A-Za-z0-9_-]+", 0, 20),
-    Kind("bearer", rf"{either_case('bearer')}\x20+([A-Za-z0-9._~+/-]+)", 1, 20),
-    Kind("login", r"://[^\x00-\x20/:@]+:([^\x00-\x20/@]+)@", 1, 6),
-    Kind("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    Kind("prefixed", "(?:ghp|gho|ghu|ghs|ghr|glpat|sk|xoxa|xoxb|xoxp)[_-][A-Za-z0-9_-]+", 0, 20, ("_", "-")),
+    Kind("bearer", rf"{either_case('bearer')}\x20+([A-Za-z0-9._~+/-]+)", 1, 20, ("bearer",)),
+    Kind("login", r"://[^\x00-\x20/:@]+:([^\x00-\x20/@]+)@", 1, 6, ("://",)),
+    Kind("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, ("-----begin",)),
 )
 KINDS = BASE + MORE
 
 SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string,value_hash:string>"
 
 
+def likely(text: Column, kinds: tuple[Kind, ...]) -> Column:
+    """Whether ``text`` has a match of any kind: never false where it has a long enough one.
+
+    Plain searches come first, as nearly all texts end there.  ``lower`` stands in an array of one, so that it is
+    computed once for all of them.
+    """
+
+    def any_sign(lowered: Column) -> Column:
+        kinds_with_signs = [kind for kind in kinds if kind.signs]
+        found = [
+            reduce(operator.or_, [F.contains(lowered, F.lit(sign)) for sign in kind.signs]) & text.rlike(kind.pattern)
+            for kind in kinds_with_signs
+        ]
+        return reduce(operator.or_, found, F.lit(False))
+
+    runs = [text.rlike(f"[0-9a-f]{{{kind.least}}}") for kind in kinds if not kind.signs]
+    return reduce(operator.or_, runs, F.exists(F.array(F.lower(text)), any_sign))
+
+
 def _spans(text: Column, kind: Kind, rank: int) -> Column:
     """Matches of one kind, leftmost and non-overlapping, those with too short a value dropped."""
-    # Long runs only: a text without one has no match that is long enough.
-    likely = f"[0-9a-f]{{{kind.least}}}" if kind.name == "hex" else kind.pattern
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     gaps = F.split(text, kind.pattern, -1)
     start = F.lit(0).cast("bigint")
@@ -83,12 +103,13 @@ def _spans(text: Column, kind: Kind, rank: int) -> Column:
 
     pairs = F.filter(F.arrays_zip(gaps.alias("gap"), matches.alias("match")), lambda p: p["match"].isNotNull())
     found = F.reduce(pairs, F.struct(start.alias("at"), empty.alias("found")), step)["found"]
-    return F.when(text.rlike(likely), found).otherwise(empty)
+    return F.when(text.rlike(kind.pattern), found).otherwise(empty)
 
 
 def spans(text: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
     """All candidates of a text by start, then kind; places are code points, the end exclusive."""
-    return F.array_sort(F.concat(*[_spans(text, kind, rank) for rank, kind in enumerate(kinds)]))
+    found = F.array_sort(F.concat(*[_spans(text, kind, rank) for rank, kind in enumerate(kinds)]))
+    return F.when(likely(text, kinds), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def ownership(candidates: DataFrame, common_owners: int = COMMON_OWNERS) -> DataFrame:
@@ -189,8 +210,7 @@ def redacted(
     text = F.coalesce(F.col(text_column), F.lit(""))
     found = found_spans(documents, keep=[], text_column=text_column, repository=repository, owner=owner)
     judged = judged_spans(found, common_owners)
-    likely = "|".join(f"(?:[0-9a-f]{{{k.least}}})" if k.name == "hex" else f"(?:{k.pattern})" for k in KINDS)
-    holds = text.rlike(likely)
+    holds = likely(text, KINDS)
     own = documents.where(holds).select(F.struct("*").alias("row"), text_key(F.col(text_column)).alias("key"))
     own = own.join(judged, F.col("key") == F.col("text_key"), "left")
     old = F.col("row").getField(text_column)

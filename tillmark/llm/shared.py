@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.operators.durable import checkpointed
+
 # A-Z as SQL and every Spark function see them; other letters keep their case in all contracts.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -19,17 +19,12 @@ def folded(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Where executors and driver both read: ``spark.checkpoint.dir``, else a folder in the warehouse."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tillmark-stored"
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read from there: cuts lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once to the shared folder and read from there: cuts lineage and survives lost executors.
+
+    The files go with ``tillmark.operators.durable.scratch`` or ``release``.
+    """
+    return checkpointed(df)
 
 
 def text_key(text: Column) -> Column:
