@@ -1,5 +1,8 @@
 """Operators that are Spark expressions: properties that their SQL does not show."""
 
+import random
+import re
+
 import fixtures
 from pyspark.sql import functions as F
 
@@ -34,6 +37,58 @@ def test_empty_tables(spark):
     assert url_filter.judged(pages).count() == 0
 
 
+MIT = """Copyright (c) 2020 Q. All rights kept.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights"""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without\r
+modification, are permitted provided that the following conditions\r
+are met:"""
+MPL = """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this"""
+
+
+def met_by_brute_force(text):
+    """Label to containment: over the lines, and over all passages of the text."""
+    own, found = fixtures.words(text, fixtures.LETTERS), {}
+    lines = [fixtures.words(line, fixtures.LETTERS) for line in re.split("[\n\r]+", text or "")]
+    for label, template in licenses.TEMPLATES:
+        tokens, size = set(template.split()), licenses.passage_size(template)
+        blocks = lines + [own[i : i + size] for i in range(max(1, len(own) - size + 1))]
+        most = max(len(tokens & set(block)) for block in blocks)
+        if most >= licenses.needed(len(tokens)):
+            found[label] = max(most / len(tokens), found.get(label, 0))
+    return found
+
+
+def test_wrapped_notices_are_found(spark):
+    rng = random.Random(1)
+    texts = [MIT, GPL, BSD, MPL, f"{fixtures.sentence(rng, 300)}\n\n{GPL}\n{fixtures.sentence(rng, 300)}\n{MIT}"]
+    texts += ["licensed under\nthe\nApache License,\nVersion 2.0", "released under the\n", None, "", "a mit b"]
+    texts.append("released\n" + "far " * 40 + "under\nthe\nmit\nlicense")  # too far apart for a passage
+    for _ in range(150):
+        own = rng.choice(licenses.TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randint(0, 1)] = [rng.choice(["x", "mit", "license", "the"])] * rng.randint(1, 3)
+        own[:0], own[len(own) :] = ["y"] * rng.randint(0, 50), ["z"] * rng.randint(0, 50)
+        texts.append("".join(word + rng.choice([" ", " ", "\n"]) for word in own))
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scanned(documents).collect()}
+    for place, label in enumerate(["mit", "gpl-3", "bsd", "mpl-2"]):
+        assert label in got[place].labels and got[place].score >= 0.9 and got[place].base_labels == []
+    for place, text in enumerate(texts):
+        want = met_by_brute_force(text)
+        assert set(got[place].labels) == set(want) | set(got[place].base_labels), text
+        if not got[place].base_labels:
+            assert got[place].score == max(want.values(), default=0), text
+
+
 def test_copied_values_are_examples_and_live_ones_are_masked(spark):
     copied, own = "password=example123", 'api_key: "zzTop99zz"'
     rows = [(i, f"é {copied} end", "en", f"s{i}", 0) for i in range(6)] + [(50, f"a {own} b {copied}", "en", "s1", 0)]

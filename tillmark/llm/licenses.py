@@ -1,10 +1,12 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line.  A template's tokens are its distinct words; a block meets it if it holds at least ``CONTAINMENT``
-of them.  The join is the exact prefix-filter join: all tokens of the templates are ordered by how many blocks of the
-whole corpus hold them, rarest first; a block that meets a template with *t* tokens, of which *k* are needed, holds
-one of the template's first ``t - k + 1`` tokens.  So only blocks with such a rare token are split into words, a length
-filter and a positional filter bound what a pair can still share, and the pairs that are left are counted exactly.
+A block is a line, or a passage: consecutive words over any line ends, as many as the template has and ``SLACK`` more,
+so that a wrapped notice is one block.  A template's tokens are its distinct words; a block meets it if it holds at
+least ``CONTAINMENT`` of them.  The join is the exact prefix-filter join: all tokens of the templates are ordered by how
+many lines of the whole corpus hold them, rarest first; a block that meets a template with *t* tokens, of which *k* are
+needed, holds one of the template's first ``t - k + 1`` tokens.  So only texts with such a rare token are split into
+words.  For lines a length filter and a positional filter bound what a pair can still share; for passages the words
+around the rare token, in which all passages with it lie, must hold enough.  What is left is counted exactly.
 
 Only Spark expressions are used.  What the driver sees are the counts of the templates' own tokens.
 """
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from tillmark.llm.shared import folded, text_key
 
 CONTAINMENT = 0.9
+# By how much a passage may be longer than its template: words put in, marks of comment lines.
+SLACK = 0.25
 
 # A word after A-Z are lower-cased, and what parts two words.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -63,12 +67,16 @@ def needed(tokens: int) -> int:
     return math.ceil(CONTAINMENT * tokens - 1e-9)
 
 
+def passage_size(text: str) -> int:
+    return math.ceil((1 + SLACK) * len(text.split()) - 1e-9)
+
+
 def _either(words: list[str]) -> str:
     return f"(?i)(?:^|{GAP})(?:{'|'.join(sorted(words))})(?={GAP}|$)"
 
 
 def token_order(documents: DataFrame, text_column: str, templates=TEMPLATES) -> list[str]:
-    """The tokens of the templates, those in the fewest blocks of the corpus first; ties by the token.
+    """The tokens of the templates, those in the fewest lines of the corpus first; ties by the token.
 
     The order decides only how much is compared, never what is found, so ``lower`` may stand for the exact folding.
     """
@@ -95,6 +103,7 @@ def _template_table(spark: SparkSession, order: list[str], templates) -> DataFra
                     F.lit(place).alias("template_place"),
                     F.array(*map(F.lit, tokens)).alias("template_tokens"),
                     F.lit(needed(len(tokens))).alias("needed"),
+                    F.lit(passage_size(text)).alias("passage_size"),
                 )
             )
     sizes = max(len(text.split()) for _, text in templates)
@@ -105,12 +114,14 @@ def _template_table(spark: SparkSession, order: list[str], templates) -> DataFra
 def licensed_blocks(documents: DataFrame, *, text_column: str = "text", templates=TEMPLATES) -> DataFrame:
     """Every block that meets a template: text_key, block, template, label, containment, without repetitions.
 
-    Null and empty texts have no block.  Two blocks of one text that read alike give one row.
+    Null and empty texts have no block.  Two blocks of one text that read alike give one row.  Of the passages around
+    one rare token, which overlap, the fullest one is named, by its words.
     """
     spark = documents.sparkSession
     order = token_order(documents, text_column, templates)
     table = _template_table(spark, order, templates)
     rare = sorted({row for _, text in templates for row in _prefix(order, text)})
+    documents = documents.select(text_column).where(F.col(text_column).rlike(_either(rare)))
     block = F.explode(F.filter(F.split(F.col(text_column), LINE_END), lambda line: line.rlike(_either(rare))))
     blocks = documents.select(text_key(F.col(text_column)).alias("text_key"), block.alias("block")).distinct()
     # The words that the block shares with any template, in the global order.
@@ -128,9 +139,65 @@ def licensed_blocks(documents: DataFrame, *, text_column: str = "text", template
         .dropDuplicates(["text_key", "block", "template"])
     )
     common = F.size(F.array_intersect("tokens", "template_tokens"))
-    return pairs.where(common >= F.col("needed")).select(
+    lines = pairs.where(common >= F.col("needed")).select(
         "text_key", "block", "template", "label", (common / F.size("template_tokens")).alias("containment")
     )
+    return lines.unionByName(_passages(documents, text_column, order, templates, table)).distinct()
+
+
+def _passages(documents: DataFrame, text_column: str, order: list[str], templates, table: DataFrame) -> DataFrame:
+    """The fullest passage around each rare token that meets a template, as ``licensed_blocks`` gives it."""
+    least: dict[str, int] = {}
+    for _, text in templates:
+        for token in _prefix(order, text):
+            least[token] = min(needed(len(set(text.split()))), least.get(token, len(order)))
+    longest = max(passage_size(text) for _, text in templates)
+    vocabulary = F.array(*map(F.lit, order))
+    bound = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+
+    def around(words: Column, place: Column, size) -> Column:
+        """The words of which a passage of ``size`` words that holds the one at ``place`` (from 0) can consist."""
+        before = F.least(place, F.lit(size) - 1)
+        return F.slice(words, place - before + 1, before + F.lit(size))
+
+    def near(words: Column) -> Column:
+        places = F.array_compact(F.transform(words, lambda word, i: F.when(word.isin(list(least)), i)))
+        token = lambda place: F.get(words, place)
+        enough = F.filter(
+            places,
+            lambda i: F.size(F.array_intersect(around(words, i, longest), vocabulary)) >= F.element_at(bound, token(i)),
+        )
+        return F.transform(
+            enough,
+            lambda i: F.struct(
+                token(i).alias("token"), F.least(i, F.lit(longest - 1)).alias("place"), around(words, i, longest).alias("near")
+            ),
+        )
+
+    # In a lambda's variable, so that a text is split once.
+    split = F.array(F.regexp_extract_all(folded(F.col(text_column)), F.lit(WORD), F.lit(0)))
+    found = documents.select(
+        text_key(F.col(text_column)).alias("text_key"), F.inline(F.element_at(F.transform(split, near), 1))
+    ).distinct()
+    pairs = (
+        found.join(F.broadcast(table), "token")  # as small as the templates are
+        .withColumn("near", around(F.col("near"), F.col("place"), F.col("passage_size")))
+        .where(F.size(F.array_intersect("near", "template_tokens")) >= F.col("needed"))
+    )
+    starts = F.sequence(F.lit(1), F.greatest(F.size("near") - F.col("passage_size") + 1, F.lit(1)))
+    held = lambda i: F.size(F.array_intersect(F.slice("near", i, F.col("passage_size")), F.col("template_tokens")))
+    best = F.array_max("counts")
+    return (
+        pairs.withColumn("counts", F.transform(starts, held))
+        .where(best >= F.col("needed"))
+        .select(
+            "text_key",
+            F.array_join(F.slice("near", F.array_position("counts", best).cast("int"), F.col("passage_size")), " ").alias("block"),
+            "template",
+            "label",
+            (best / F.size("template_tokens")).alias("containment"),
+        )
+    )
 
 
 def _prefix(order: list[str], text: str) -> list[str]:
