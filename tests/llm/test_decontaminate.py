@@ -72,6 +72,33 @@ def test_no_window_is_left_and_clean_rows_stay(spark):
     assert clean.exceptAll(out).count() == 0 and out.count() == documents.count() - 1
 
 
+def test_several_blocks_clean_as_one_does(spark, monkeypatch):
+    rng = random.Random(7)
+    plain = [r[1] for r in fixtures.rows() if r[1] and len(r[1]) < 1000]
+    passages = [(100 + i, " ".join(f"p{i}q{j}" for j in range(18))) for i in range(12)]
+    found_items = items(rng, plain) + passages
+    rows = []
+    for i in range(60):  # of several items, which no single block hits by half; side by side, or inside each other
+        first, second, third = (p.split() for _, p in rng.sample(passages, 3))
+        own = first + ([",", "-"] if i % 2 else ["mid"]) + second + [f"f{j}" for j in range(rng.randint(20, 140))]
+        at = rng.randint(1, 17)
+        own += third[:at] + rng.choice([first, second]) + third[at:] + ["end"]
+        rows.append((200 + i, " ".join(own), "en", "a", 0))
+    documents = fixtures.documents(spark, rows + rows[:3])
+    benchmark = spark.createDataFrame(found_items, ITEMS)
+    got = []
+    for block in (8_000_000, 400):
+        monkeypatch.setattr(decontaminate, "BLOCK_TEXT", block)
+        out = decontaminate.decontaminated(documents, benchmark)
+        assert out.columns == documents.columns
+        got.append(sorted(map(repr, out.collect())))
+    assert got[0] == got[1]
+    stay = {r.doc_id for r in out.collect() if r.doc_id and r.doc_id >= 200}
+    assert 10 < len(stay) < 50
+    kept = [r.text for r in out.collect()]
+    assert not any(hit for _, hit, _ in brute(kept, found_items))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], ITEMS)
     assert decontaminate.contamination(fixtures.documents(spark), none).where("contamination.n_hit > 0").count() == 0

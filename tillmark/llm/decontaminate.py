@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tillmark.llm import words
+from tillmark.llm.shared import stored
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -258,35 +259,57 @@ def _streamed(documents: DataFrame, text_column: str, automaton: ItemAutomaton)
     return documents.mapInArrow(stream, schema)
 
 
-def _several(documents: DataFrame, text_column: str, results: list[DataFrame]) -> DataFrame:
-    """The findings of several blocks of items by text: spans of different items may overlap, words count once."""
+def _joined(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Byte spans joined where they overlap or no word stands between them, as one automaton would find them."""
+    whole = merged(spans)
+    data = text.encode()
+    between = pa.array([data[a[1] : b[0]].decode() for a, b in zip(whole, whole[1:])], pa.large_string())
+    empty = [n == 0 for block in words.blocks(between, words.LETTERS) for n in np.diff(block.bounds)]
+    out = whole[:1]
+    for span, adjoins in zip(whole[1:], empty):
+        if adjoins:
+            out[-1] = (out[-1][0], span[1])
+        else:
+            out.append(span)
+    return out
+
+
+def _hits_by_text(text_column: str, results: list[DataFrame]) -> DataFrame:
+    """The findings of several blocks of items, one row for each text that is hit: spans of different items may
+    overlap, words count once."""
     hits = None
     for result in results:
         own = result.where(F.size("contamination.spans") > 0)
         own = own.select(F.col(text_column).alias("_text"), "contamination").dropDuplicates(["_text"])
         hits = own if hits is None else hits.unionByName(own)
     joined = hits.groupBy("_text").agg(
+        F.max("contamination.n_words").alias("n_words"),
         F.max("contamination.longest").alias("longest"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("contamination.items")))).alias("items"),
         F.flatten(F.collect_list("contamination.spans")).alias("spans"),
     )
+    names = ["_text", "_n_words", "_n_hit", "_longest", "_items", "_spans"]
 
     def merge(batches):
         for batch in batches:
-            texts, spans = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            whole = [merged([(s["start"], s["end"]) for s in one]) for one in spans]
+            texts, spans = batch.column(0).to_pylist(), batch.column(4).to_pylist()
+            whole = [_joined(text, [(s["start"], s["end"]) for s in one]) for text, one in zip(texts, spans)]
             n_hit = []
             for text, one in zip(texts, whole):
                 parts = pa.array([text.encode()[a:b].decode() for a, b in one])
                 n_hit.append(sum(len(b.hashes) for b in words.blocks(parts, words.LETTERS)))
             rows = [[{"start": a, "end": b} for a, b in one] for one in whole]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            arrays = [batch.column(0), pa.array(n_hit, pa.int64()), batch.column(1), batch.column(2), pa.array(rows, kind)]
-            yield pa.RecordBatch.from_arrays(arrays, ["_text", "_n_hit", "_longest", "_items", "_spans"])
+            arrays = [*batch.columns[:2], pa.array(n_hit, pa.int64()), *batch.columns[2:4], pa.array(rows, kind)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
-    found = joined.mapInArrow(
-        merge, "_text string, _n_hit long, _longest long, _items array<string>, _spans array<struct<start: long, end: long>>"
-    )
+    spans = "_spans array<struct<start: long, end: long>>"
+    return joined.mapInArrow(merge, f"_text string, _n_words long, _n_hit long, _longest long, _items array<string>, {spans}")
+
+
+def _several(documents: DataFrame, text_column: str, results: list[DataFrame]) -> DataFrame:
+    """``documents`` with the findings of several blocks of items."""
+    found = _hits_by_text(text_column, results)
     own = "contamination"
     first = results[0].select(F.struct(*documents.columns).alias("row"), F.col(text_column).alias("own_text"), own)
     out = first.join(found, F.col("own_text") == F.col("_text"), "left")
@@ -314,12 +337,44 @@ def decontaminated(
 
     A document of whose words more than ``max_coverage`` are hit is dropped.  Otherwise the spans go, and again until
     the text that is left holds no window.  Documents without a hit, null and empty texts included, stay as they are.
+    Coverage, and each removal, is judged on what all items hit together, however many blocks they are cut into.
     """
-    columns = documents.columns
-    out = documents
-    for automaton in _blocks_of_items(benchmark, item_id, item_text, window):
-        out = _cleaned(out, text_column, automaton, max_coverage)
-    return out.select(columns)
+    automata = list(_blocks_of_items(benchmark, item_id, item_text, window))
+    if len(automata) == 1:
+        return _cleaned(documents, text_column, automata[0], max_coverage)
+    return _cleaned_by_all(documents, text_column, automata, max_coverage)
+
+
+def _cleaned_by_all(documents: DataFrame, text_column: str, automata: list[ItemAutomaton], max_coverage: float) -> DataFrame:
+    """Rounds over all blocks of items; each sees only the texts that the one before has cut."""
+    texts = documents.select(F.col(text_column).alias("_now"))
+    hits = stored(_hits_by_text("_now", [_streamed(texts, "_now", a) for a in automata]))
+    # A dropped text has no new one.
+    keep = ~(F.col("_n_hit") > F.lit(max_coverage) * F.col("_n_words"))
+    changes = hits.where(~keep).select(F.col("_text").alias("_was"), F.lit(None).cast("string").alias("_now"))
+    open_ = stored(_cut(hits.where(keep).withColumn("_was", F.col("_text"))))
+    while not open_.isEmpty():
+        hits = stored(_hits_by_text("_now", [_streamed(open_.select("_now"), "_now", a) for a in automata]))
+        more = open_.join(hits, F.col("_now") == F.col("_text"), "left")
+        changes = changes.unionByName(more.where(F.col("_text").isNull()).select("_was", "_now"))
+        open_ = stored(_cut(more.where(F.col("_text").isNotNull())))
+    row = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"))
+    found = row.join(changes, F.col("row")[text_column] == F.col("_was"), "left")
+    found = found.where(F.col("_was").isNull() | F.col("_now").isNotNull())
+    text = F.coalesce("_now", F.col("row")[text_column])
+    return found.select([(text if c == text_column else F.col("row")[c]).alias(c) for c in documents.columns])
+
+
+def _cut(found: DataFrame) -> DataFrame:
+    """Of rows with _was, _text and _spans: _was, and as _now the text without the spans."""
+
+    def stream(batches):
+        for batch in batches:
+            texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            now = [cut(text, [(s["start"], s["end"]) for s in one]) for text, one in zip(texts, spans)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(now, pa.string())], ["_was", "_now"])
+
+    return found.select("_was", "_text", "_spans").mapInArrow(stream, "_was string, _now string")
 
 
 def _cleaned(documents: DataFrame, text_column: str, automaton: ItemAutomaton, max_coverage: float) -> DataFrame:
