@@ -346,7 +346,7 @@ def training_pages(sample: list[str]) -> list[tuple[list[Leaf], list[int]]]:
 def fit(pages: DataFrame, *, id_column: str = "page_id", html_column: str = "html") -> Field | None:
     """A field trained on a bounded sample of ``pages``; None where the sample holds no text at all."""
     short = F.length(html_column).between(1, MAX_PAGE_CHARS)
-    rows = bounded_sample(pages.where(short), MAX_PAGES, id_column).select(html_column)
+    rows = bounded_sample(pages.where(short).select(id_column, html_column), MAX_PAGES, id_column).select(html_column)
     found = training_pages(sorted(r[0] for r in rows.collect()))
     return train(found) if found else None
 

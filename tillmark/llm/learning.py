@@ -14,12 +14,20 @@ def fold(id_column: str, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % folds, F.lit(0))
 
 
-def bounded_sample(rows: DataFrame, about: int, *key: str) -> DataFrame:
-    """About ``about`` rows, chosen by a hash of ``key``: the same ones at every run, all where there are no more."""
-    total = rows.count()
-    if total <= about:
+def bounded_sample(rows: DataFrame, most: int, *key: str) -> DataFrame:
+    """At most ``most`` rows: all where there are no more, else chosen by a hash, the same ones at every run.
+
+    The hash is of ``key`` and the whole row, so that rows of one key, or without one, are chosen apart; rows that are
+    alike in every column count once.  No column may be a map.
+    """
+    if rows.count() <= most:
         return rows
-    return rows.where(F.pmod(F.xxhash64(*key), F.lit(_SHARES)) < int(_SHARES * about / total))
+    hashed = rows.withColumn("_hash", F.xxhash64(*key, *[c for c in rows.columns if c not in key]))
+    different = hashed.agg(F.approx_count_distinct("_hash", 0.02)).first()[0]
+    # Somewhat more than are wanted, so that few rows are compared and sorted.
+    share = F.pmod("_hash", F.lit(_SHARES))
+    some = hashed.where(share < int(1.5 * _SHARES * most / different) + 1).dropDuplicates(["_hash"])
+    return some.orderBy(F.pmod("_hash", F.lit(_SHARES)), "_hash").limit(most).drop("_hash")
 
 
 class SparseRows:

@@ -233,6 +233,7 @@ def fit(
         seen.alias("seen"),
     )
     own = rows.join(F.broadcast(known), F.col("id") == F.col("_id"))  # MAX_LABELLED ids
+    own = bounded_sample(own, MAX_LABELLED, "id")  # an id may repeat
     pool = bounded_sample(rows.where("seen"), MAX_UNLABELLED, "id")
     rows = _features(own.select("label", *text)).collect()
     free = _features(pool.select(F.lit(-1).alias("label"), *text)).collect()

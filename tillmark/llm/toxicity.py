@@ -127,6 +127,7 @@ def fit(
     documents = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     ids = bounded_sample(confirmed.select(F.col(id_column).alias("_id")).distinct(), max_toxic, "_id")
     toxic = documents.join(F.broadcast(ids), F.col("id") == F.col("_id"), "left_semi")  # max_toxic ids
+    toxic = bounded_sample(toxic, max_toxic, "id")  # an id may repeat
     plain = bounded_sample(documents, max_unlabelled, "id")
     sample = toxic.select(F.lit(1).alias("toxic"), "text").unionByName(plain.select(F.lit(0).alias("toxic"), "text"))
     texts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
