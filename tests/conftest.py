@@ -7,8 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,11 +19,13 @@ def spark():
 def duck():
     import harness
 
-    return harness.connect(SMALL)
+    return harness.connect(harness.SMALL)
 
 
 @pytest.fixture(scope="session")
 def workspace(spark):
+    from harness import SMALL
+
     from tillmark.plans.workspace import Workspace
 
     return Workspace.of_test_tables(spark, SMALL)

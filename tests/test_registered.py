@@ -4,7 +4,7 @@ import re
 
 import harness
 import pytest
-from conftest import SMALL
+from harness import SMALL
 
 import __spark_entry__ as contract
 from tillmark.checks import reference_sql
