@@ -1,9 +1,12 @@
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import fixtures
-from tillmark.llm import packing
+from tillmark.llm import packing, words
 
 
 def brute(sizes, capacities):
@@ -58,6 +61,20 @@ def test_every_token_is_placed_once(spark, monkeypatch, shard):
         assert {r.bin_capacity for r in own} == {min(c for c in packing.CAPACITIES if c >= ends[-1])}
 
 
+TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]"
+
+
+@pytest.mark.parametrize("block", [1 << 22, 8])
+def test_token_counts_equal_the_pattern(monkeypatch, block):
+    monkeypatch.setattr(words, "BLOCK_BYTES", block)
+    rng = np.random.default_rng(2)
+    texts = [r[1] for r in fixtures.rows()] + ["a", "a", "-", "aé b--c\x7f\x00d", "é", " "]
+    texts += ["".join(rng.choice(list("aZ0é -_\n~\x7f"), rng.integers(0, 12))) for _ in range(300)]
+    found = [len(re.findall(TOKEN, t or "")) for t in texts]
+    assert packing.token_counts(pa.array(texts)).tolist() == [n + 1 if n else 0 for n in found]
+    assert packing.token_counts(pa.array([], pa.string())).tolist() == []
+
+
 def test_several_lengths_are_in_use_and_nearly_full():
     sizes = np.random.default_rng(1).integers(20, 3000, 3000)
     bins, _, held = packing.pack(sizes, packing.CAPACITIES)

@@ -114,14 +114,22 @@ def _words(data: np.ndarray, offsets: np.ndarray, alphabet: np.ndarray):
     return hashes, opens, closes, np.searchsorted(opens, offsets)
 
 
-def blocks(column: pa.Array, alphabet: np.ndarray) -> Iterator[Block]:
-    """The words of a text column, some megabytes of whole texts at a time."""
+def buffers(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and offsets of a text column, some megabytes of whole texts at a time."""
     data, places = text_buffer(column)
     first, n = 0, len(places) - 1
     while first < n:
         last = max(int(np.searchsorted(places, places[first] + BLOCK_BYTES, "right")) - 1, first + 1)
         last = min(last, n)
-        part, offsets = data[places[first] : places[last]], places[first : last + 1] - places[first]
+        yield data[places[first] : places[last]], places[first : last + 1] - places[first]
+        first = last
+
+
+def blocks(column: pa.Array, alphabet: np.ndarray) -> Iterator[Block]:
+    """The words of a text column, some megabytes of whole texts at a time."""
+    first = 0
+    for part, offsets in buffers(column):
+        last = first + len(offsets) - 1
         yield Block(first, last, part, offsets, *_words(part, offsets, alphabet))
         first = last
 
