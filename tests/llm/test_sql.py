@@ -7,6 +7,7 @@ import pytest
 
 import fixtures
 import harness
+import test_prefix_trie
 from tillmark.llm import oracle, queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -63,6 +64,8 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(rows, fixtures.SCHEMA).coalesce(1).write.parquet(f"{path}/documents.parquet")
     pages = [(i % 17, u, "x") for i, u in enumerate(URLS * 2)]
     spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{path}/pages.parquet")
+    turns = spark.createDataFrame(test_prefix_trie.conversations(), test_prefix_trie.SCHEMA)
+    turns.coalesce(1).write.parquet(f"{path}/conversations.parquet")
     items = [(1, "under the mit license"), (2, None), (3, ""), (4, fixtures.rows()[5][1]), (5, "one two")]
     spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{path}/benchmark.parquet")
     return path
@@ -71,6 +74,6 @@ def folder(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", sorted(oracle.statements()))
 def test_query_equals_sql_on_awkward_rows(spark, folder, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"create view {table} as select * from read_parquet('{folder}/{table}.parquet/*.parquet')")
     assert harness.difference(queries.queries()[name](spark, folder), con, oracle.statements()[name]) is None

@@ -149,6 +149,106 @@ from doc left join folded using (r)
 """
 
 
+# The checksum of a text's UTF-8 bytes, from the table of its 256 remainders.
+CRC = """crc_table as (
+    select list(v order by b) as remainders from (
+        select b, list_reduce([b] || range(8), lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) as v
+        from (select unnest(range(256)) as b)
+    )
+)"""
+
+
+def _crc(text: str) -> str:
+    """Of a text column, where ``crc_table`` is joined."""
+    digits = f"hex(encode({text}))"
+    byte = f"cast(concat('0x', substr({digits}, 2 * i + 1, 2)) as bigint)"
+    bytes_ = f"list_transform(range(octet_length(encode({text}))), lambda i: {byte})"
+    step = "lambda x, y: xor(x >> 8, remainders[(xor(x, y) & 255) + 1])"
+    return f"xor(list_reduce([4294967295] || {bytes_}, {step}), 4294967295)"
+
+
+OP11 = f"""
+with {CRC},
+t as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, x) as k, x, size
+    from (
+        select conv_id, turn, strlen(coalesce(text, '')) as size,
+            md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as x
+        from conversations where conv_id is not null
+    )
+), c as (
+    select conv_id, conv_id - conv_id % 5 as base, {_crc("cast(conv_id as varchar)")} % 9 as h
+    from (select distinct conv_id from t), crc_table
+), opening as (select c.conv_id, t.k as d, x, size from c join t on t.conv_id = base and k <= h),
+rebuilt as (
+    select * from opening
+    union all
+    select t.conv_id, (select count(*) from opening o where o.conv_id = t.conv_id) + k - h as d, x, size
+    from t join c using (conv_id) where k > h
+), path as (select conv_id, list(x order by d) as xs, list(size order by d) as sizes from rebuilt group by conv_id),
+every as (select conv_id, coalesce(xs, []) as xs, coalesce(sizes, []) as sizes from c left join path using (conv_id)),
+member as (
+    select conv_id, cast(d as bigint) as d, len(xs) = d as ends, case when d > 0 then sizes[d] else 0 end as size,
+        md5(array_to_string(xs[1 : d], '')) as node,
+        case when d > 0 then md5(array_to_string(xs[1 : d - 1], '')) end as parent,
+        list_transform(range(d + 1), lambda j: md5(array_to_string(xs[1 : j], ''))) as above
+    from (select *, unnest(range(len(xs) + 1)) as d from every)
+), node as (
+    select node, min(conv_id) as conv_id, any_value(d) as depth, any_value(parent) as parent, count(*) as n_convs,
+        (count(*) - 1) * any_value(size) as saved, any_value(above) as above,
+        sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as ends_sha256
+    from member group by node
+), child as (select parent, count(*) as n from node where parent is not null group by parent),
+leaf as (select node, node not in (select parent from child) as childless from node),
+below as (
+    select a as node, cast(sum(saved) as bigint) as saved_tokens, count(*) filter (childless) as n_leaves
+    from (select node, saved, unnest(above) as a from node) u join leaf using (node) group by a
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(child.n, 0) as n_children, n_leaves,
+    saved_tokens, n.ends_sha256
+from node n join below using (node) left join child on child.parent = n.node left join node p on p.node = n.parent
+"""
+
+OP13 = f"""
+with {CRC},
+doc as (
+    select row_number() over () as r, doc_id, regexp_extract_all({FOLDED.format("coalesce(text, '')")}, '{LETTERS}') as w
+    from documents
+), goal as (select regexp_extract_all({FOLDED.format("coalesce(text, '')")}, '{LETTERS}') as w from benchmark),
+run as (
+    select r, true as own, array_to_string(w[i : i + k - 1], ' ') as g
+    from (select r, w, k, unnest(range(1, len(w) - k + 2)) as i from doc, (select unnest([1, 2, 3]) as k))
+    union all
+    select null, false, array_to_string(w[i : i + k - 1], ' ')
+    from (select w, k, unnest(range(1, len(w) - k + 2)) as i from goal, (select unnest([1, 2, 3]) as k))
+), counted as (
+    select r, g, count(*) filter (own) as s, count(*) filter (not own) as t from run group by r, g
+), feature as (select g, {_crc("g")} % 10000 as b from (select distinct g from counted), crc_table),
+bucket as (
+    select b, cast(sum(s) as double) as s, cast(sum(t) as double) as t from counted join feature using (g) group by b
+), total as (select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from bucket),
+gain as (
+    select b, cast(floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000)))) as bigint) as gain
+    from bucket, total
+), weight as (
+    select r, cast(sum(s) as bigint) as n_features, cast(sum(s * gain) as bigint) as weight
+    from counted join feature using (g) join gain using (b) where r is not null group by r
+), scored as (
+    select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) as bigint) as score
+    from (
+        select *, cast(cast(concat('0x', substr(sha256('42:' || coalesce(cast(doc_id as varchar), '')), 1, 8)) as bigint) as double) as h
+        from doc left join weight using (r)
+    )
+), placed as (
+    select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls first, n_features) as p,
+        count(*) over (partition by n_words >= 20) as n
+    from scored
+)
+select doc_id, n_features, weight, score, case when n_words >= 20 and p <= 5 * n // 100 then p end as rank from placed
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_decontamination": OP1,
@@ -156,4 +256,6 @@ def statements() -> dict[str, str]:
         "op4_license_scan": OP4,
         "op8_secret_scan": OP8,
         "op10_url_filters": OP10,
+        "op11_prefix_trie": OP11,
+        "op13_importance_resampling": OP13,
     }

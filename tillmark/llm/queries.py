@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, fingerprints, html_extract, jaccard, licenses, packing, quality, secrets, toxicity, url_filter
+from tillmark.llm import (
+    decontaminate,
+    fingerprints,
+    html_extract,
+    jaccard,
+    licenses,
+    packing,
+    prefix_trie,
+    quality,
+    resample,
+    secrets,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from tillmark.llm.learning import fold
 from tillmark.llm.shared import table
 
@@ -113,6 +128,34 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(pages).select("page_id", "url_filter.*")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    rows = prefix_trie.turns(table(spark, folder, "conversations"))
+    conversation = F.col("conv_id")
+    opening = F.crc32(conversation.cast("string").cast("binary")) % 9
+    return prefix_trie.trie(prefix_trie.spliced_sequences(rows, conversation - conversation % 5, opening))
+
+
+MAX_TOKENS = 4096
+
+
+def op12_token_counts(
+    spark: SparkSession, folder: str, model: str = public_tokenizers.path("piece_bpe_32k.model")
+) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    counted = documents.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        token_counts.tokens(F.col("text"), token_counts.Pieces.load(model)).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    drawn = resample.resampled(documents, table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -125,4 +168,7 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_toxicity": op9_toxicity,
         "op10_url_filters": op10_url_filters,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_token_counts": op12_token_counts,
+        "op13_importance_resampling": op13_importance_resampling,
     }
