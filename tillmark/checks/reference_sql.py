@@ -610,6 +610,9 @@ FINAL: dict[str, str] = {
     "hot_seller_units": """
         select product_name, cast(sum(total_units_sold) as bigint) as total_units_sold
         from sales_mart where monthly_hot_selling_product_rank <= 10 group by product_name""",
+    "category_leaders": """
+        select year, month, category_name, product_id, product_name, cast(total_revenue as double) as total_revenue,
+               monthly_category_revenue_rank from sales_mart where monthly_category_revenue_rank <= 3""",
     "scorecards": """
         select cast(sum(total_revenue) as double) as total_revenue, cast(sum(total_profit) as double) as total_profit,
                cast(sum(total_profit) as double) / nullif(cast(sum(total_revenue) as double), 0) as profit_margin_pct

@@ -13,7 +13,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, Tim
 
 from tillmark.operators.baskets import basket_items, product_pairs
 from tillmark.operators.durable import checkpointed, shared_folder
-from tillmark.plans import geography, quality, recommend, reports, segments
+from tillmark.plans import geography, marts, quality, recommend, reports, segments
 from tillmark.plans.workspace import REFRESH_ORDER, Workspace
 from tillmark.session import tune
 from tillmark.sources import readers, sinks, testtables
@@ -47,6 +47,19 @@ def _report(report: Callable[..., DataFrame], table: str, *args, **kwargs) -> Qu
     return lambda spark, folder: report(_table(table)(spark, folder), *args, **kwargs)
 
 
+def _first(report: Callable[..., DataFrame], rows: str, top: int = 10) -> Query:
+    """A report that shows no rank beyond ``top``: only so many are found."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return report(getattr(Workspace.of_test_tables(tune(spark), folder), rows)(top), top)
+
+    return run
+
+
+def _category_leaders(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.category_leaders(Workspace.of_test_tables(tune(spark), folder).sales_totals, 3)
+
+
 def _geo(build: Callable[..., DataFrame], *inputs: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(*[getattr(testtables, name)(tune(spark), folder) for name in inputs])
@@ -241,16 +254,17 @@ _QUERIES: dict[str, Query] = {
     "malformed_country_codes": _report(quality.malformed_country_codes, "dim_countries"),
     "misspelt_country_codes": _misspelt_codes,
     # reports
-    "top_customers": _report(reports.top_customers, "customer_lifetime_value"),
+    "top_customers": _first(reports.top_customers, "top_lifetime_value"),
     "customers_by_rank": _report(reports.customers_by_rank, "customer_lifetime_value"),
-    "top_salespeople": _report(reports.top_salespeople, "mart_employee_performance"),
+    "top_salespeople": _first(reports.top_salespeople, "top_employees"),
     "employee_table": _report(reports.employee_table, "mart_employee_performance"),
     "employee_bars": _report(reports.employee_bars, "mart_employee_performance"),
     "employee_countries": _report(reports.employee_countries, "mart_employee_performance"),
     "monthly_category_revenue": _report(reports.monthly_category_revenue, "sales_totals"),
     "category_trend": _report(reports.category_trend, "sales_totals"),
-    "hot_sellers": _report(reports.hot_sellers, "mart_sales_summary"),
-    "hot_seller_units": _report(reports.hot_seller_units, "mart_sales_summary"),
+    "hot_sellers": _first(reports.hot_sellers, "hot_selling"),
+    "hot_seller_units": _first(reports.hot_seller_units, "hot_selling"),
+    "category_leaders": _category_leaders,
     "scorecards": _report(reports.scorecards, "sales_totals"),
     "controlled_revenue": _controlled_revenue,
     "monthly_revenue": _report(reports.monthly_revenue, "sales_totals"),

@@ -10,6 +10,7 @@ from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, per_unit, percent
 from tillmark.operators.baskets import bands_to, basket_items, depth_band, product_pairs
 from tillmark.operators.ranking import Ranks, asc, desc, with_ranks
+from tillmark.operators.topk import first_ranks, first_rows
 from tillmark.plans.facts import sale_count
 
 # Weights of the recommendation score, smallest support and list lengths.
@@ -21,8 +22,8 @@ TOP_ANCHORS = 10
 TOP_RECOMMENDATIONS = 10
 
 
-def customer_lifetime_value(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """Value and global spend rank per customer.
+def customer_lifetime_value(sales: DataFrame, customers: DataFrame, first: int | None = None) -> DataFrame:
+    """Value and global spend rank per customer; with ``first``, of so many customers who spent most.
 
     ``estimated_clv`` is spend per order times orders, that is: the spend.
     """
@@ -37,7 +38,7 @@ def customer_lifetime_value(sales: DataFrame, customers: DataFrame) -> DataFrame
     by_spend = Ranks(
         [desc("total_spent")], ["customer_id"], rank="customer_spend_rank", ntiles={"value_quintile": 5}
     )
-    ranked = with_ranks(spent, by_spend)
+    ranked = with_ranks(spent, by_spend) if first is None else first_rows(spent, by_spend, first)
     tenure = F.datediff("last_purchase_date", "first_purchase_date")
     named = ranked.join(customers.select("customer_id", "full_name", "first_name", "last_name"), "customer_id", "left")
     return named.select(
@@ -63,7 +64,8 @@ def customer_lifetime_value(sales: DataFrame, customers: DataFrame) -> DataFrame
 def rfm_scores(df: DataFrame, recency: str, frequency: str, monetary: str) -> DataFrame:
     """Quintile scores 1..5 over the whole table; 5 is best (few days since the last purchase, many, much)."""
     orders = (("_old", recency), ("frequency_score", frequency), ("monetary_score", monetary))
-    df = with_ranks(df, *[Ranks([asc(column)], ["customer_id"], ntiles={score: 5}) for score, column in orders])
+    wanted = [Ranks([asc(column)], ["customer_id"], ntiles={score: 5}) for score, column in orders]
+    df = with_ranks(df, *wanted)
     return df.withColumn("recency_score", 6 - F.col("_old")).drop("_old")
 
 
@@ -143,6 +145,14 @@ def mart_employee_performance(performance: DataFrame) -> DataFrame:
     )
 
 
+def top_employees(performance: DataFrame, first: int) -> DataFrame:
+    """So many employees with the highest revenue, with rank and tier in the company."""
+    by_revenue = Ranks([desc("total_sales_revenue")], ["employee_id"], rank="company_rank")
+    return first_rows(performance, by_revenue, first).withColumn(
+        "performance_tier", labels.performance_tier(F.col("total_sales_revenue"))
+    )
+
+
 SALES_GRAIN = (
     "year", "month", "day", "day_of_week", "customer_country", "customer_country_code", "salesperson_country",
     "product_id",
@@ -208,23 +218,35 @@ def sales_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+HOT_SELLING = Ranks(
+    [desc("total_units_sold"), desc("total_revenue")],
+    SALES_GRAIN,
+    partition_by=["year", "month"],
+    rank="monthly_hot_selling_product_rank",
+)
+CATEGORY_REVENUE = Ranks(
+    [desc("total_revenue")],
+    SALES_GRAIN,
+    partition_by=["year", "month", "category_name"],
+    rank="monthly_category_revenue_rank",
+)
+
+
 def mart_sales_summary(totals: DataFrame) -> DataFrame:
     """Sales totals with the two monthly ranks.  The ranks compare the daily rows of a month, not monthly totals."""
-    return with_ranks(
-        totals,
-        Ranks(
-            [desc("total_units_sold"), desc("total_revenue")],
-            SALES_GRAIN,
-            partition_by=["year", "month"],
-            rank="monthly_hot_selling_product_rank",
-        ),
-        Ranks(
-            [desc("total_revenue")],
-            SALES_GRAIN,
-            partition_by=["year", "month", "category_name"],
-            rank="monthly_category_revenue_rank",
-        ),
-    )
+    return with_ranks(totals, HOT_SELLING, CATEGORY_REVENUE)
+
+
+def hot_selling(totals: DataFrame, top: int) -> DataFrame:
+    """The rows of the mart with a hot-seller rank within ``top``, with what the reports on them show."""
+    shown = totals.select("year", "month", "product_id", "product_name", "total_units_sold", "total_revenue")
+    return first_ranks(shown, HOT_SELLING, top)
+
+
+def category_leaders(totals: DataFrame, top: int) -> DataFrame:
+    """The daily rows with a revenue rank within ``top`` in their month and category."""
+    shown = totals.select("year", "month", "category_name", "product_id", "product_name", "total_revenue")
+    return first_ranks(shown, CATEGORY_REVENUE, top)
 
 
 def customer_products(sales: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from functools import cached_property, partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillmark.operators.durable import checkpointed, scratch
 from tillmark.plans import facts, marts, recommend, segments, staging
@@ -185,6 +186,23 @@ class Workspace:
             return self._stored["mart_sales_summary"]
         return marts.sales_totals(self.table("fct_sales_summary"), self.table("st_products"))
 
+    def hot_selling(self, top: int) -> DataFrame:
+        """Rows with a hot-seller rank within ``top``: of the stored mart, else found without ranking the rest."""
+        if "mart_sales_summary" in self._stored:
+            return self._stored["mart_sales_summary"].where(F.col("monthly_hot_selling_product_rank") <= top)
+        return marts.hot_selling(self.sales_totals, top)
+
+    def top_lifetime_value(self, top: int) -> DataFrame:
+        """So many customers who spent most; read from the stored mart where there is one."""
+        if "customer_lifetime_value" in self._stored:
+            return self._stored["customer_lifetime_value"]
+        return marts.customer_lifetime_value(self.table("st_sales"), self.table("st_customers"), top)
+
+    def top_employees(self, top: int) -> DataFrame:
+        if "mart_employee_performance" in self._stored:
+            return self._stored["mart_employee_performance"]
+        return marts.top_employees(self.table("fct_employee_performance"), top)
+
     @cached_property
     def mart_sales_summary(self) -> DataFrame:
         return marts.mart_sales_summary(self.sales_totals)
