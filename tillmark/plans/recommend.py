@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tillmark.operators.baskets import bands_to, basket_items, depth_band, product_pairs
 from tillmark.operators.durable import checkpointed, iteration_checkpoints
+from tillmark.operators.inner_products import largest_products
 from tillmark.operators.ranking import Ranks, asc, with_ranks
 
 log = logging.getLogger(__name__)
@@ -134,14 +135,9 @@ def als_recommendations(
         # Cuts the lineage of the factors, so that a lost executor does not cost all iterations.
         checkpointInterval=5,
     ).fit(coded)
-    flat = (
-        model.recommendForAllUsers(settings.top_n)
-        .select("_customer_id", F.explode("recommendations").alias("hit"))
-        .select(
-            "_customer_id",
-            F.col("hit._product_id").alias("_product_id"),
-            F.col("hit.rating").cast("double").alias("score"),
-        )
+    best = largest_products(model.userFactors, model.itemFactors, settings.top_n)
+    flat = best.select(
+        F.col("user").alias("_customer_id"), F.col("item").alias("_product_id"), F.col("score").cast("double").alias("score")
     )
     for column in ID_COLUMNS:
         if column in codes:
@@ -151,7 +147,7 @@ def als_recommendations(
     fresh = flat.select("customer_id", "product_id", "score").join(
         ratings.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti"
     )
-    # Scoring every customer against every product is the dearest step: it runs once, whatever reads the result.
+    # Scoring is the dearest step: it runs once, whatever reads the result.
     return _labelled(checkpointed(_ranked(fresh, settings.top_n)), products, customers, "ALS")
 
 
