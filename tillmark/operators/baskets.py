@@ -11,12 +11,19 @@ several long baskets are paired among those.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.operators.durable import checkpointed
+from tillmark.operators.ranking import Ranks, desc, with_ranks
 
 TILE = 2000
+# Entries of a long basket that its products meet before it is known who has to look further; any number gives the
+# same result.
+HEAD = 64
+SALTS = 32
 
 
 def basket_items(lines: DataFrame, basket: str, product: str, quantity: str) -> DataFrame:
@@ -39,9 +46,7 @@ def product_pairs(items: DataFrame, min_baskets: int = 1, tile: int = TILE) -> D
 
     The items are checkpointed: both sides of the join read them, and whether there is a long basket is asked first.
     """
-    # Counted and joined, not windowed: a placeholder basket with a third of all lines is no window of one task.
-    sizes = items.groupBy("basket").agg(F.count(F.lit(1)).alias("_size"))
-    sized = checkpointed(items.join(sizes, "basket"))
+    sized = _sized(items)
     long = sized.where(F.col("_size") > tile)
     if long.isEmpty():
         pairs = _summed(_meet(sized, ["basket"]))
@@ -71,6 +76,85 @@ def product_pairs(items: DataFrame, min_baskets: int = 1, tile: int = TILE) -> D
     )
 
 
+def _sized(items: DataFrame) -> DataFrame:
+    """Items with the size of their basket; stored."""
+    # Counted and joined, not windowed: a placeholder basket with a third of all lines is no window of one task.
+    sizes = items.groupBy("basket").agg(F.count(F.lit(1)).alias("_size"))
+    return checkpointed(items.join(sizes, "basket"))
+
+
+def partner_lists(items: DataFrame, depths: DataFrame, tile: int = TILE, head: int = HEAD) -> DataFrame:
+    """For every anchor of ``depths`` (anchor, depth) its first ``depth`` partners: anchor, related, line_pairs, place.
+
+    The order is by line pairs, the smaller product first among equals; one shared basket is enough.  Pairs of baskets
+    of at most ``tile`` products are all formed.  A longer one is a posting list of its products, most lines first:
+    an anchor meets only the heads of its lists.  What stands behind all heads has at most the line pairs of the next
+    entries together, so an anchor is done once its list is full of better partners; the others look further.
+    """
+    sized = _sized(items)
+    long = sized.where(F.col("_size") > tile)
+    ordinary = _summed(_meet(sized.where(F.col("_size") <= tile), ["basket"])).select("low", "high", "line_pairs")
+    ways = F.array(F.struct(F.col("low").alias("a"), F.col("high").alias("b")), F.struct(F.col("high").alias("a"), F.col("low").alias("b")))
+    known = ordinary.select(F.explode(ways).alias("w"), "line_pairs").select(
+        F.col("w.a").alias("anchor"), F.col("w.b").alias("related"), "line_pairs"
+    )
+    if long.isEmpty():
+        return _listed(known, depths).where(F.col("place") <= F.col("depth")).drop("depth")
+    known = checkpointed(known)
+    places = Ranks([desc("lines")], ["product"], ["basket"], row_number="at")
+    postings = checkpointed(with_ranks(long.select("basket", "product", "lines"), places))
+    inside = postings.select(F.col("product").alias("anchor")).distinct()
+    parts = [_listed(known, depths.join(inside, "anchor", "left_anti")).where(F.col("place") <= F.col("depth"))]
+    searching = checkpointed(depths.join(inside, "anchor"))
+    while not searching.isEmpty():
+        found = checkpointed(_searched(searching, known, postings, head))
+        parts.append(found.where(F.col("done") & (F.col("place") <= F.col("depth"))).select("anchor", "related", "line_pairs", "place", "depth"))
+        settled = found.where("done").select("anchor").distinct()
+        searching = checkpointed(searching.join(settled, "anchor", "left_anti"))
+        head *= 8
+    return reduce(DataFrame.unionByName, parts).drop("depth")
+
+
+def _listed(pairs: DataFrame, depths: DataFrame) -> DataFrame:
+    """Partners numbered; an anchor has no more of them than there are products."""
+    order = Window.partitionBy("anchor").orderBy(F.desc("line_pairs"), F.asc("related"))
+    return pairs.join(depths, "anchor").withColumn("place", F.row_number().over(order))
+
+
+def _searched(searching: DataFrame, known: DataFrame, postings: DataFrame, head: int) -> DataFrame:
+    """The anchors' partners among the first ``head`` entries of their posting lists and the pairs of ordinary baskets,
+    and whether those lists are done: nothing behind the heads can be among the first ``depth``."""
+    salt = lambda column: F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+    own = searching.join(postings.select(F.col("product").alias("anchor"), "basket", F.col("lines").alias("own_lines")), "anchor")
+    # All products of a long basket meet its head: salted, as such a basket may hold a third of all lines.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    heads = postings.where(F.col("at") <= head).select("basket", F.col("product").alias("related"), salts.alias("salt"))
+    met = own.select("anchor", "basket", salt("anchor").alias("salt")).join(heads, ["basket", "salt"])
+    mine = known.join(searching.select("anchor"), "anchor")
+    pairs = met.where(F.col("anchor") != F.col("related")).select("anchor", "related").unionByName(mine.select("anchor", "related"))
+    pairs = pairs.distinct()
+    theirs = postings.select("basket", F.col("product").alias("related"), "lines")
+    shared = pairs.join(own.select("anchor", "basket", "own_lines"), "anchor").join(theirs, ["basket", "related"])
+    shared = shared.select("anchor", "related", (F.col("own_lines") * F.col("lines")).alias("line_pairs"))
+    summed = shared.unionByName(mine).groupBy("anchor", "related").agg(F.sum("line_pairs").alias("line_pairs"))
+    # The entries that follow the heads: their line pairs together are the most that an unseen partner has, and the
+    # largest of their ids is the least that an unseen partner of so many has.
+    following = postings.where(F.col("at") == head + 1).select("basket", F.col("product").alias("_next"), "lines")
+    beyond = own.join(following, "basket").groupBy("anchor").agg(
+        F.sum(F.col("own_lines") * F.col("lines")).alias("_most"), F.max("_next").alias("_least")
+    )
+    listed = _listed(summed, searching)
+    better = (F.col("line_pairs") > F.col("_most")) | ((F.col("line_pairs") == F.col("_most")) & (F.col("related") < F.col("_least")))
+    full = listed.where(F.col("place") == F.col("depth")).join(beyond, "anchor").where(better).select("anchor")
+    ended = searching.select("anchor").join(beyond.select("anchor"), "anchor", "left_anti")
+    done = full.unionByName(ended).distinct().withColumn("done", F.lit(True))
+    whole = listed.join(done, "anchor", "left").withColumn("done", F.coalesce("done", F.lit(False)))
+    # An anchor that is alone in all its baskets has no row, and is done.
+    empty = searching.select("anchor").join(beyond.select("anchor"), "anchor", "left_anti").join(summed.select("anchor").distinct(), "anchor", "left_anti")
+    none = empty.select("anchor", *[F.lit(None).cast(whole.schema[c].dataType).alias(c) for c in whole.columns[1:-1]], F.lit(True).alias("done"))
+    return whole.unionByName(none)
+
+
 FIRST_BAND = 16
 
 

@@ -14,7 +14,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tillmark.operators.baskets import bands_to, basket_items, depth_band, product_pairs
+from tillmark.operators.baskets import bands_to, basket_items, depth_band, partner_lists
 from tillmark.operators.durable import checkpointed, iteration_checkpoints
 from tillmark.operators.inner_products import largest_products
 from tillmark.operators.ranking import Ranks, asc, with_ranks
@@ -172,19 +172,23 @@ def heuristic_recommendations(
     Purchases, partner lists and first candidates are read several times, so each is checkpointed.
     """
     n = settings.top_n
-    if pairs is None:
-        pairs = product_pairs(basket_items(sales, "TransactionNumber", "ProductID", "Quantity"))
     owned = checkpointed(purchases(sales))
     has = owned.withColumnRenamed("product_id", "_has")
-
-    per_anchor = Window.partitionBy("anchor")
-    nearest = per_anchor.orderBy(F.desc("line_pairs"), F.asc("related"))
+    # Of one anchor no more than the first n + owned partners can count: that many of them are excluded at most.
+    lists = owned.groupBy("customer_id").agg((F.count(F.lit(1)) + n).alias("_deepest"))
+    if pairs is None:
+        depths = owned.join(lists, "customer_id").groupBy(F.col("product_id").alias("anchor")).agg(F.max("_deepest").alias("depth"))
+        items = basket_items(sales, "TransactionNumber", "ProductID", "Quantity")
+        listed = partner_lists(items, depths)
+    else:
+        nearest = Window.partitionBy("anchor").orderBy(F.desc("line_pairs"), F.asc("related"))
+        listed = pairs.withColumn("place", F.row_number().over(nearest))
     partners = checkpointed(
-        pairs.select(
+        listed.select(
             "anchor",
             F.col("related").alias("product_id"),
             F.col("line_pairs").cast("double").alias("score"),
-            F.row_number().over(nearest).alias("_depth"),
+            F.col("place").alias("_depth"),
         ).withColumn("_band", depth_band(F.col("_depth")))
     )
 
@@ -211,8 +215,6 @@ def heuristic_recommendations(
     open_anchors = (
         anchors.join(cut, "anchor").join(floor, "customer_id", "left").where(above_floor("_cut_score", "_cut_product"))
     )
-    # Of one anchor no more than the first n + owned partners can count: that many of them are excluded at most.
-    lists = owned.groupBy("customer_id").agg((F.count(F.lit(1)) + n).alias("_deepest"))
     reaching = open_anchors.join(lists, "customer_id").withColumn("_band", F.explode(bands_to(F.col("_deepest"))))
     within = (F.col("_depth") > PROBE_DEPTH) & (F.col("_depth") <= F.col("_deepest"))
     deeper = not_owned(
