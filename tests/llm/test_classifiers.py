@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures
-from tillmark.llm import quality, queries, toxicity
+from tillmark.llm import quality, queries, toxicity, words
 from tillmark.llm.learning import SparseRows, fold, sigmoid
 
 FOLDER = "/root/testdata/sf0.1"
@@ -46,6 +46,43 @@ def test_unlabelled_risk_learns_from_hidden_positives():
     assert weights[:5].min() > np.abs(weights[5:]).max()
 
 
+def test_words_are_counted_over_all_rows(spark):
+    """A telling word that the sample for the training steps does not hold is found, and has a weight."""
+    rows = [(i, f"plain text number n{i % 50} of many", 0) for i in range(3000)]
+    rows += [(5000 + i, f"plain curse{i % 40} text n{i % 50}", 1) for i in range(400)]
+    documents = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    confirmed = documents.where("doc_id >= 5000").select("doc_id")
+    model = toxicity.fit(documents, confirmed, 0.1, max_toxic=20, max_unlabelled=500)
+    told = np.array([words.hash_text(f"curse{i}", words.LETTERS)[0] for i in range(40)])
+    assert set(told.tolist()) <= set(model.vocabulary.hashes.tolist())
+    unseen = spark.createDataFrame([(i, f"a new text with curse{i}") for i in range(40)] + [(99, "a new text with n3")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.scored(unseen, model).collect()}
+    assert min(scores[i] for i in range(40)) > 0.3 > 2 * scores[99]
+
+
+def test_tallies_equal_plain_counts(spark):
+    documents = fixtures.documents(spark)
+    want = {}
+    for text in [r.text for r in documents.collect()]:
+        for word in set(fixtures.words(text, fixtures.LETTERS)):
+            want[word] = want.get(word, 0) + 1
+    got = {r.word: r.texts for r in toxicity._tallies(documents).collect()}
+    hashes = {w: int(words.hash_text(w, words.LETTERS).view(np.int64)[0]) for w in want}
+    assert got == {hashes[w]: n for w, n in want.items()}
+
+
+def test_scores_follow_from_the_fitted_weights(spark):
+    """Every score again, word by word."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = toxicity.fit_labelled(documents, labels, fold("doc_id"))
+    weights = dict(zip(model.vocabulary.hashes.tolist(), model.weights))
+    for row in toxicity.scored(documents, model).collect():
+        own = {int(words.hash_text(w, words.LETTERS)[0]) for w in set(fixtures.words(row.text, fixtures.LETTERS))}
+        margin = model.bias + sum(weights.get(h, 0) for h in own)
+        assert row.score == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
+
+
 def test_cotraining_helps_the_weaker_start():
     rng = np.random.default_rng(1)
     label = (rng.random(2000) < 0.6).astype(float)

@@ -13,6 +13,7 @@ weights are taken from there.  What reaches the driver is one gain for each buck
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 from zlib import crc32
@@ -104,18 +105,12 @@ def tallies(features: DataFrame, count: int = BUCKETS) -> DataFrame:
 
 def gains(source: DataFrame, target: DataFrame, count: int = BUCKETS) -> np.ndarray:
     """Of every bucket, from the two ``tallies``: thousandths of the natural logarithm, rounded down."""
-    every = source.sparkSession.range(count).withColumnRenamed("id", "bucket")
-    both = every.join(source.withColumnRenamed("n", "s"), "bucket", "left").join(
-        target.withColumnRenamed("n", "t"), "bucket", "left"
-    )
-    both = both.select("bucket", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in "st"])
-    totals = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    share = ((F.col("t") + 1) * (F.col("all_s") + count)) / ((F.col("s") + 1) * (F.col("all_t") + count))
-    rows = both.join(F.broadcast(totals)).select("bucket", F.floor(1000 * F.log(share)).alias("gain"))  # totals: one row
-    found = np.zeros(count, np.int64)
-    for bucket, gain in rows.collect():  # one row for each bucket
-        found[bucket] = gain
-    return found
+    both = source.withColumnRenamed("n", "s").join(target.withColumnRenamed("n", "t"), "bucket", "full")
+    s, t = np.zeros(count), np.zeros(count)
+    for row in both.select("bucket", *[F.coalesce(c, F.lit(0)).alias(c) for c in "st"]).collect():  # at most one a bucket
+        s[row.bucket], t[row.bucket] = row.s, row.t
+    share = ((t + 1) * (s.sum() + count)) / ((s + 1) * (t.sum() + count))
+    return np.array([math.floor(1000 * math.log(x)) for x in share], np.int64)
 
 
 def _weighed(batches: Iterator[pa.RecordBatch], by_bucket: np.ndarray) -> Iterator[pa.RecordBatch]:

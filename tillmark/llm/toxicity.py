@@ -5,8 +5,10 @@ to minimise ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``: the risk on un
 toxic text in it.  Where the corrected part turns negative the model has begun to learn the examples by heart, and
 the step is taken against it.
 
-Training sees a bounded sample (``MAX_TOXIC``, ``MAX_UNLABELLED`` rows, chosen by a hash of the id); which words become
-features is counted in Spark over that sample.  Scoring passes over all rows once, without a shuffle.
+Which words become features is counted in Spark over all confirmed and all unlabelled texts, so a word that is rare in
+any sample is found too.  The steps of the training see a bounded sample (``MAX_TOXIC``, ``MAX_UNLABELLED`` rows, chosen
+by a hash of the id); a feature that no sampled example holds keeps the weight that its counts give it.  Scoring passes
+over all rows once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tillmark.llm import words
 from tillmark.llm.learning import Adam, SparseRows, bounded_sample, sigmoid
+from tillmark.llm.shared import stored
 
 MAX_TOXIC = 4000
 MAX_UNLABELLED = 12000
-FEATURES = 2000
+FEATURES = 1 << 16  # the size of a model: the words that tell most
 LEAST_TOXIC = 4  # texts that a word must be in to count
 LEAST_GAIN = 6.0  # standard errors: thousands of words are looked at, so a few by chance are far out
 ROUNDS = 400
@@ -57,9 +60,17 @@ def present(block: words.Block, vocabulary: words.Vocabulary) -> tuple[np.ndarra
     return np.divmod(pairs, max(len(vocabulary), 1))
 
 
-def train(toxic: SparseRows, unlabelled: SparseRows, features: int, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk under the logistic loss."""
-    weights = np.zeros(features + 1)
+def train(
+    toxic: SparseRows, unlabelled: SparseRows, features: int, prior: float, start: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the non-negative risk under the logistic loss.
+
+    ``start`` are weights for features that no toxic row holds: no step can tell them, so they stay as they are.
+    """
+    held = np.zeros(features + 1, bool)
+    held[toxic.columns] = held[-1] = True
+    weights = np.zeros(features + 1) if start is None else np.append(np.where(held[:-1], 0, start), 0.0)
+    free = held if start is not None else np.ones(features + 1, bool)
     weights[-1] = np.log(prior / (1 - prior))
     step = Adam(features + 1, RATE)
     for _ in range(ROUNDS):
@@ -75,25 +86,51 @@ def train(toxic: SparseRows, unlabelled: SparseRows, features: int, prior: float
             by_p, by_u = prior * p / toxic.count, -u / unlabelled.count
         gradient = np.append(toxic.gradient(by_p, features) + unlabelled.gradient(by_u, features), by_p.sum() + by_u.sum())
         gradient[:-1] += DECAY * weights[:-1]
-        weights = weights - step.change(gradient)
+        weights = weights - np.where(free, step.change(gradient), 0)
     return weights[:-1], float(weights[-1])
 
 
-def _hashes(sample: DataFrame) -> DataFrame:
-    """word, toxic, texts: in how many texts of a batch a word is."""
+FILTER_BITS = 22
+
+
+def _tallies(texts: DataFrame, maybe: np.ndarray | None = None) -> DataFrame:
+    """word, texts: in how many texts a word is.  ``maybe`` tells by the first bits of a hash what can be left out."""
 
     def count(batches):
         for batch in batches:
-            toxic = np.asarray(batch.column(0))
-            for block in words.blocks(batch.column(1), words.LETTERS):
-                found, bounds = words.distinct_sets(block, 1)
-                own = np.repeat(toxic[block.first : block.last], np.diff(bounds))
-                for label in (0, 1):
-                    word, texts = np.unique(found[own == label], return_counts=True)
-                    arrays = [pa.array(word.view(np.int64)), pa.array(np.full(len(word), label, np.int32)), pa.array(texts)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["word", "toxic", "texts"])
-
-    return sample.mapInArrow(count, "word long, toxic int, texts long")
+            for block in words.blocks(batch.column(0), words.LETTERS):
+                rows, hashes = block.rows(), block.hashes
+                if maybe is not None:
+                    wanted = maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+                    rows, hashes = rows[wanted], hashes[wanted]
+                order = np.lexsort((rows, hashes))
+                rows, hashes = rows[order], hashes[order]
+                once = np.ones(len(rows), bool)
+                once[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
+                word, found = np.unique(hashes[once], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(found)], ["word", "texts"])
+
+    counted = texts.select("text").mapInArrow(count, "word long, texts long")
+    return counted.groupBy("word").agg(F.sum("texts").alias("texts"))
+
+
+def telling_words(toxic: DataFrame, documents: DataFrame, n_toxic: int, n_documents: int) -> DataFrame:
+    """word, gain and ratio (log of both shares) of the words that are clearly more frequent in toxic texts.
+
+    Counted over all texts.  Only words of enough toxic texts can be chosen; a bit for each first part of their hashes,
+    as many bits at any size, keeps nearly all others out of the shuffle.
+    """
+    own = stored(_tallies(toxic).where(F.col("texts") >= LEAST_TOXIC).withColumnRenamed("texts", "p"))
+    first = F.shiftrightunsigned("word", 64 - FILTER_BITS)
+    maybe = np.zeros(1 << FILTER_BITS, bool)
+    maybe[[r[0] for r in own.select(first.alias("b")).distinct().collect()]] = True
+    every = _tallies(documents, maybe).withColumnRenamed("texts", "u")
+    share_p = F.col("p") / n_toxic
+    share_u = (F.coalesce("u", F.lit(0)) + 1) / n_documents
+    # How far the share among toxic texts is above that among all, in standard errors.
+    spread = F.sqrt(share_u * (1 - F.least(share_u, F.lit(0.999))) / n_toxic)
+    told = own.join(every, "word", "left").withColumn("gain", (share_p - share_u) / spread)
+    return told.where(F.col("gain") >= LEAST_GAIN).select("word", "gain", F.log(share_p / share_u).alias("ratio"))
 
 
 def _rows(sample: DataFrame, vocabulary: words.Vocabulary) -> DataFrame:
@@ -125,28 +162,22 @@ def fit(
     """
     prior = min(max(prior, LEAST_PRIOR), MOST_PRIOR)
     documents = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    ids = bounded_sample(confirmed.select(F.col(id_column).alias("_id")).distinct(), max_toxic, "_id")
-    toxic = documents.join(F.broadcast(ids), F.col("id") == F.col("_id"), "left_semi")  # max_toxic ids
-    toxic = bounded_sample(toxic, max_toxic, "id")  # an id may repeat
+    ids = confirmed.select(F.col(id_column).alias("_id")).distinct()
+    every_toxic = documents.join(ids, F.col("id") == F.col("_id"), "left_semi")
+    n_toxic, n_documents = every_toxic.count(), documents.count()
+    if not n_toxic:
+        return Model(words.Vocabulary(np.zeros(0, np.uint64)), np.zeros(1), float(np.log(prior / (1 - prior))))
+    told = telling_words(every_toxic, documents, n_toxic, n_documents)
+    chosen = told.orderBy(F.desc("gain"), "word").limit(FEATURES).select("word", "ratio").collect()
+    hashes = np.array([r["word"] for r in chosen], np.int64).view(np.uint64)
+    vocabulary = words.Vocabulary(hashes)
+    start = np.array([r["ratio"] for r in chosen], float)[np.argsort(hashes)] if chosen else np.zeros(1)
+    toxic = bounded_sample(every_toxic, max_toxic, "id")
     plain = bounded_sample(documents, max_unlabelled, "id")
     sample = toxic.select(F.lit(1).alias("toxic"), "text").unionByName(plain.select(F.lit(0).alias("toxic"), "text"))
-    texts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    if len(texts) < 2:
-        return Model(words.Vocabulary(np.zeros(0, np.uint64)), np.zeros(1), float(np.log(prior / (1 - prior))))
-    counted = _hashes(sample).groupBy("word").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("texts")).otherwise(0)).alias("p"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("texts")).otherwise(0)).alias("u"),
-    )
-    share_p, share_u = F.col("p") / texts[1], (F.col("u") + 1) / texts[0]
-    # How far the share among toxic texts is above that among all, in standard errors.
-    spread = F.sqrt(share_u * (1 - F.least(share_u, F.lit(0.999))) / texts[1])
-    told = counted.where(F.col("p") >= LEAST_TOXIC).withColumn("gain", (share_p - share_u) / spread)
-    told = told.where(F.col("gain") >= LEAST_GAIN)
-    chosen = told.orderBy(F.desc("gain"), "word").limit(FEATURES).select("word").collect()
-    vocabulary = words.Vocabulary(np.array([r["word"] for r in chosen], np.int64).view(np.uint64))
     rows = _rows(sample, vocabulary).collect()  # as many as the sample has, of FEATURES numbers at most
     parts = [SparseRows([np.array(r["features"], np.int64) for r in rows if r["toxic"] == t]) for t in (1, 0)]
-    weights, bias = train(*parts, max(len(vocabulary), 1), prior)
+    weights, bias = train(*parts, max(len(vocabulary), 1), prior, start)
     return Model(vocabulary, weights, bias)
 
 
