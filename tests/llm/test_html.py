@@ -1,8 +1,10 @@
+import time
+
 import numpy as np
 import pytest
 
 from tillmark.llm import html_extract
-from tillmark.llm.html_blocks import leaves
+from tillmark.llm.html_blocks import _Ends, leaves
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -24,6 +26,35 @@ def test_blocks_of_broken_markup():
     assert leaves(None) == leaves("") == leaves("<p> &#32;</p><script>") == []
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<x " * 340_000,
+        "<x " * 330_000 + "'>",
+        '<x "a" ' * 140_000 + "'",
+        "<div>" * 100_000 + "x",
+        "<div>y" * 100_000,
+        "".join(f"<x{i} class='menu c{i}'>y<b>" for i in range(30_000)),
+        "<li><ul>" + "<b>" * 50_000 + "<li></li>z" * 30_000,
+        "</p><p>" * 100_000 + "<!--" * 50_000,
+        "<a>" * 100_000 + "<br>w" * 100_000,
+        '"\'<' * 200_000,
+    ],
+    ids=lambda page: page[:12],
+)
+def test_long_and_broken_pages_take_time_in_proportion(field, page):
+    start = time.perf_counter()
+    field.text(page)
+    assert time.perf_counter() - start < 8
+
+
+def test_end_of_a_tag():
+    for page, end in {
+        "<a b='>' c=\">\">x": 14, "<a b='>": -1, "<a ": -1, "<a b='x'>": 8, "<a <b>": 5, "<a '\"'>": 6, "<a '\"' \">": -1,
+    }.items():
+        assert _Ends(page).after(2) == end, page
+
+
 def test_viterbi_finds_the_best_labels(field):
     rng = np.random.default_rng(3)
     blocks = leaves("<article><h1>Title</h1><p>Some text.</p></article><aside>Other</aside><footer>c</footer>")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 # Element names of the HTML standard.
@@ -29,20 +32,96 @@ CLOSES = {
 }
 SCOPES = frozenset("ul ol dl table menu".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"[>\"']")
 _HINT = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+class Open:
+    """An open element: its name, what encloses it, and which telling names and hints hold inside it.
+
+    The two sets are those of the element around it wherever this one adds nothing.
+    """
+
+    __slots__ = ("name", "around", "inside", "hints")
+
+    def __init__(self, name: str, around: Open | None, inside: frozenset[str], hints: frozenset[str]):
+        self.name, self.around, self.inside, self.hints = name, around, inside, hints
+
+
 @dataclass
 class Leaf:
     text: str  # references decoded, white space folded
     linked: int  # characters of it that stand in links
-    tags: tuple[str, ...]  # enclosing elements, the outermost first
-    hints: frozenset[str]  # words of their classes, ids and roles
+    element: Open | None  # the innermost enclosing element
+
+    @property
+    def tag(self) -> str:
+        return self.element.name if self.element else ""
+
+    @property
+    def inside(self) -> frozenset[str]:
+        """Telling names of the enclosing elements."""
+        return self.element.inside if self.element else frozenset()
+
+    @property
+    def hints(self) -> frozenset[str]:
+        """Telling words of their classes, ids and roles."""
+        return self.element.hints if self.element else frozenset()
+
+    @property
+    def tags(self) -> tuple[str, ...]:
+        """All enclosing elements, the outermost first; as many steps as there are."""
+        found, at = [], self.element
+        while at:
+            found.append(at.name)
+            at = at.around
+        return tuple(reversed(found))
+
+
+def enclosed(tags: tuple[str, ...], hints: frozenset[str] = frozenset()) -> Open | None:
+    """The innermost of elements that enclose each other, with hints that hold inside."""
+    element, inside = None, frozenset()
+    for name in tags:
+        inside |= {name}
+        element = Open(name, element, inside, hints)
+    return element
+
+
+class _Ends:
+    """Where the tags of a page end: at the first ``>`` that is in no quotes.
+
+    From a mark outside quotes the way to the end is always the same, so it is gone once, however many unclosed tags
+    lead to it.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.marks = [m.start() for m in _MARK.finditer(page)]
+        self.ends: dict[int, int] = {}
+
+    def after(self, place: int) -> int:
+        """The place of the ``>``, or -1."""
+        passed, end = [], -1
+        at = bisect_left(self.marks, place)
+        while at < len(self.marks):
+            if at in self.ends:
+                end = self.ends[at]
+                break
+            passed.append(at)
+            mark = self.marks[at]
+            if self.page[mark] == ">":
+                end = mark
+                break
+            closing = self.page.find(self.page[mark], mark + 1)
+            if closing < 0:
+                break
+            at = bisect_left(self.marks, closing + 1)
+        for at in passed:
+            self.ends[at] = end
+        return end
 
 
 def _hints(attributes: str) -> tuple[str, ...]:
@@ -53,17 +132,21 @@ def _hints(attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
-def leaves(page: str | None) -> list[Leaf]:
+def leaves(page: str | None, names: frozenset[str] | None = None, words: frozenset[str] | None = None) -> list[Leaf]:
     """The blocks of ``page`` in order; none for a null, empty or textless page.
 
     A block is the text between two starts or ends of elements that are not inline.  Unclosed paragraphs, list items
-    and cells end where the HTML standard ends them; a line break counts as white space.
+    and cells end where the HTML standard ends them; a line break counts as white space.  A ``<`` that begins no tag is
+    text.  ``names`` and ``words`` say which enclosing elements and hints are telling (none given: all are); with them a
+    page takes time in proportion to its length, however broken and deeply nested it is.
     """
     if not page:
         return []
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Open] = []
+    where: dict[str, list[int]] = defaultdict(list)  # places of the open elements of a name in the stack
     pieces: list[str] = []
+    ends = _Ends(page)
     linked = 0
     place = 0
 
@@ -72,63 +155,75 @@ def leaves(page: str | None) -> list[Leaf]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                hints = frozenset(h for _, own in stack for h in own)
-                out.append(Leaf(text, min(linked, len(text)), tuple(t for t, _ in stack), hints))
+                out.append(Leaf(text, min(linked, len(text)), stack[-1] if stack else None))
             pieces.clear()
         linked = 0
 
-    def close(names: tuple[str, ...], scopes: frozenset[str]) -> None:
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] in names:
-                flush()
-                del stack[depth:]
-                return
-            if stack[depth][0] in scopes:
-                return
+    def last(of: Iterable[str]) -> int:
+        return max((where[name][-1] for name in of if where.get(name)), default=-1)
+
+    def drop(depth: int) -> None:
+        while len(stack) > depth:
+            where[stack.pop().name].pop()
+
+    def start(name: str, attributes: str) -> None:
+        around = stack[-1] if stack else None
+        inside = around.inside if around else frozenset()
+        hints = around.hints if around else frozenset()
+        if name not in inside and (names is None or name in names):
+            inside = inside | {name}
+        own = [h for h in _hints(attributes) if h not in hints and (words is None or h in words)]
+        where[name].append(len(stack))
+        stack.append(Open(name, around, inside, hints.union(own) if own else hints))
 
     size = len(page)
     while place < size:
-        start = page.find("<", place)
-        if start < 0:
-            start = size
-        if start > place:
-            text = page[place:start]
+        sign = page.find("<", place)
+        if sign < 0:
+            sign = size
+        if sign > place:
+            text = page[place:sign]
             pieces.append(text)
-            if any(t == "a" for t, _ in stack):
+            if where.get("a"):
                 linked += len(text.strip())
-        if start == size:
+        if sign == size:
             break
-        match = _TOKEN.match(page, start)
-        if not match:  # a lone sign
-            pieces.append("<")
-            place = start + 1
+        if page.startswith("<!--", sign):
+            stop = page.find("-->", sign + 4)
+            place = size if stop < 0 else stop + 3
+            continue
+        if page[sign + 1 : sign + 2] in ("!", "?"):
+            stop = page.find(">", sign)
+            place = size if stop < 0 else stop + 1
             continue
-        place = match.end()
-        if match[2] is None:
+        match = _NAME.match(page, sign)
+        stop = ends.after(match.end()) if match else -1
+        if stop < 0:  # a lone sign
+            pieces.append("<")
+            place = sign + 1
             continue
-        name = match[2].lower()
-        if match[1]:
+        place = stop + 1
+        name, attributes = match[1].lower(), page[match.end() : stop]
+        if page[sign + 1] == "/":
             if name not in INLINE:
                 flush()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    break
+            if where.get(name):
+                drop(where[name][-1])
             continue
         if name in UNSEEN:
-            if name not in INLINE and not match[3].rstrip().endswith("/"):
+            if name not in INLINE and not attributes.rstrip().endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, place)
                 place = end.end() if end else size
             continue
         if name not in INLINE:
             flush()
-            if name in CLOSES_PARAGRAPH:
-                close(("p",), frozenset())
-            elif name in CLOSES:
-                close(CLOSES[name], SCOPES)
+            closed = ("p",) if name in CLOSES_PARAGRAPH else CLOSES.get(name, ())
+            depth = last(closed)
+            if depth >= 0 and (closed == ("p",) or depth > last(SCOPES)):
+                drop(depth)
         elif name == "br":
             pieces.append(" ")
         if name not in VOID:
-            stack.append((name, _hints(match[3])))
+            start(name, attributes)
     flush()
     return out

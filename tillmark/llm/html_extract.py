@@ -52,14 +52,19 @@ TELLING = frozenset(
 )
 
 
+def page_blocks(page: str | None) -> list[Leaf]:
+    """``leaves`` with what the model looks at, in time in proportion to the page."""
+    return leaves(page, TELLING, frozenset(_HINT_KIND))
+
+
 def features(blocks: list[Leaf]) -> list[list[str]]:
     """Names of what holds for each block."""
     out = []
     for place, block in enumerate(blocks):
         words = block.text.split()
         size = len(words)
-        own = ["bias", f"leaf:{block.tags[-1] if block.tags else ''}"]
-        own += [f"in:{tag}" for tag in set(block.tags) & TELLING]
+        own = ["bias", f"leaf:{block.tag}"]
+        own += [f"in:{tag}" for tag in block.inside & TELLING]
         own += [f"hint:{kind}" for kind in {_HINT_KIND[h] for h in block.hints if h in _HINT_KIND}]
         own.append(f"words:{min(size.bit_length(), 8)}")
         share = block.linked / max(len(block.text), 1)
@@ -71,7 +76,7 @@ def features(blocks: list[Leaf]) -> list[list[str]]:
             own.append("first")
         if place == len(blocks) - 1:
             own.append("last")
-        if not set(block.tags) & {"article", "main"}:
+        if not block.inside & {"article", "main"}:
             own.append("unmarked")
         out.append(own)
     return out
@@ -110,7 +115,7 @@ class Field:
         return labels[::-1]
 
     def text(self, page: str | None) -> str:
-        blocks = leaves(page)
+        blocks = page_blocks(page)
         return "\n\n".join(b.text for b, label in zip(blocks, self.decode(blocks)) if label)
 
 
@@ -183,14 +188,14 @@ _AGAINST = {"nav", "ad", "comment", "side", "foot", "notice", "form", "share"}
 
 def labelled_by_markup(page: str) -> tuple[list[Leaf], list[int]] | None:
     """A page's blocks with labels, where an element marks the article; None where none does."""
-    blocks = leaves(page)
-    if not any({"article", "main"} & set(b.tags) for b in blocks):
+    blocks = page_blocks(page)
+    if not any({"article", "main"} & b.inside for b in blocks):
         return None
     labels = []
     for block in blocks:
         kinds = {_HINT_KIND.get(h) for h in block.hints}
-        marked = {"article", "main"} & set(block.tags)
-        labels.append(int(bool(marked) and not _ASIDE & set(block.tags) and not _AGAINST & kinds))
+        marked = {"article", "main"} & block.inside
+        labels.append(int(bool(marked) and not _ASIDE & block.inside and not _AGAINST & kinds))
     return blocks, labels
 
 
@@ -328,14 +333,14 @@ class _Layout:
             if not bare and self.maybe(chance):
                 part()
         self.out.append("</body></html>")
-        blocks = leaves("".join(self.out))
+        blocks = page_blocks("".join(self.out))
         return (blocks, self.labels) if len(blocks) == len(self.labels) else None
 
 
 def training_pages(sample: list[str]) -> list[tuple[list[Leaf], list[int]]]:
     marked = [found for page in sample if (found := labelled_by_markup(page))]
     texts = sorted({b.text for blocks, labels in marked for b, label in zip(blocks, labels) if label})
-    texts = texts or sorted({b.text for page in sample for b in leaves(page)})
+    texts = texts or sorted({b.text for page in sample for b in page_blocks(page)})
     if not texts:
         return []
     rng = np.random.default_rng(SEED)
