@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import fixtures
 from pyspark.sql import functions as F
@@ -101,6 +102,58 @@ def test_copied_values_are_examples_and_live_ones_are_masked(spark):
     assert masked[50] == f'a {secrets.MASK}" b {copied}' and masked[0] == rows[0][1] and masked[51] is None
 
 
+def masked_by_hand(text, spans):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], secrets.MASK]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_masks_equal_plain_cuts(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(120):
+        text = "".join(rng.choice("abé🎉\n x") for _ in range(rng.choice([0, 1, 5, 1023, 1024, 1025, 5000])))
+        spans = []
+        for _ in range(rng.choice([0, 1, 3, 40])):
+            if text:
+                start = rng.randrange(len(text))
+                spans.append((start, min(len(text), start + rng.randint(1, 30)), rng.random() < 0.8))
+        rows.append((i, text, sorted(spans)))
+    frame = spark.createDataFrame(rows, "id long, text string, judged array<struct<start:long,end:long,live:boolean>>")
+    got = {r.id: r.m for r in frame.select("id", secrets.masked(F.col("text"), F.col("judged")).alias("m")).collect()}
+    for i, text, spans in rows:
+        assert got[i] == masked_by_hand(text, [s[:2] for s in spans if s[2]]), rows[i]
+
+
+def test_running_totals(spark):
+    rng = random.Random(2)
+    rows = [([rng.randrange(9) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 9, 10, 17, 400)]
+    frame = spark.createDataFrame(rows, "v array<long>")
+    sums = secrets._running(F.col("v"), lambda a, b: a + b)
+    tops = secrets._running(F.col("v"), F.greatest)
+    for r in frame.select("v", sums.alias("s"), tops.alias("t")).collect():
+        assert r.s == [sum(r.v[:i]) for i in range(len(r.v))] and r.t == [max(r.v[:i], default=0) for i in range(len(r.v))]
+
+
+def test_a_text_of_very_many_secrets(spark):
+    """Three megabytes of keys, some of them copied by others."""
+    many = " ".join(f"password=hunter{i:07d}" for i in range(130_000))
+    rows = [(1, many, "en", "a", 0)] + [(2 + i, "password=hunter0000003 end", "en", f"s{i}", 0) for i in range(5)]
+    documents = spark.createDataFrame(rows, fixtures.SCHEMA)
+    documents.where("doc_id > 1").select(secrets.spans(F.col("text"))).collect()
+    start = time.perf_counter()
+    found = {r.doc_id: r for r in secrets.scanned(documents, keep=["doc_id"]).select("doc_id", F.size("spans").alias("n"), F.element_at("spans", -1).alias("last")).collect()}
+    assert found[1].n == 130_000 and (found[1].last.start, found[1].last.end) == (len(many) - 22, len(many))
+    masked = {r.doc_id: r.text for r in secrets.redacted(documents).collect()}
+    taken = time.perf_counter() - start
+    assert masked[1] == " ".join("password=hunter0000003" if i == 3 else secrets.MASK for i in range(130_000))
+    assert masked[4] == "password=hunter0000003 end"
+    assert taken < 60  # two scans and a mask
+
+
 def test_a_value_of_many_owners_counts_each_once(spark):
     rows = [("h", "r1", "o1")] * 3 + [("h", "r2", "o1"), ("h", None, None), ("h", None, None)]
     got = secrets.ownership(spark.createDataFrame(rows, "value_hash string, repository string, owner string"), 2).first()

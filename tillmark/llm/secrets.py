@@ -11,6 +11,7 @@ the matches of a pattern (``split``) and the matches themselves (``regexp_extrac
 from __future__ import annotations
 
 import operator
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -80,29 +81,67 @@ def likely(text: Column, kinds: tuple[Kind, ...]) -> Column:
     return reduce(operator.or_, runs, F.exists(F.array(F.lower(text)), any_sign))
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Of whole numbers, none negative: what ``combine`` makes of all values before each, 0 before the first.
+
+    Values are taken in blocks as long as there are blocks, so n of them cost n times the square root of n, in simple
+    steps; a list that grows by one value at a time would be copied n times.
+    """
+    total = lambda some: F.aggregate(some, F.lit(0).cast("bigint"), lambda a, b: combine(a, b))
+    count = lambda n: F.sequence(F.lit(0), n - 1)
+
+    def blocks(v: Column, long: Column) -> Column:
+        sums = F.transform(count(F.ceil(F.size(v) / long).cast("int")), lambda k: total(F.slice(v, k * long + 1, long)))
+
+        def within(before: Column) -> Column:
+            def one(_: Column, i: Column) -> Column:
+                block = F.floor(i / long).cast("int")
+                return combine(F.get(before, block), total(F.slice(v, block * long + 1, i - block * long)))
+
+            return F.transform(v, one)
+
+        upto = lambda s: F.transform(count(F.size(s)), lambda k: total(F.slice(s, F.lit(1), k)))
+        return _bound(sums, lambda s: _bound(upto(s), within))
+
+    def of(v: Column) -> Column:
+        long = F.ceil(F.sqrt(F.size(v))).cast("int")
+        return F.when(F.size(v) > 0, _bound(long, lambda n: blocks(v, n))).otherwise(v)
+
+    return _bound(values, of)
+
+
 def _spans(text: Column, kind: Kind, rank: int) -> Column:
     """Matches of one kind, leftmost and non-overlapping, those with too short a value dropped."""
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     gaps = F.split(text, kind.pattern, -1)
-    start = F.lit(0).cast("bigint")
     empty = F.array().cast(f"array<{SPAN}>")
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["match"])
-        value = F.regexp_extract(pair["match"], kind.pattern, kind.group)
-        span = F.struct(
-            begin.alias("start"),
-            end.alias("end"),
-            F.lit(rank).alias("rank"),
-            F.lit(kind.name).alias("kind"),
-            F.sha2(value.cast("binary"), 256).alias("value_hash"),
-        ).cast(SPAN)
-        found = F.when(F.length(value) >= kind.least, F.array_append(state["found"], span)).otherwise(state["found"])
-        return F.struct(end.cast("bigint").alias("at"), found.alias("found"))
+    def placed(pairs: Column) -> Column:
+        lengths = F.transform(pairs, lambda p: (F.length(p["gap"]) + F.length(p["match"])).cast("bigint"))
+        before = _running(lengths, lambda a, b: a + b)
+        return F.transform(F.arrays_zip(pairs.alias("pair"), before.alias("before")), span)
+
+    def span(found: Column) -> Column:
+        begin = found["before"] + F.length(found["pair"]["gap"])
+        value = F.regexp_extract(found["pair"]["match"], kind.pattern, kind.group)
+        return F.when(
+            F.length(value) >= kind.least,
+            F.struct(
+                begin.alias("start"),
+                (begin + F.length(found["pair"]["match"])).alias("end"),
+                F.lit(rank).alias("rank"),
+                F.lit(kind.name).alias("kind"),
+                F.sha2(value.cast("binary"), 256).alias("value_hash"),
+            ).cast(SPAN),
+        )
 
     pairs = F.filter(F.arrays_zip(gaps.alias("gap"), matches.alias("match")), lambda p: p["match"].isNotNull())
-    found = F.reduce(pairs, F.struct(start.alias("at"), empty.alias("found")), step)["found"]
+    found = F.filter(_bound(pairs, placed), lambda s: s.isNotNull())
     return F.when(text.rlike(kind.pattern), found).otherwise(empty)
 
 
@@ -179,20 +218,36 @@ def scanned(
     return out.select(*[F.col("kept")[c].alias(c) for c in keep], "spans", F.coalesce("judged", none).alias("judged"))
 
 
+PIECE = 1024
+
+
 def masked(text: Column, judged: Column, mask: str = MASK) -> Column:
-    """``text`` with every live span replaced; overlapping ones become one mask."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, span: Column) -> Column:
-        before = F.substr(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        fresh = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], before, F.lit(mask))).otherwise(state["out"]).alias("out"),
-        )
+    """``text`` with every live span replaced; overlapping ones become one mask.
+
+    The text between masks is taken from pieces of bounded length, as a place far into a long text is dear to reach.
+    """
+    zero = F.lit(0).cast("bigint")
+    spans_ = F.filter(judged, lambda s: s["live"])
+
+    def between(pieces: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / PIECE).cast("int")
+        some = F.array_join(F.slice(pieces, first + 1, F.ceil(end / PIECE).cast("int") - first), "")
+        return F.when(end > start, F.substr(some, (start - first * PIECE + 1).cast("int"), (end - start).cast("int"))).otherwise("")
+
+    def of(live: Column) -> Column:
+        reached = _running(F.transform(live, lambda s: s["end"]), F.greatest)
+        placed = F.arrays_zip(live.alias("span"), reached.alias("reached"))
+        fresh = F.filter(placed, lambda p: p["span"]["start"] >= p["reached"])
+        end = F.aggregate(live, zero, lambda a, s: F.greatest(a, s["end"]))
+
+        def joined(pieces: Column) -> Column:
+            kept = F.transform(fresh, lambda p: between(pieces, p["reached"], p["span"]["start"]))
+            rest = between(pieces, end, F.length(text).cast("bigint"))
+            return F.array_join(F.concat(kept, F.array(rest)), mask)
+
+        return _bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), joined)
 
-    end = F.reduce(F.filter(judged, lambda s: s["live"]), start, step)
-    return F.concat(end["out"], F.substr(text, (end["at"] + 1).cast("int"), F.length(text)))
+    return _bound(spans_, of)
 
 
 def redacted(
@@ -205,7 +260,8 @@ def redacted(
 ) -> DataFrame:
     """``documents`` with live-looking secrets masked; copied examples and all other text stay.
 
-    Only rows that hold candidates are joined; all others, null texts included, pass by untouched.
+    Only rows that hold candidates are joined; all others, null texts included, pass by untouched.  A text may hold any
+    number of candidates; an empty table gives an empty one.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     found = found_spans(documents, keep=[], text_column=text_column, repository=repository, owner=owner)
