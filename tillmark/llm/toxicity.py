@@ -5,10 +5,10 @@ to minimise ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``: the risk on un
 toxic text in it.  Where the corrected part turns negative the model has begun to learn the examples by heart, and
 the step is taken against it.
 
-Which words become features is counted in Spark over all confirmed and all unlabelled texts, so a word that is rare in
-any sample is found too.  The steps of the training see a bounded sample (``MAX_TOXIC``, ``MAX_UNLABELLED`` rows, chosen
-by a hash of the id); a feature that no sampled example holds keeps the weight that its counts give it.  Scoring passes
-over all rows once, without a shuffle.
+Which words become features is counted in Spark, over up to ``MAX_COUNTED`` confirmed texts and over all documents.  The
+steps of the training see a smaller sample (``MAX_TOXIC``, ``MAX_UNLABELLED`` rows); a feature that none of its examples
+holds keeps the weight that its counts give it.  Samples are chosen by a hash of the id.  Confirmed texts are found by
+their ids, which are sent to the documents: no text is shuffled.  Scoring passes over all rows once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from tillmark.llm import words
 from tillmark.llm.learning import Adam, SparseRows, bounded_sample, sigmoid
 from tillmark.llm.shared import stored
 
+MAX_COUNTED = 50_000
 MAX_TOXIC = 4000
 MAX_UNLABELLED = 12000
 FEATURES = 1 << 16  # the size of a model: the words that tell most
@@ -117,7 +118,7 @@ def _tallies(texts: DataFrame, maybe: np.ndarray | None = None) -> DataFrame:
 def telling_words(toxic: DataFrame, documents: DataFrame, n_toxic: int, n_documents: int) -> DataFrame:
     """word, gain and ratio (log of both shares) of the words that are clearly more frequent in toxic texts.
 
-    Counted over all texts.  Only words of enough toxic texts can be chosen; a bit for each first part of their hashes,
+    Only words of enough toxic texts can be chosen; a bit for each first part of their hashes,
     as many bits at any size, keeps nearly all others out of the shuffle.
     """
     own = stored(_tallies(toxic).where(F.col("texts") >= LEAST_TOXIC).withColumnRenamed("texts", "p"))
@@ -162,8 +163,8 @@ def fit(
     """
     prior = min(max(prior, LEAST_PRIOR), MOST_PRIOR)
     documents = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    ids = confirmed.select(F.col(id_column).alias("_id")).distinct()
-    every_toxic = documents.join(ids, F.col("id") == F.col("_id"), "left_semi")
+    ids = bounded_sample(confirmed.select(F.col(id_column).alias("_id")).distinct(), MAX_COUNTED, "_id")
+    every_toxic = documents.join(F.broadcast(ids), F.col("id") == F.col("_id"), "left_semi")  # MAX_COUNTED ids
     n_toxic, n_documents = every_toxic.count(), documents.count()
     if not n_toxic:
         return Model(words.Vocabulary(np.zeros(0, np.uint64)), np.zeros(1), float(np.log(prior / (1 - prior))))
