@@ -681,5 +681,30 @@ def statement(name: str) -> str:
     return f"with\n{blocks}\n{FINAL[name].strip()}"
 
 
+# Sale lines of customers with the last digit 3 after a batch: one unit more, every second one 40 days later.
+_MOVED = """
+        select * replace (Quantity + 1 as Quantity,
+                          case when SalesID % 2 = 0 then SalesDate + interval 40 day else SalesDate end as SalesDate)
+        from src_sales_before where CustomerID % 10 = 3
+        union all
+        select * from src_sales_before where CustomerID is null or CustomerID % 10 <> 3"""
+
+AFTER_A_BATCH = {
+    "upserted_sales_mart": "mart_sales_summary",
+    "upserted_lifetime_value": "customer_lifetime_value",
+    "upserted_customer_mart": "mart_customer_behavior",
+    "upserted_employee_mart": "mart_employee_performance",
+}
+
+
+def _after_a_batch(name: str) -> str:
+    """The statement of a table, over the changed sale lines."""
+    before = f"    src_sales as ({BLOCKS['src_sales'].strip()})"
+    whole = statement(name)
+    assert before in whole
+    return whole.replace(before, f"{before.replace('src_sales as', 'src_sales_before as')},\n    src_sales as ({_MOVED.strip()})")
+
+
 def statements() -> dict[str, str]:
-    return {name: statement(name) for name in FINAL}
+    found = {name: statement(name) for name in FINAL}
+    return found | {name: _after_a_batch(table) for name, table in AFTER_A_BATCH.items()}

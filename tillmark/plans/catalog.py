@@ -111,6 +111,24 @@ def _upserted_fact(spark: SparkSession, folder: str) -> DataFrame:
     return stored["fct_sales_summary"].drop("dbt_loaded_at")
 
 
+def _upserted_mart(name: str, below: str | None = None) -> Query:
+    """A stored mart after a batch: customers of the last digit 3 have one unit more in every line, and every second of
+    these lines was sold 40 days later.  Only what the mart needs is stored before."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        space = Workspace.of_test_tables(tune(spark), folder)
+        place = _place(spark)
+        space.refresh(place, (*FACTS, *((below,) if below else ()), name))
+        sales = space.source("sales")
+        later = F.when(F.col("SalesID") % 2 == 0, F.col("SalesDate") + F.expr("interval 40 days")).otherwise(F.col("SalesDate"))
+        batch = sales.where(F.col("CustomerID") % 10 == 3).withColumns(
+            {"Quantity": F.col("Quantity") + 1, "SalesDate": later.cast(sales.schema["SalesDate"].dataType)}
+        )
+        return space.upsert_sales(place, batch)[name].drop("dbt_loaded_at")
+
+    return run
+
+
 def _curated_sales(spark: SparkSession, folder: str) -> DataFrame:
     """A curated table that is there is read instead of the raw one."""
     place = _place(spark)
@@ -211,6 +229,10 @@ _QUERIES: dict[str, Query] = {
     "upserted_sales": _upserted_sales,
     "upserted_fact": _upserted_fact,
     "refreshed_sales_totals": _refreshed_totals,
+    "upserted_sales_mart": _upserted_mart("mart_sales_summary"),
+    "upserted_lifetime_value": _upserted_mart("customer_lifetime_value"),
+    "upserted_customer_mart": _upserted_mart("mart_customer_behavior", "fct_customer_behavior"),
+    "upserted_employee_mart": _upserted_mart("mart_employee_performance", "fct_employee_performance"),
     # staging, facts, marts
     "st_customers": _table("st_customers"),
     "st_employees": _table("st_employees"),

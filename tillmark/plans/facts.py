@@ -73,8 +73,7 @@ def fct_sales_summary(
 def fct_customer_behavior(sales: DataFrame) -> DataFrame:
     """Purchase behaviour per customer, measured against the last day of the whole data set.
 
-    ``purchase_count`` counts sale lines, not baskets.  The last day is a scalar subquery over the
-    customers' own last days: one value, no join, and the grouping below it is shared.
+    ``purchase_count`` counts sale lines, not baskets.
     """
     bought = sales.groupBy("customer_id").agg(
         sale_count().alias("purchase_count"),
@@ -87,27 +86,45 @@ def fct_customer_behavior(sales: DataFrame) -> DataFrame:
         F.sum("discount").alias("total_discount_received"),
         exact_avg("discount").alias("avg_discount_per_transaction"),
     )
-    last_day = bought.agg(F.max(F.col("last_purchase_date").cast("date"))).scalar()
-    idle_days = F.datediff("data_as_of_date", "last_purchase_date")
-    return bought.withColumn("data_as_of_date", last_day).select(
-        surrogate_key("customer_id").alias("customer_behavior_id"),
-        "customer_id",
-        "purchase_count",
-        "distinct_products_purchased",
-        "total_quantity",
-        "total_spend",
-        "avg_transaction_value",
-        "last_purchase_date",
-        "first_purchase_date",
-        F.datediff("last_purchase_date", "first_purchase_date").alias("days_between_first_last_purchase"),
-        "total_discount_received",
-        "avg_discount_per_transaction",
-        "data_as_of_date",
-        labels.value_segment(F.col("purchase_count")).alias("customer_value_segment"),
-        labels.engagement_status(idle_days).alias("engagement_status"),
+    return _anchored(
+        bought.select(
+            surrogate_key("customer_id").alias("customer_behavior_id"),
+            "customer_id",
+            "purchase_count",
+            "distinct_products_purchased",
+            "total_quantity",
+            "total_spend",
+            "avg_transaction_value",
+            "last_purchase_date",
+            "first_purchase_date",
+            F.datediff("last_purchase_date", "first_purchase_date").alias("days_between_first_last_purchase"),
+            "total_discount_received",
+            "avg_discount_per_transaction",
+            F.lit(None).cast("date").alias("data_as_of_date"),
+            labels.value_segment(F.col("purchase_count")).alias("customer_value_segment"),
+            F.lit(None).cast("string").alias("engagement_status"),
+        )
     )
 
 
+def _anchored(behavior: DataFrame) -> DataFrame:
+    """Behaviour against the last day of all customers: a scalar subquery over their own last days, no join."""
+    last_day = behavior.agg(F.max(F.col("last_purchase_date").cast("date"))).scalar()
+    idle_days = F.datediff("data_as_of_date", "last_purchase_date")
+    anchored = behavior.withColumn("data_as_of_date", last_day)
+    return anchored.withColumn("engagement_status", labels.engagement_status(idle_days))
+
+
+def only(rows: DataFrame, keys: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
+    """The rows whose ``column`` is in ``keys`` (null included), or is not (``left_anti``)."""
+    return rows.join(keys.select(F.col(column).alias("_only")), F.col(column).eqNullSafe(F.col("_only")), how)
+
+
+def updated_customer_behavior(old: DataFrame, fresh: DataFrame, touched: DataFrame) -> DataFrame:
+    """A stored table with the rows of touched customers replaced; a later last day shows in every row."""
+    return _anchored(only(old, touched, "customer_id", "left_anti").unionByName(fresh))
+
+
 def fct_employee_performance(employees: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales per employee, employees without a sale included (counts 0, sums null).
 

@@ -11,7 +11,7 @@ from tillmark.functions.money import exact_avg, per_unit, percent
 from tillmark.operators.baskets import bands_to, basket_items, depth_band, product_pairs
 from tillmark.operators.ranking import Ranks, asc, desc, with_ranks
 from tillmark.operators.topk import first_ranks, first_rows
-from tillmark.plans.facts import sale_count
+from tillmark.plans.facts import only, sale_count
 
 # Weights of the recommendation score, smallest support and list lengths.
 WEIGHT_FREQUENCY = 0.45
@@ -22,12 +22,9 @@ TOP_ANCHORS = 10
 TOP_RECOMMENDATIONS = 10
 
 
-def customer_lifetime_value(sales: DataFrame, customers: DataFrame, first: int | None = None) -> DataFrame:
-    """Value and global spend rank per customer; with ``first``, of so many customers who spent most.
-
-    ``estimated_clv`` is spend per order times orders, that is: the spend.
-    """
-    spent = sales.groupBy("customer_id").agg(
+def customer_spend(sales: DataFrame) -> DataFrame:
+    """What customers spent: the part of their lifetime value that their own lines decide."""
+    return sales.groupBy("customer_id").agg(
         sale_count().alias("total_orders"),
         F.count_distinct(F.col("sales_date").cast("date")).alias("days_active"),
         F.sum("total_price").alias("total_spent"),
@@ -35,6 +32,22 @@ def customer_lifetime_value(sales: DataFrame, customers: DataFrame, first: int |
         F.max("sales_date").alias("last_purchase_date"),
         F.min("sales_date").alias("first_purchase_date"),
     )
+
+
+def customer_lifetime_value(sales: DataFrame, customers: DataFrame, first: int | None = None) -> DataFrame:
+    """Value and global spend rank per customer; with ``first``, of so many customers who spent most."""
+    return ranked_lifetime_value(customer_spend(sales), customers, first)
+
+
+def updated_lifetime_value(old: DataFrame, sales: DataFrame, customers: DataFrame, touched: DataFrame) -> DataFrame:
+    """The same from the stored table: only lines of touched customers are read, then all customers are ranked."""
+    fresh = customer_spend(only(sales, touched, "customer_id"))
+    kept = only(old, touched, "customer_id", "left_anti").select(fresh.columns)
+    return ranked_lifetime_value(kept.unionByName(fresh), customers)
+
+
+def ranked_lifetime_value(spent: DataFrame, customers: DataFrame, first: int | None = None) -> DataFrame:
+    """``estimated_clv`` is spend per order times orders, that is: the spend."""
     by_spend = Ranks(
         [desc("total_spent")], ["customer_id"], rank="customer_spend_rank", ntiles={"value_quintile": 5}
     )

@@ -98,15 +98,21 @@ class Workspace:
                 self._stored[name] = sinks.write_table(frame, place, STORED_BY.get(name, ()))
 
     def upsert_sales(self, target: str, batch: DataFrame) -> dict[str, DataFrame]:
-        """Bring raw sale lines into the stored ``st_sales`` and ``fct_sales_summary`` below the folder ``target``.
+        """Bring raw sale lines into the stored tables below the folder ``target``.
 
         A line replaces the one of its id, wherever that is stored; a batch that repeats an id is refused.  The
-        dimensions are the stored ones.
+        dimensions are the stored ones.  Facts and marts that are stored follow: customers, employees and months that
+        a new line has, or a replaced one had, are computed again, and ranks and scores over all of them are given
+        anew.  Recommendations and models are left as they are until the next refresh.
         """
         folder = target.rstrip("/")
         with scratch(batch.sparkSession):
             lines = checkpointed(staging.st_sales(batch, self.source("products")))
             by = STORED_BY["st_sales"]
+            owners = ("customer_id", "salesperson_id", *by)
+            replaced = batch.sparkSession.read.parquet(f"{folder}/st_sales").select("sales_id", *owners)
+            replaced = facts.only(replaced, lines, "sales_id")
+            touched = checkpointed(replaced.select(*owners).unionByName(lines.select(*owners)).distinct())
             self._stored["st_sales"] = sinks.upsert_partitions(f"{folder}/st_sales", lines, ("sales_id",), by)
             fact = facts.fct_sales_summary(
                 lines, self.table("st_products"), self.table("st_customers"), self.table("st_employees")
@@ -115,8 +121,55 @@ class Workspace:
             self._stored["fct_sales_summary"] = sinks.upsert_partitions(
                 f"{folder}/fct_sales_summary", fact, ("sales_id",), by
             )
+            self._follow(folder, touched)
+        for name in [n for n in self.__dict__ if isinstance(getattr(type(self), n, None), cached_property)]:
+            del self.__dict__[name]
         return dict(self._stored)
 
+    def _follow(self, folder: str, touched: DataFrame) -> None:
+        """Bring the stored facts and marts behind the sales up to date."""
+        customers = checkpointed(touched.select("customer_id").distinct())
+        employees = checkpointed(touched.select(F.col("salesperson_id").alias("employee_id")).distinct())
+        months = checkpointed(touched.select(*STORED_BY["mart_sales_summary"]).distinct())
+        sales = self._stored["st_sales"]
+
+        def replace(name: str, rows: DataFrame, fresh: bool = True) -> None:
+            if fresh and name in LOAD_TIME:
+                rows = staging.with_load_time(rows, LOAD_TIME[name])
+            # Stored aside, as it is made from the table that it replaces.
+            self._stored[name] = sinks.write_table(checkpointed(rows), f"{folder}/{name}")
+
+        if "fct_customer_behavior" in self._stored:
+            fresh = facts.fct_customer_behavior(facts.only(sales, customers, "customer_id"))
+            fresh = staging.with_load_time(fresh, LOAD_TIME["fct_customer_behavior"])
+            old = self._stored["fct_customer_behavior"]
+            replace("fct_customer_behavior", facts.updated_customer_behavior(old, fresh, customers), fresh=False)
+        if "fct_employee_performance" in self._stored:
+            sold = facts.only(sales, employees.withColumnRenamed("employee_id", "salesperson_id"), "salesperson_id")
+            staff = facts.only(self.table("st_employees"), employees, "employee_id")
+            fresh = staging.with_load_time(facts.fct_employee_performance(staff, sold), LOAD_TIME["fct_employee_performance"])
+            old = facts.only(self._stored["fct_employee_performance"], employees, "employee_id", "left_anti")
+            replace("fct_employee_performance", old.unionByName(fresh), fresh=False)
+        if "customer_lifetime_value" in self._stored:
+            old = self._stored["customer_lifetime_value"]
+            replace(
+                "customer_lifetime_value",
+                marts.updated_lifetime_value(old, sales, self.table("st_customers"), customers),
+            )
+        if "mart_customer_behavior" in self._stored:
+            behavior = self.table("fct_customer_behavior")
+            replace("mart_customer_behavior", marts.mart_customer_behavior(behavior, self.table("st_customers")))
+        if "mart_employee_performance" in self._stored:
+            performance = self.table("fct_employee_performance").drop(LOAD_TIME["fct_employee_performance"])
+            replace("mart_employee_performance", marts.mart_employee_performance(performance))
+        if "mart_sales_summary" in self._stored:
+            fact = self._stored["fct_sales_summary"].join(months, list(STORED_BY["mart_sales_summary"]), "left_semi")
+            totals = marts.sales_totals(fact, self.table("st_products"))
+            rows = staging.with_load_time(marts.mart_sales_summary(totals), LOAD_TIME["mart_sales_summary"])
+            self._stored["mart_sales_summary"] = sinks.overwrite_partitions(
+                f"{folder}/mart_sales_summary", rows, months, STORED_BY["mart_sales_summary"]
+            )
+
     # --- lookups and staging -----------------------------------------------------------------------------------------
 
     @cached_property

@@ -65,7 +65,6 @@ def require_unique(batch: DataFrame, *keys: str) -> DataFrame:
 def upsert_partitions(path: str, batch: DataFrame, keys: tuple[str, ...], partition_by: tuple[str, ...]) -> DataFrame:
     """Upsert into a stored, partitioned table; only partitions that the batch's rows are in, or were in, are rewritten.
 
-    The rewritten partitions are stored aside first, so a failure before the last step leaves the table as it was.
     """
     spark = batch.sparkSession
     require_unique(batch, *keys)
@@ -76,7 +75,17 @@ def upsert_partitions(path: str, batch: DataFrame, keys: tuple[str, ...], partit
     touched = checkpointed(was_in.select(*partition_by).union(batch.select(*partition_by)).distinct())
     here = reduce(lambda a, b: a & b, [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partition_by])
     old = target.alias("t").join(touched.alias("p"), here, "left_semi").select("t.*")
-    new = checkpointed(upsert(old, batch, *keys))
+    return overwrite_partitions(path, upsert(old, batch, *keys), touched, partition_by)
+
+
+def overwrite_partitions(path: str, rows: DataFrame, touched: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Replace the partitions that ``touched`` lists by ``rows``, which may be made from the table itself.
+
+    They are stored aside first, so a failure before the last step leaves the table as it was.
+    """
+    spark = rows.sparkSession
+    target = spark.read.parquet(path)
+    new = checkpointed(rows.select(target.columns))
     # A partition that keeps no row is not overwritten by the writer and has to go by itself.
     emptied = touched.join(new.select(*partition_by).distinct(), list(partition_by), "left_anti").collect()
     writer = new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
