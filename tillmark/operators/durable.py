@@ -12,9 +12,26 @@ _written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names, else one in the warehouse; never one of a single machine."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tillmark").rstrip("/")
+    """The folder that ``spark.checkpoint.dir`` names, else one in the warehouse.
+
+    A warehouse on the driver's own disk serves a local session only: on a cluster it is refused.
+    """
+    conf = spark.sparkContext.getConf()
+    named = conf.get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = warehouse.startswith(("file:", "/")) or ":" not in warehouse
+    if own_disk and not conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/tillmark"
+
+
+def fresh_place(spark: SparkSession) -> str:
+    """A new place in the shared folder, which ``scratch`` or ``release`` removes."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -23,9 +40,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     This runs a job, so a function that calls it is not lazy.  The files stay until ``scratch`` or ``release`` removes
     them: whatever reads the result must have been stored by then.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = fresh_place(df.sparkSession)
     df.write.parquet(path)
-    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

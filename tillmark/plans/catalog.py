@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, TimestampNTZType, TimestampType
 
 from tillmark.operators.baskets import basket_items, product_pairs
-from tillmark.operators.durable import checkpointed, shared_folder
+from tillmark.operators.durable import checkpointed, fresh_place
 from tillmark.plans import geography, marts, quality, recommend, reports, segments
 from tillmark.plans.workspace import REFRESH_ORDER, Workspace
 from tillmark.session import tune
@@ -85,17 +84,13 @@ def _upserted_sales(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.upsert(lines, again.unionByName(fresh), "sales_id")
 
 
-def _place(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-
-
 FACTS = REFRESH_ORDER[: REFRESH_ORDER.index("fct_sales_summary") + 1]
 
 
 def _refreshed_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Stored staging and fact tables, and the sales mart's totals on them."""
     space = Workspace.of_test_tables(tune(spark), folder)
-    space.refresh(_place(spark), FACTS)
+    space.refresh(fresh_place(spark), FACTS)
     return space.sales_totals.groupBy("year", "month", "customer_country").agg(
         F.sum("transaction_count").alias("transactions"), F.sum("total_revenue").alias("revenue")
     )
@@ -104,7 +99,7 @@ def _refreshed_totals(spark: SparkSession, folder: str) -> DataFrame:
 def _upserted_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Lines sold by an odd salesperson come again with one unit more."""
     space = Workspace.of_test_tables(tune(spark), folder)
-    place = _place(spark)
+    place = fresh_place(spark)
     space.refresh(place, FACTS)
     odd = space.source("sales").where(F.col("SalesPersonID") % 2 == 1)
     stored = space.upsert_sales(place, odd.withColumn("Quantity", F.col("Quantity") + 1))
@@ -117,7 +112,7 @@ def _upserted_mart(name: str, below: str | None = None) -> Query:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         space = Workspace.of_test_tables(tune(spark), folder)
-        place = _place(spark)
+        place = fresh_place(spark)
         space.refresh(place, (*FACTS, *((below,) if below else ()), name))
         sales = space.source("sales")
         later = F.when(F.col("SalesID") % 2 == 0, F.col("SalesDate") + F.expr("interval 40 days")).otherwise(F.col("SalesDate"))
@@ -131,7 +126,7 @@ def _upserted_mart(name: str, below: str | None = None) -> Query:
 
 def _curated_sales(spark: SparkSession, folder: str) -> DataFrame:
     """A curated table that is there is read instead of the raw one."""
-    place = _place(spark)
+    place = fresh_place(spark)
     sinks.write_table(_table("st_sales")(spark, folder), place, ("year", "month"))
     return readers.sales_source(spark, place, f"{place}-none")
 
