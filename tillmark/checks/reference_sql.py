@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from tillmark.plans import quality
+
 
 def _units(column: str, digits: int) -> str:
     """A decimal as a whole number of 10**-digits."""
@@ -460,6 +462,26 @@ FINAL: dict[str, str] = {
     "refreshed_sales_totals": """
         select year, month, customer_country, cast(sum(transaction_count) as bigint) as transactions,
                cast(sum(total_revenue) as double) as revenue from totals group by all""",
+    "published_sales_totals": """
+        select year, month, customer_country, cast(sum(transaction_count) as bigint) as transactions,
+               cast(sum(total_revenue) as double) as revenue from totals group by all""",
+    "measured_writes": f"""
+        select 'dim_categories' as table_name, 'rows' as measure, count(*) as value from src_categories
+        union all select 'dim_cities', 'rows', count(*) from src_cities
+        union all select 'dim_countries', 'rows', count(*) from src_countries
+        union all select 'st_customers', 'rows', count(*) from customers_clean
+        union all select 'st_employees', 'rows', count(*) from employees_clean
+        union all select 'st_products', 'rows', count(*) from products_clean
+        union all select 'st_sales', 'rows', count(*) from lines
+        union all select 'fct_sales_summary', 'rows', count(*) from star
+        union all select 'dim_cities', 'forbidden_cities', count(*) from src_cities
+                  where CityName in {quality.FORBIDDEN_CITIES}
+        union all select 'dim_countries', 'malformed_country_codes', count(*) from src_countries
+                  where not coalesce(regexp_full_match(CountryCode, '[A-Z]{{2}}'), false)
+        union all select 'dim_countries', 'wrong_country_codes', count(*)
+                  from (values {", ".join(map(str, quality.CORE_COUNTRY_CODES.items()))}) v(name, code)
+                  left join src_countries on CountryName = v.name
+                  where CountryCode is null or CountryCode <> v.code""",
     "hot_basket_pairs": """
         select a as anchor, b as related, count(*) as baskets, cast(sum(n * m) as bigint) as line_pairs,
                cast(sum(n * u) as bigint) as related_units

@@ -96,6 +96,24 @@ def _refreshed_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _published_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from the tables that readers see after a publication."""
+    place = fresh_place(spark)
+    Workspace.of_test_tables(tune(spark), folder).publish(place, FACTS)
+    seen = sinks.published(spark, place)
+    return marts.sales_totals(seen["fct_sales_summary"], seen["st_products"]).groupBy(
+        "year", "month", "customer_country"
+    ).agg(F.sum("transaction_count").alias("transactions"), F.sum("total_revenue").alias("revenue"))
+
+
+def _measured_writes(spark: SparkSession, folder: str) -> DataFrame:
+    """What the writes of a refresh found, one row per table and measure."""
+    space = Workspace.of_test_tables(tune(spark), folder)
+    space.refresh(fresh_place(spark), FACTS)
+    rows = [(table, name, value) for table, own in space.measured.items() for name, value in own.items()]
+    return spark.createDataFrame(rows, "table_name string, measure string, value bigint")
+
+
 def _upserted_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Lines sold by an odd salesperson come again with one unit more."""
     space = Workspace.of_test_tables(tune(spark), folder)
@@ -224,6 +242,8 @@ _QUERIES: dict[str, Query] = {
     "upserted_sales": _upserted_sales,
     "upserted_fact": _upserted_fact,
     "refreshed_sales_totals": _refreshed_totals,
+    "published_sales_totals": _published_totals,
+    "measured_writes": _measured_writes,
     "upserted_sales_mart": _upserted_mart("mart_sales_summary"),
     "upserted_lifetime_value": _upserted_mart("customer_lifetime_value"),
     "upserted_customer_mart": _upserted_mart("mart_customer_behavior", "fct_customer_behavior"),

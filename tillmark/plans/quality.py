@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the checks.
@@ -62,5 +62,55 @@ def recommendation_counts(recommendations: DataFrame) -> DataFrame:
 
 def malformed_country_codes(countries: DataFrame) -> DataFrame:
     """Countries whose code is not two capital letters."""
-    shaped = F.coalesce(F.col("CountryCode").rlike("^[A-Z]{2}$"), F.lit(False))
-    return countries.where(~shaped)
+    return countries.where(~_shaped("CountryCode"))
+
+
+def measures(table: str) -> dict[str, Column]:
+    """What the checks look at, as aggregates that the write of ``table`` gathers while it runs.
+
+    Each is the number of rows that the check of that name finds, where it is one; a table without checks has its rows
+    counted.
+    """
+    found = {"rows": F.count(F.lit(1))}
+    if table == "dim_cities":
+        found["forbidden_cities"] = F.count_if(F.col("CityName").isin(*FORBIDDEN_CITIES))
+    elif table == "dim_countries":
+        found["malformed_country_codes"] = F.count_if(~_shaped("CountryCode"))
+        wrong = F.lit(0)
+        for name, code in CORE_COUNTRY_CODES.items():
+            here = F.col("CountryName") == name
+            missing = F.when(F.count_if(here) == 0, 1).otherwise(0)
+            wrong = wrong + missing + F.count_if(here & ~F.col("CountryCode").eqNullSafe(F.lit(code)))
+        found["wrong_country_codes"] = wrong
+    elif table == "customer_segments":
+        found["customers_segmented"] = F.count("customer_id")  # a customer is one row
+    elif table in ("customer_recommendations", "mart_recommend"):
+        found["rows_beyond_rank"] = F.count_if(F.col("recommendation_rank") > 10)
+        if table == "customer_recommendations":
+            found["customers_with_reco"] = F.count_if(F.col("recommendation_rank") == 1)
+            found["avg_reco_score"] = F.avg("score")
+    return found
+
+
+# Limits under which a refresh goes on: the most that a measure of a table may be, and tables that need a row.
+MOST = {
+    ("dim_cities", "forbidden_cities"): 0,
+    ("dim_countries", "malformed_country_codes"): 0,
+    ("dim_countries", "wrong_country_codes"): 0,
+    ("mart_recommend", "rows_beyond_rank"): 0,
+    ("customer_recommendations", "rows_beyond_rank"): 0,
+}
+NOT_EMPTY = ("st_products", "st_sales")
+
+
+def require_limits(table: str, measured: Mapping[str, float], most: Mapping[tuple[str, str], float] = MOST) -> None:
+    """Stop where a measure of ``table`` is beyond its limit, or a table that all depends on has no row."""
+    if table in NOT_EMPTY and not measured["rows"]:
+        raise ValueError(f"{table} is empty; nothing can be built from it")
+    for name, value in measured.items():
+        if (limit := most.get((table, name))) is not None and value > limit:
+            raise ValueError(f"{table}: {name} is {value}, allowed is {limit}")
+
+
+def _shaped(code: str) -> Column:
+    return F.coalesce(F.col(code).rlike("^[A-Z]{2}$"), F.lit(False))

@@ -13,11 +13,11 @@ from collections.abc import Callable, Mapping
 from functools import cached_property, partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators.durable import checkpointed, scratch
-from tillmark.plans import facts, marts, recommend, segments, staging
+from tillmark.plans import facts, marts, quality, recommend, segments, staging
 from tillmark.sources import readers, schemas, sinks, testtables
 
 MODEL_OUTPUTS = ("customer_segments", "customer_recommendations")
@@ -54,6 +54,8 @@ class Workspace:
     ):
         self._sources = dict(sources)
         self._stored: dict[str, DataFrame] = {}
+        # What the last refresh measured while it wrote: table -> measure -> value.
+        self.measured: dict[str, dict] = {}
         self.as_of = as_of
         self.settings = settings
 
@@ -74,28 +76,70 @@ class Workspace:
             return self._stored[name]
         return getattr(self, name)
 
-    def refresh(self, target: str, tables: tuple[str, ...] = REFRESH_ORDER) -> dict[str, DataFrame]:
+    def refresh(
+        self,
+        target: str,
+        tables: tuple[str, ...] = REFRESH_ORDER,
+        most: Mapping[tuple[str, str], float] | None = None,
+    ) -> dict[str, DataFrame]:
         """Rebuild tables in order below ``target``: a folder (anything with a slash) or a database.
 
-        Intermediate tables are removed at the end, so frames that were built from them are forgotten: a table asked
-        for later is the stored one, or is built anew from stored ones.
+        Each write gathers the measures of its table (``quality.measures``) into ``measured``, without another scan;
+        with limits (``most``, such as ``quality.MOST``) a table beyond one stops the refresh.  Intermediate tables are
+        removed at the end, so frames that were built from them are forgotten: a table asked for later is the stored
+        one, or is built anew from stored ones.
+        """
+        try:
+            with scratch(self.source("sales").sparkSession):
+                self._store(target, tables, most)
+        finally:
+            self._forget()
+        return dict(self._stored)
+
+    def publish(
+        self,
+        target: str,
+        tables: tuple[str, ...] = REFRESH_ORDER,
+        most: Mapping[tuple[str, str], float] | None = None,
+    ) -> dict[str, DataFrame]:
+        """A refresh into a version of its own below the folder ``target``, which becomes visible as a whole at its end.
+
+        ``sinks.published`` reads the last version that got that far: where a table fails, or is beyond a limit, readers
+        and this workspace keep the tables they had.  ``sinks.remove_versions`` removes old ones.
         """
-        with scratch(self.source("sales").sparkSession):
-            self._store(target, tables)
+        spark = self.source("sales").sparkSession
+        version = sinks.new_version(spark, target)
+        before = (self._stored, self.measured)
+        self._stored, self.measured = {}, {}
+        try:
+            stored = self.refresh(version, tables, most)
+            sinks.publish(spark, version)
+        except BaseException:
+            self._stored, self.measured = before
+            self._forget()
+            raise
+        return stored
+
+    def _forget(self) -> None:
         for name in [n for n in self.__dict__ if isinstance(getattr(type(self), n, None), cached_property)]:
             del self.__dict__[name]
-        return dict(self._stored)
 
-    def _store(self, target: str, tables: tuple[str, ...]) -> None:
+    def _store(self, target: str, tables: tuple[str, ...], most: Mapping[tuple[str, str], float] | None) -> None:
         for name in tables:
             place = f"{target.rstrip('/')}/{name}" if "/" in target else f"{target}.{name}"
             frame = getattr(self, name)
             if name in LOAD_TIME:
                 frame = staging.with_load_time(frame, LOAD_TIME[name])
+            seen = Observation()
+            measures = [column.alias(label) for label, column in quality.measures(name).items()]
             if name in MODEL_OUTPUTS:
-                self._stored[name] = sinks.drop_and_write(frame, place)
+                stored = sinks.drop_and_write(frame, place, seen, *measures)
             else:
-                self._stored[name] = sinks.write_table(frame, place, STORED_BY.get(name, ()))
+                stored = sinks.write_table(frame, place, STORED_BY.get(name, ()), seen, *measures)
+            self.measured[name] = seen.get
+            if most is not None:
+                quality.require_limits(name, self.measured[name], most)
+            self._stored[name] = stored
 
     def upsert_sales(self, target: str, batch: DataFrame) -> dict[str, DataFrame]:
         """Bring raw sale lines into the stored tables below the folder ``target``.
@@ -122,8 +166,7 @@ class Workspace:
                 f"{folder}/fct_sales_summary", fact, ("sales_id",), by
             )
             self._follow(folder, touched)
-        for name in [n for n in self.__dict__ if isinstance(getattr(type(self), n, None), cached_property)]:
-            del self.__dict__[name]
+        self._forget()
         return dict(self._stored)
 
     def _follow(self, folder: str, touched: DataFrame) -> None:

@@ -7,7 +7,7 @@ import re
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillmark.functions.keys import short_name
 from tillmark.sources import schemas
@@ -43,12 +43,41 @@ def load_raw(spark: SparkSession, path: str) -> tuple[str, DataFrame] | None:
     return table, read_csv(spark, path, schemas.struct(schemas.RAW[table]))
 
 
-def load_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every raw CSV file of a folder by its table; lookup files are left to ``load_seed``."""
+def raw_files(spark: SparkSession, folder: str) -> list[str]:
+    """The CSV files of a folder but the lookup files."""
     files = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*.csv")
     found = files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files) or []
-    loaded = [load_raw(spark, path) for path in sorted(f.getPath().toString() for f in found)]
-    return dict(table for table in loaded if table is not None)
+    return [path for path in sorted(f.getPath().toString() for f in found) if table_name(path)]
+
+
+def load_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every raw CSV file of a folder by its table; lookup files are left to ``load_seed``."""
+    return dict(load_raw(spark, path) for path in raw_files(spark, folder))
+
+
+def judged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Every record of a CSV file with what is wrong with it: file, record, reasons (empty where it loads whole).
+
+    A reason is the name of a column whose text does not parse and so becomes null, or ``fields`` for a record with too
+    few or too many of them.  The record is the line of the file where its fields do not fit, else its fields as CSV.
+    """
+    names = spark.read.csv(path, header=True, inferSchema=False).columns
+    line = next(n for n in ("_line", *(f"_line{i}" for i in range(len(names)))) if n not in names)
+    as_text = StructType([StructField(n, StringType()) for n in (*names, line)])
+    # All columns are asked for, so that the parser sees how many fields a record has.
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": line, "columnPruning": False}
+    text = spark.read.schema(as_text).options(**options).csv(path)
+    lost = [
+        F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in schema.fields
+        if f.name in names
+    ]
+    broken = F.when(F.col(line).isNotNull(), F.lit("fields"))
+    return text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.coalesce(F.col(line), F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names]))).alias("record"),
+        F.array_compact(F.array(broken, *lost)).alias("reasons"),
+    )
 
 
 def load_seed(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators.durable import checkpointed
-from tillmark.sources.readers import load_folder, read_table
+from tillmark.sources import schemas
+from tillmark.sources.readers import judged, load_raw, raw_files, read_table, table_name
 
 
-def write_table(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def write_table(
+    df: DataFrame, target: str, partition_by: tuple[str, ...] = (), observed: Observation | None = None, *measures
+) -> DataFrame:
     """Replace a whole table (parquet folder or catalog table) and return a frame that reads it.
 
     Reading back cuts the lineage: a later failure re-reads the table instead of rebuilding everything above it.
+    ``measures`` are aggregates over the rows, gathered into ``observed`` by the write itself.
     """
+    if observed is not None:
+        df = df.observe(observed, *measures)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -26,17 +33,88 @@ def write_table(df: DataFrame, target: str, partition_by: tuple[str, ...] = ())
     return read_table(df.sparkSession, target)
 
 
-def drop_and_write(df: DataFrame, table: str) -> DataFrame:
+def drop_and_write(df: DataFrame, table: str, observed: Observation | None = None, *measures) -> DataFrame:
     """Model output: the old table is dropped first, so that a changed schema never meets old files."""
     if "/" not in table:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    return write_table(df, table)
+    return write_table(df, table, (), observed, *measures)
 
 
-def replace_raw(spark: SparkSession, folder: str, target: str) -> dict[str, DataFrame]:
-    """Load all raw CSV files of ``folder``, each replacing its table below ``target`` (a folder or a database)."""
+def replace_raw(
+    spark: SparkSession, folder: str, target: str, max_rejected: float | None = None
+) -> dict[str, DataFrame]:
+    """Load all raw CSV files of ``folder``, each replacing its table below ``target`` (a folder or a database).
+
+    With ``max_rejected`` the records that do not load whole (``readers.judged``) are kept beside the table, as
+    ``<table>_rejected``, and a file in which more than that share of the records is such fails the load before any
+    table is replaced.  This reads the files once more.
+    """
     place = f"{target.rstrip('/')}/" if "/" in target else f"{target}."
-    return {name: write_table(frame, f"{place}{name}") for name, frame in load_folder(spark, folder).items()}
+    files = raw_files(spark, folder)
+    for path in files if max_rejected is not None else ():
+        name = table_name(path)
+        if name not in schemas.RAW:
+            continue
+        seen = Observation()
+        records = judged(spark, path, schemas.struct(schemas.RAW[name]))
+        bad = F.size("reasons") > 0
+        records = records.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(bad).alias("rejected"))
+        write_table(records.where(bad), f"{place}{name}_rejected")
+        found = seen.get
+        if found["rejected"] > max_rejected * found["records"]:
+            raise ValueError(f"{path}: {found['rejected']} of {found['records']} records do not load whole")
+    return {name: write_table(frame, f"{place}{name}") for name, frame in (load_raw(spark, path) for path in files)}
+
+
+PUBLISHED = "_PUBLISHED"
+
+
+def _version_folders(spark: SparkSession, target: str, pattern: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/versions/{pattern}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted((f.getPath() for f in found), key=lambda p: p.toString())
+
+
+def new_version(spark: SparkSession, target: str) -> str:
+    """A folder below ``target`` for the tables of the next version.  Names sort in the order of their making."""
+    numbers = [int(p.getName().split("-")[0]) for p in _version_folders(spark, target, "*")]
+    return f"{target.rstrip('/')}/versions/{max(numbers, default=0) + 1:012d}-{uuid.uuid4().hex[:8]}"
+
+
+def publish(spark: SparkSession, version: str) -> None:
+    """Make a version the one that readers see: one empty file is created, which any file system does whole or not."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{version}/{PUBLISHED}")
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, False).close()
+
+
+def published_version(spark: SparkSession, target: str) -> str | None:
+    """The folder of the last version below ``target`` that was published."""
+    marks = _version_folders(spark, target, f"*/{PUBLISHED}")
+    return marks[-1].getParent().toString() if marks else None
+
+
+def published(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The tables of the last version that was published, all of one refresh; none before the first."""
+    version = published_version(spark, target)
+    if version is None:
+        return {}
+    name = version.rsplit("/", 1)[-1]
+    tables = [p for p in _version_folders(spark, target, f"{name}/*") if not p.getName().startswith("_")]
+    return {p.getName(): spark.read.parquet(p.toString()) for p in tables}
+
+
+def remove_versions(spark: SparkSession, target: str, keep: int = 2) -> None:
+    """Remove versions before the last ``keep`` published ones, unfinished ones among them included.
+
+    Who still reads a removed version fails, so keep as many as a reader may be behind.
+    """
+    marks = _version_folders(spark, target, f"*/{PUBLISHED}")[-max(keep, 1) :]
+    if not marks:
+        return
+    oldest = marks[0].getParent().getName()
+    for path in _version_folders(spark, target, "*"):
+        if path.getName() < oldest:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def upsert(target: DataFrame, batch: DataFrame, *keys: str) -> DataFrame:
