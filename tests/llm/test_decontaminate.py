@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures
-from tillmark.llm import decontaminate, queries
+from tillmark.llm import decontaminate, queries, words
 
 ITEMS = "item_id long, text string"
 
@@ -99,6 +99,21 @@ def test_several_blocks_clean_as_one_does(spark, monkeypatch):
     assert not any(hit for _, hit, _ in brute(kept, found_items))
 
 
+def test_automata_are_packed_and_built_in_tasks(spark, monkeypatch):
+    """Some 15 bytes a character, and none is built on the driver."""
+    rng = random.Random(2)
+    text = " ".join(f"w{rng.randrange(50_000)}" for _ in range(60_000))
+    packed = decontaminate.ItemAutomaton([("a", words.hash_text(text, words.LETTERS))], 10).packed()
+    assert len(packed) < 20 * len(text)
+    monkeypatch.setattr(decontaminate, "BLOCK_TEXT", 400)
+    found_items = [(i, f"{i} a b c d e f g h i j k {i}") for i in range(100)]
+    benchmark = spark.createDataFrame(found_items, ITEMS)
+    built = []
+    monkeypatch.setattr(decontaminate.ItemAutomaton, "_pack", lambda self: built.append(self))
+    sent = list(decontaminate._blocks_of_items(benchmark, "item_id", "text", 10))
+    assert len(sent) > 3 and not built
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], ITEMS)
     assert decontaminate.contamination(fixtures.documents(spark), none).where("contamination.n_hit > 0").count() == 0

@@ -4,15 +4,22 @@ The words of all benchmark items form one automaton whose states stand for all r
 Documents are streamed through it: after each word the state tells the longest run that ends there and occurs in an
 item.  Where that run is at least a window long, its last window is contaminated.
 
-The items are a stated query set.  They are cut into blocks of at most ``BLOCK_TEXT`` characters of item text; each
-block becomes one automaton of bounded size, which is sent to all tasks, and all documents pass by each.  Documents are never
-shuffled for one block, and only rows with hits are grouped for several.
+The items are a stated query set.  They are cut into blocks of about ``BLOCK_TEXT`` characters of item text; a task
+builds one automaton of each block and packs it into arrays of some 15 bytes a character, which are broadcast, one block
+after the other, and all documents pass by each.  Documents are never shuffled for one block, and only rows with hits are
+grouped for several.
 """
 
 from __future__ import annotations
 
+import pickle
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -22,7 +29,7 @@ from tillmark.llm.shared import stored
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
-BLOCK_TEXT = 8_000_000
+BLOCK_TEXT = 4_000_000
 
 FOUND = "n_words long, n_hit long, longest long, items array<string>, spans array<struct<start: long, end: long>>"
 
@@ -55,6 +62,35 @@ class ItemAutomaton:
         self.short_state = [-1] * len(self.size)
         for v in sorted(range(1, len(self.size)), key=self.size.__getitem__):
             self.short_state[v] = v if v in self.short else self.short_state[self.link[v]]
+        self._pack()
+
+    def _pack(self) -> None:
+        """The finished automaton in arrays: steps by (state, word), owners by state, in their order."""
+        keys = np.fromiter((state << 32 | word for state, own in enumerate(self.steps) for word in own), np.int64)
+        targets = np.fromiter((to for own in self.steps for to in own.values()), np.int32)
+        order = np.argsort(keys)
+        self.edges, self.targets = array("q", keys[order].tobytes()), array("i", targets[order].tobytes())
+        windows = [(state, number) for state in sorted(self.windows) for number in sorted(self.windows[state])]
+        short = [(state, *one) for state in sorted(self.short) for one in self.short[state]]
+        self.window_at, self.window_item = (array("i", [row[i] for row in windows]) for i in range(2))
+        self.short_at, self.short_size, self.short_item = (array("i", [row[i] for row in short]) for i in range(3))
+        self.link, self.size = array("i", self.link), array("i", self.size)
+        self.window_state, self.short_state = array("i", self.window_state), array("i", self.short_state)
+        del self.steps, self.windows, self.short
+
+    def packed(self) -> bytes:
+        return pickle.dumps(vars(self) | {"vocabulary": self.vocabulary.hashes})
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> ItemAutomaton:
+        own = cls.__new__(cls)
+        vars(own).update(pickle.loads(data))
+        own.vocabulary = words.Vocabulary(own.vocabulary)
+        return own
+
+    @staticmethod
+    def _rows_of(state: int, states: array) -> range:
+        return range(bisect_left(states, state), bisect_left(states, state + 1))
 
     def _extend(self, last: int, word: int) -> int:
         known = self.steps[last].get(word)
@@ -108,14 +144,15 @@ class ItemAutomaton:
 
     def stream(self, sequence: list[int]) -> tuple[list[tuple[int, int]], set[int], int]:
         """Windows that occur in a run of known words (from, to), the items they belong to, the longest match."""
-        steps, link, size, window = self.steps, self.link, self.size, self.window
+        edges, targets, link, size, window = self.edges, self.targets, self.link, self.size, self.window
         state = length = longest = 0
         hits, items = [], set()
         for place, word in enumerate(sequence, 1):
             while True:
-                target = steps[state].get(word)
-                if target is not None:
-                    state, length = target, length + 1
+                key = state << 32 | word
+                at = bisect_left(edges, key)
+                if at < len(edges) and edges[at] == key:
+                    state, length = targets[at], length + 1
                     break
                 if state == 0:
                     length = 0
@@ -126,13 +163,14 @@ class ItemAutomaton:
                 longest = length
             if length >= window:
                 hits.append((place - window, place))
-                items |= self.windows[self.window_state[state]]
+                items.update(self.window_item[i] for i in self._rows_of(self.window_state[state], self.window_at))
             at = self.short_state[state] if state else -1
             while at > 0:
-                for count, number in self.short[at]:
+                for i in self._rows_of(at, self.short_at):
+                    count = self.short_size[i]
                     if length >= count:
                         hits.append((place - count, place))
-                        items.add(number)
+                        items.add(self.short_item[i])
                 at = self.short_state[link[at]]
         return hits, items, longest
 
@@ -208,15 +246,28 @@ def clean(text: str, automaton: ItemAutomaton) -> str:
         text = cut(text, spans)
 
 
-def _blocks_of_items(benchmark: DataFrame, id_column: str, text_column: str, window: int) -> list[ItemAutomaton]:
+def _blocks_of_items(
+    benchmark: DataFrame, id_column: str, text_column: str, window: int
+) -> Iterator[Broadcast[bytes]]:
+    """One broadcast automaton after the other; the driver holds one packed automaton at a time."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col(id_column).cast("string").alias("id"), F.col(text_column).alias("text"))
     items = items.where(F.length("text") > 0)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-total // BLOCK_TEXT) or 1
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
+
+    def build(block: pa.Table) -> pa.Table:
+        rows = zip(block["id"].to_pylist(), block["text"].to_pylist())
+        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+        automaton = ItemAutomaton([(name, words.hash_text(text, words.LETTERS)) for name, text in rows], window)
+        return pa.table({"part": block["part"].slice(0, 1), "automaton": pa.array([automaton.packed()], pa.binary())})
+
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int").alias("part")
+    blocks = items.distinct().select("id", "text", part).groupBy("part")
+    built = stored(blocks.applyInArrow(build, "part int, automaton binary"))
     for number in range(parts):
-        rows = items.where(part == number).distinct().orderBy("id", "text").collect()  # at most about BLOCK_TEXT
-        yield ItemAutomaton([(r.id, words.hash_text(r.text, words.LETTERS)) for r in rows], window)
+        row = built.where(F.col("part") == number).first()
+        yield spark.sparkContext.broadcast(bytes(row.automaton) if row else ItemAutomaton([], window).packed())
 
 
 def contamination(
@@ -242,12 +293,13 @@ def contamination(
     return _several(documents, text_column, results)
 
 
-def _streamed(documents: DataFrame, text_column: str, automaton: ItemAutomaton) -> DataFrame:
+def _streamed(documents: DataFrame, text_column: str, sent: Broadcast[bytes]) -> DataFrame:
     kind = StructType.fromDDL(FOUND)
     schema = StructType([*documents.schema.fields, StructField("contamination", kind)])
     names = [f.name for f in kind.fields]
 
     def stream(batches):
+        automaton = ItemAutomaton.unpacked(sent.value)
         for batch in batches:
             rows = scan(batch.column(batch.schema.get_field_index(text_column)), automaton)
             columns = [[r[i] for r in rows] for i in range(4)]
@@ -345,7 +397,7 @@ def decontaminated(
     return _cleaned_by_all(documents, text_column, automata, max_coverage)
 
 
-def _cleaned_by_all(documents: DataFrame, text_column: str, automata: list[ItemAutomaton], max_coverage: float) -> DataFrame:
+def _cleaned_by_all(documents: DataFrame, text_column: str, automata: list[Broadcast[bytes]], max_coverage: float) -> DataFrame:
     """Rounds over all blocks of items; each sees only the texts that the one before has cut."""
     texts = documents.select(F.col(text_column).alias("_now"))
     hits = stored(_hits_by_text("_now", [_streamed(texts, "_now", a) for a in automata]))
@@ -377,8 +429,11 @@ def _cut(found: DataFrame) -> DataFrame:
     return found.select("_was", "_text", "_spans").mapInArrow(stream, "_was string, _now string")
 
 
-def _cleaned(documents: DataFrame, text_column: str, automaton: ItemAutomaton, max_coverage: float) -> DataFrame:
+def _cleaned(
+    documents: DataFrame, text_column: str, sent: Broadcast[bytes], max_coverage: float
+) -> DataFrame:
     def stream(batches):
+        automaton = ItemAutomaton.unpacked(sent.value)
         for batch in batches:
             at = batch.schema.get_field_index(text_column)
             column = batch.column(at)
