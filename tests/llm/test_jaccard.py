@@ -3,6 +3,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import fixtures
 from tillmark.llm import fingerprints, jaccard, words
@@ -87,6 +88,35 @@ def test_linked_sets_share_a_part():
                 assert len(np.intersect1d(*keys)), (size, len(two))
 
 
+def test_short_unrelated_sets_share_no_key():
+    """An empty part is no key of its own: texts of ten shingles that have nothing in common do not meet."""
+    parts, rng = jaccard.Parts(Fraction(9, 10)), np.random.default_rng(3)
+    for size in (10, 20):
+        sets = np.sort(rng.integers(0, 2**63, (20_000, size)).astype(np.uint64) * np.uint64(2), axis=1)
+        bounds = np.arange(0, sets.size + 1, size)
+        keys = np.concatenate(parts(None, sets.reshape(-1), bounds, np.ones(len(sets), bool)))
+        assert len(np.unique(keys)) == len(keys)
+
+
+def test_many_short_sets_of_one_group_are_tiled(spark):
+    """Sets of one hot block count by their number: with few shingles each they still do not meet in one task."""
+    members = spark.range(9_000).select(F.col("id").alias("set_id"), F.lit(1).alias("grp"), F.lit(12).alias("n"))
+    places = jaccard._tiles(members, jaccard.Parts(Fraction(9, 10))).select("set_id", F.inline("places"))
+    sizes = places.groupBy("tile").agg(F.count_distinct("set_id").alias("n")).collect()
+    assert max(r.n for r in sizes) <= 2 * jaccard.TILE_SHINGLES / jaccard.SET_WEIGHT * 1.1
+    assert places.select("set_id").distinct().count() == 9_000
+
+
+def test_copies_of_one_set_are_spread(spark):
+    """Neither a text of very many rows nor one repeated row gathers under one (set, salt)."""
+    rows = [(None, "one two three four five", "en", "a", 0)] * 3000 + [(i, "six seven eight nine ten", "en", "a", 0) for i in range(3000)]
+    documents = spark.createDataFrame(rows, fixtures.SCHEMA).repartition(3)
+    found = jaccard.keyed(documents, "doc_id", "text", 3, jaccard.Parts(Fraction(9, 10)))
+    assert max(r["count"] for r in found.groupBy("set_id", "salt").count().collect()) < 60
+    out = jaccard.linked(documents).groupBy("component_id").count().collect()
+    assert {r.component_id: r["count"] for r in out} == {None: 3000, 0: 3000}
+
+
 def test_tree_join_equals_all_pairs():
     rng = np.random.default_rng(4)
     pool = words.mix(np.arange(4000, dtype=np.uint64))

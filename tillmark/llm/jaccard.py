@@ -7,7 +7,8 @@ exact and runs in four steps.
 2. *Blocks.*  Linked sets of *a* and *b* shingles differ in at most ``D = (a + b)(1 - t)/(1 + t)`` shingles.  The hash
    space is cut into more than *D* parts, so linked sets agree completely in at least one part.  A set's parts are its
    block keys.  Parts that hold hardly a shingle say little; some are left out, and as many parts more than needed are
-   cut, so that one that says more always remains.  How many parts there are depends on the size class of the set, and
+   cut, so that one that says more always remains.  An empty part says nothing but that all shingles are in the others: it
+   is replaced by the parts of another cut of the whole set, of which linked sets agree in one for the same reason.  How many parts there are depends on the size class of the set, and
    every set is cut for its own class and the next one.  (For thresholds well below 0.9 the parts get too small to say
    anything; another source of block keys can be given, such as MinHash bands.)
 3. *Groups.*  Sets that share a block are candidates; connected candidates form a group.  Large groups are cut into
@@ -35,9 +36,13 @@ from tillmark.llm.shared import stored, text_key
 SHINGLE = 3
 THRESHOLD = Fraction(90, 100)
 TILE_SHINGLES = 2_000_000  # 16 MB of sets
+# What a set adds to a tile besides its shingles: at most 4,000 sets meet in a task, as their pairs may have to be looked at.
+SET_WEIGHT = 500
+SALTS = 256  # over which the copies of one set are spread
 LEAF, FANOUT = 8, 4
 TREE_BITS, LEAST_BITS = 1 << 29, 1 << 10
 WEAK = 3  # a part with fewer shingles says little
+DEPTH = 3  # how often an empty part is replaced by parts of another cut
 
 Signer = Callable[[words.Block, np.ndarray, np.ndarray, np.ndarray], list[np.ndarray]]
 
@@ -91,11 +96,30 @@ class Parts:
                 at = np.concatenate(([0], np.searchsorted(own, edges), [high - low]))
                 keys = words.mix((sums[low + at[1:]] - sums[low + at[:-1]]) ^ names)
                 weak = np.diff(at) < WEAK
-                found.append(keys[~weak] if weak.sum() <= spare else keys)
+                if weak.sum() <= spare:
+                    found.append(keys[~weak])
+                    continue
+                empty = np.diff(at) == 0
+                found.append(keys[~empty])
+                found.extend(_cut_again(own, name, edges, DEPTH) for name in names[empty])
             out[row] = np.concatenate(found)
         return out
 
 
+def _cut_again(own: np.ndarray, name: np.uint64, edges: np.ndarray, depth: int) -> np.ndarray:
+    """Keys of the parts of another cut of a set, which ``name`` decides; what is empty there is cut again."""
+    other = np.sort(words.mix(own ^ name))
+    sums = np.zeros(len(other) + 1, np.uint64)
+    np.cumsum(words.mix(other), out=sums[1:])
+    at = np.concatenate(([0], np.searchsorted(other, edges), [len(other)]))
+    names = words.mix(np.arange(len(edges) + 1, dtype=np.uint64) ^ name)
+    keys = words.mix((sums[at[1:]] - sums[at[:-1]]) ^ names)
+    empty = np.diff(at) == 0
+    if depth == 1 or not empty.any():
+        return keys
+    return np.concatenate([keys[~empty], *(_cut_again(own, one, edges, depth - 1) for one in names[empty])])
+
+
 def _sets(block: words.Block, size: int):
     """Set hashes, bounds, and one number for each whole set."""
     hashes, bounds = words.distinct_sets(block, size)
@@ -114,12 +138,16 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def keyed(documents: DataFrame, id_column: str, text_column: str, size: int, signer: Signer) -> DataFrame:
-    """id, text_key, set_id, n and the block keys of every row; a set that a batch repeats has its keys once."""
+    """id, text_key, set_id, n, salt and the block keys of every row; a set that a batch repeats has its keys once.
+
+    The salt is a running number, so that copies, repeated rows included, are spread.
+    """
     rows = documents.select(
         F.col(id_column).alias("id"), text_key(F.col(text_column)).alias("text_key"), F.col(text_column).alias("text")
     )
 
     def keys(batches):
+        count = 0
         for batch in batches:
             seen: set[int] = set()
             for block in words.blocks(batch.column(2), words.SOLID):
@@ -130,12 +158,14 @@ def keyed(documents: DataFrame, id_column: str, text_column: str, size: int, sig
                 wanted &= ~np.isin(whole, list(seen)) if seen else True
                 seen.update(whole[wanted].tolist())
                 part = batch.slice(block.first, block.last - block.first)
-                arrays = [part.column(0), part.column(1), pa.array(whole), pa.array(counts)]
+                salt = ((count + np.arange(len(whole))) % SALTS).astype(np.int32)
+                count += len(whole)
+                arrays = [part.column(0), part.column(1), pa.array(whole), pa.array(counts), pa.array(salt)]
                 arrays.append(_lists(signer(block, hashes, bounds, wanted)))
-                yield pa.RecordBatch.from_arrays(arrays, ["id", "text_key", "set_id", "n", "keys"])
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "text_key", "set_id", "n", "salt", "keys"])
 
     kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(keys, f"id {kind}, text_key long, set_id long, n long, keys array<long>")
+    return rows.mapInArrow(keys, f"id {kind}, text_key long, set_id long, n long, salt int, keys array<long>")
 
 
 def _candidates(batches):
@@ -289,15 +319,16 @@ def joined_group(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], num
 def _tiles(members: DataFrame, parts: Parts) -> DataFrame:
     """members (set_id, grp, n) with the groups they are compared in: (tile, side), several for sets of large groups.
 
-    A group within ``TILE_SHINGLES`` is one tile.  Otherwise each size class is hashed into tiles of about that weight,
+    A group within ``TILE_SHINGLES``, each set counted as ``SET_WEIGHT`` more than it has, is one tile.  Otherwise each size class is hashed into tiles of about that weight,
     and every tile meets itself, the other tiles of its class and those of the next class.
     """
     t = parts.threshold
     size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(float(1 / t)))).cast("int")
     members = members.withColumn("cls", size_class)
-    weight = members.groupBy("grp").agg(F.sum("n").alias("total"))
+    heavy = F.sum(F.col("n") + SET_WEIGHT)
+    weight = members.groupBy("grp").agg(heavy.alias("total"))
     buckets = members.groupBy("grp", "cls").agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("buckets")
+        F.greatest(F.lit(1), F.ceil(heavy / TILE_SHINGLES)).cast("int").alias("buckets")
     )
     after = buckets.select("grp", (F.col("cls") - 1).alias("cls"), F.col("buckets").alias("next_buckets"))
     before = buckets.select("grp", (F.col("cls") + 1).alias("cls"), F.col("buckets").alias("last_buckets"))
@@ -392,15 +423,18 @@ def linked(
     """
     rows = stored(keyed(documents, id_column, text_column, size, signer or Parts(threshold)))
     found = linked_sets(rows, documents, id_column, text_column, size, threshold)
-    ids = rows.where("n > 0").groupBy("set_id").agg(F.min("id").alias("set_min"))
+    salted = rows.where("n > 0").groupBy("set_id", "salt").agg(F.min("id").alias("salt_min"))
+    ids = salted.groupBy("set_id").agg(F.min("salt_min").alias("set_min"))
     smallest = found.join(ids, "set_id").groupBy("component").agg(F.min("set_min").alias("component_min"))
     wider = found.join(smallest, "component").select("set_id", "component_min")
     names = ids.join(wider, "set_id", "left").select(
         F.col("set_id"), F.coalesce("component_min", "set_min").alias("name")
     )
     own = F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("id"))
+    # A set meets its name at most once for each salt, and its copies meet it by salt: none gathers in one task.
+    spread = salted.select("set_id", "salt").join(names, "set_id")
+    full = rows.where("n > 0").drop("keys").join(spread, ["set_id", "salt"], "left")
     # Rows without a shingle would all meet under one key.
-    full = rows.where("n > 0").drop("keys").join(names, "set_id", "left")
     bare = rows.where("n = 0").drop("keys").withColumn("name", F.col("id"))
     return full.select(bare.columns).unionByName(bare).select(
         F.col("id").alias(id_column), "text_key", F.col("n").alias("n_shingles"), own.alias("component_id")
