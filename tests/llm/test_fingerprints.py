@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import fixtures
 from tillmark.llm import fingerprints, words
@@ -36,6 +37,29 @@ def test_edited_texts_and_likeness(spark, extra):
     assert {5, 6} <= next(ids for ids in prints.values() if 5 in ids)
 
 
+def sent(documents, **more):
+    rows = fingerprints.edit_compared(documents, **more).drop("fingerprint", "edited_fingerprint")
+    return sorted(map(tuple, rows.collect()), key=repr)
+
+
+def test_runs_change_nothing(spark):
+    """Runs of a row each, ids of other types, and a row that a third of the table repeats."""
+    hot = [(7, fixtures.rows()[7][1], "en", "a", 0)] * 25
+    documents = fixtures.documents(spark, hot)
+    want = sent(documents, run_bytes=1 << 40)
+    assert len(want) == documents.count()
+    assert sent(documents, run_bytes=1) == want
+    assert sent(documents.repartition(13), run_bytes=3000) == want
+    runs = fingerprints.with_next(documents, run_bytes=1)
+    assert runs.rdd.getNumPartitions() > 40
+    # A padded number sorts as the number does, and so does a time.
+    plain = sorted(r[1:] for r in want)
+    named = documents.withColumn("doc_id", F.lpad(F.col("doc_id").cast("string"), 9, "0"))
+    dated = documents.withColumn("doc_id", F.timestamp_seconds("doc_id"))
+    for other in (named, dated):
+        assert sorted(r[1:] for r in sent(other, run_bytes=3000)) == plain
+
+
 def test_one_row_is_followed_by_itself(spark):
     one = spark.createDataFrame([(3, "abcd", "en", "a", 4)], fixtures.SCHEMA)
     row = fingerprints.edit_compared(one).first()

@@ -11,6 +11,7 @@ on the band in Spark, and candidates are verified by the exact similarity of the
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tillmark.llm import jaccard, words
 
@@ -31,6 +32,11 @@ _random = np.random.default_rng(20240501)
 MULTIPLIERS = _random.integers(0, 1 << 32, 256, np.uint32) | np.uint32(1)
 OFFSETS = _random.integers(0, 1 << 32, 256, np.uint32)
 _PIECE = 1 << 16
+# Text of one run of consecutive documents, as much as a task should read; rows of one batch that goes out.
+RUN_BYTES = 64 << 20
+_ROWS = 10_000
+# So many code points order the rows of one id.
+HEAD = 32
 
 
 def _least(rows: np.ndarray, hashes: np.ndarray, count: int, permutations: int = PERMUTATIONS) -> np.ndarray:
@@ -121,33 +127,70 @@ def near_duplicates(
     )
 
 
-def with_next(documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``documents`` sorted by id in runs: columns id, text, _run, _border.
+def with_next(
+    documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", run_bytes: int = RUN_BYTES
+) -> DataFrame:
+    """``documents`` sorted by id in runs: columns id, text, _copies, _run, _border.
 
-    Every run is one stretch of the ascending order in one task, and ends in a border row, the row that follows its
-    last one (the very first row for the last run), which belongs to the next run.  The text is shuffled once, by run;
-    run boundaries are quantiles of the id.  Rows of one id are ordered by text; a null id comes first.
+    Every run is one stretch of the ascending order in one task, and ends in border rows, copies of the row that follows
+    its last one (the very first row for the last run), which belongs to the next run.  A run holds some ``run_bytes`` of
+    text, so their number follows the data.  Ids may be of any type that has an order; a null id comes first.  Rows of one
+    id are ordered by the first ``HEAD`` code points of their text and then by its hash, so they may be in many runs.
+    Equal rows are folded, batch by batch, into one that says how many they are.  The text is shuffled once, by run.
     """
-    spark = documents.sparkSession
-    rows = documents.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    runs = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
-    quantiles = [i / runs for i in range(1, runs)]
-    found = rows.select("id").agg(F.percentile_approx("id", quantiles, 10_000)).first()[0]  # one number for each run
-    bounds = sorted(set(found or []))
-    run = F.lit(0)
-    if bounds:
-        run = F.coalesce(F.size(F.filter(F.lit(bounds), lambda b: b <= F.col("id"))), F.lit(0))
-    placed = rows.withColumn("_run", F.when(F.col("id").isNull(), 0).otherwise(run).cast("int"))
-    named = F.struct(F.col("id").isNotNull().alias("has"), F.col("id").alias("id"))
-    firsts = sorted(placed.groupBy("_run").agg(F.min(named).alias("first")).collect())  # one row for each run
-    borders = [(firsts[i][0], firsts[(i + 1) % len(firsts)].first.id) for i in range(len(firsts))]
-    places = [F.struct(F.col("_run").alias("run"), F.lit(False).alias("border"))]
-    for own, first in borders:
-        here = F.col("id").eqNullSafe(F.lit(first))
-        places.append(F.when(here, F.struct(F.lit(own).alias("run"), F.lit(True).alias("border"))))
-    spread = placed.select("id", "text", F.explode(F.array_compact(F.array(*places))).alias("place"))
-    spread = spread.select("id", "text", F.col("place.run").alias("_run"), F.col("place.border").alias("_border"))
-    return spread.repartition(runs, "_run").sortWithinPartitions("_run", "_border", "id", "text")
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    order = ["id", "head", "hash"]
+    rows = documents.select(
+        F.col(id_column).alias("id"), F.left(text, F.lit(HEAD)).alias("head"), F.xxhash64(text).alias("hash"), text.alias("text")
+    )
+    narrow = rows.groupBy(*order).agg(F.max(F.octet_length("text")).alias("bytes"))
+    narrow = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = run_bytes  # the first row of a task opens a run
+        for batch in batches:
+            at = []
+            for place, size in enumerate(batch.column(3).to_pylist()):
+                if held >= run_bytes:
+                    at.append(place)
+                    held = 0
+                held += size
+            yield batch.select(order).take(pa.array(at, pa.int64()))
+
+    def key(row) -> tuple:
+        return row[0] is not None, *row
+
+    firsts = narrow.mapInArrow(opened, rows.select(*order).schema).toArrow()  # one short row for each run
+    bounds = sorted(map(key, zip(*(firsts.column(c).to_pylist() for c in order))))
+    runs = max(len(bounds), 1)
+    schema = StructType(
+        [
+            *rows.schema.fields,
+            StructField("_copies", LongType()),
+            StructField("_run", IntegerType()),
+            StructField("_border", BooleanType()),
+        ]
+    )
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            copies: dict[tuple, list[int]] = {}
+            for place, row in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
+                copies.setdefault(row, [place, 0])[1] += 1
+            out = []
+            for row, (place, count) in copies.items():
+                own = key(row[:3])
+                run = bisect_right(bounds, own) - 1
+                out.append((place, count, run, False))
+                if bounds[run] == own:
+                    out.append((place, 1, (run - 1) % runs, True))
+            if out:
+                at, *added = map(list, zip(*out))
+                added = [pa.array(v, t) for v, t in zip(added, (pa.int64(), pa.int32(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at)).columns, *added], schema.names)
+
+    spread = rows.mapInArrow(placed, schema).repartitionById(runs, F.col("_run"))
+    return spread.sortWithinPartitions("_run", "_border", *order, "text").drop("head", "hash")
 
 
 def edited(text: str, following: str) -> str:
@@ -156,14 +199,17 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def edit_compared(documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def edit_compared(
+    documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", run_bytes: int = RUN_BYTES
+) -> DataFrame:
     """Every row with its text's fingerprint, that of the text edited with the next row's, and their likeness.
 
     Columns: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.  The row after the
     last is the first, so a single row is followed by itself; a null text counts as empty; repeated rows follow each
-    other.
+    other, each with a row of its own in the result.  Order among rows of one id: see ``with_next``.  An empty table gives
+    none; long texts are taken whole, and a row is held with its next one only.
     """
-    rows = with_next(documents, id_column=id_column, text_column=text_column)
+    rows = with_next(documents, id_column=id_column, text_column=text_column, run_bytes=run_bytes)
     schema = StructType(
         [
             StructField(id_column, rows.schema["id"].dataType),
@@ -180,28 +226,35 @@ def edit_compared(documents: DataFrame, *, id_column: str = "doc_id", text_colum
         waiting = None  # a row whose next one comes with the next batch
         for batch in batches:
             prints = fingerprints(batch.column(1))
-            ids, texts, runs, borders = (c.to_pylist() for c in batch.columns)
+            ids, texts, copies, runs, borders = (c.to_pylist() for c in batch.columns)
             if waiting is not None:
-                ids.insert(0, waiting[0]), texts.insert(0, waiting[1])
-                runs.insert(0, waiting[2]), borders.insert(0, waiting[3])
-                prints = np.concatenate([waiting[4][None], prints])
-            at = [i for i in range(len(ids) - 1) if not borders[i] and runs[i] == runs[i + 1]]
+                for column, value in zip((ids, texts, copies, runs, borders), waiting):
+                    column.insert(0, value)
+                prints = np.concatenate([waiting[-1][None], prints])
             if len(ids):
-                waiting = (ids[-1], texts[-1], runs[-1], borders[-1], prints[-1])
+                waiting = (ids[-1], texts[-1], copies[-1], runs[-1], borders[-1], prints[-1])
+            at = [i for i in range(len(ids) - 1) if not borders[i] and runs[i] == runs[i + 1]]
             if not at:
                 continue
-            new = [edited(texts[i], texts[i + 1]) for i in at]
+            # All copies of a row but one are followed by a copy.
+            pairs = [(i, i + 1, 1) for i in at] + [(i, i, copies[i] - 1) for i in at if copies[i] > 1]
+            first, then, times = (np.array(column) for column in zip(*pairs))
+            new = [edited(texts[i], texts[j]) for i, j, _ in pairs]
             changed = fingerprints(pa.array(new, pa.large_string()))
-            own, following = prints[at], prints[np.array(at) + 1]
+            own, following = prints[first], prints[then]
             columns = [
-                pa.array([ids[i] for i in at], batch.schema.field(0).type),
-                pa.array([len(texts[i]) for i in at], pa.int64()),
+                pa.array([ids[i] for i in first], batch.schema.field(0).type),
+                pa.array([len(texts[i]) for i in first], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in new]),
                 pa.array([f.tobytes().hex() for f in own]),
                 pa.array([f.tobytes().hex() for f in changed]),
                 pa.array(likeness(own, changed)),
                 pa.array(likeness(own, following)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+            found = pa.RecordBatch.from_arrays(columns, schema.names)
+            ends = np.cumsum(times)
+            for start in range(0, int(ends[-1]), _ROWS):
+                asked = np.arange(start, min(start + _ROWS, ends[-1]))
+                yield found.take(pa.array(np.searchsorted(ends, asked, side="right")))
 
     return rows.mapInArrow(compare, schema)
