@@ -120,6 +120,49 @@ def test_upsert_touches_only_some_partitions(spark, tmp_path):
         sinks.upsert_partitions(place, batch.union(batch), ("k",), ("year",))
 
 
+def rows_read(df):
+    """Rows that the scan gave on, after row groups were left out."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+
+def test_row_groups_without_a_key_are_not_read(spark, tmp_path):
+    ids = spark.range(60_000).select(F.md5(F.col("id").cast("string")).alias("k"), F.lit(1).alias("v"))
+    # A part for each first digit.  Their ranges part; within a part only the Bloom filter can say that a key is absent.
+    parts = ids.withColumn("p", F.col("k").substr(1, 1))
+    with_bloom = sinks.write_table(parts.repartition(16, "p"), str(tmp_path / "a"), ("p",), found_by=("k",))
+    without = sinks.write_table(parts.repartition(16, "p"), str(tmp_path / "b"), ("p",))
+    one = spark.createDataFrame([("7" * 32,)], "k string")  # in the range of a part, but absent
+    for table in (with_bloom, without):
+        assert sinks.near_keys(table, one, "k").count() == 0
+    whole = sinks.write_table(ids.coalesce(1), str(tmp_path / "c"), found_by=("k",))
+    plain = sinks.write_table(ids.coalesce(1), str(tmp_path / "d"))
+    many = spark.range(20).select(F.concat(F.lit("7"), F.md5(F.col("id").cast("string")).substr(2, 31)).alias("k"))
+    many = many.join(ids, "k", "left_anti")
+    for absent in (one, many):
+        assert rows_read(sinks.near_keys(whole, absent, "k")) == 0 < rows_read(sinks.near_keys(plain, absent, "k"))
+    # Ranges alone: the parts that a large batch lies in.
+    third = ids.where(F.col("k").startswith("3"))
+    found = sinks.near_keys(with_bloom, third, "k", named=10)
+    assert rows_read(found) == third.count() == found.count()
+    # After an upsert the rewritten part has its filters again.
+    after = sinks.upsert_partitions(str(tmp_path / "a"), one.selectExpr("k", "2 as v", "'7' as p"), ("k",), ("p",))
+    assert after.count() == 60_001
+    assert sinks.near_keys(after, one, "k").collect()[0].v == 2
+
+
+def test_near_keys_lose_no_row(spark):
+    rows = [(None, 1), ("a", 2), ("b", 3), ("c", 4), ("d", 5), ("", 6)]
+    target = spark.createDataFrame(rows, "k string, v int")
+    for keys in ([], [None], ["b"], ["b", None], ["b", "d"], ["", "d", None], ["x"]):
+        batch = spark.createDataFrame([(k,) for k in keys], "k string")
+        for named in (0, 1, 9):
+            kept = {r.k for r in sinks.near_keys(target, batch, "k", named).collect()}
+            assert {k for k, _ in rows if k in keys} <= kept, (keys, named)
+            if named == 9:
+                assert kept <= set(keys)
+
+
 def test_models_without_lookups(spark, workspace):
     from tillmark.plans.workspace import Workspace
 

@@ -31,6 +31,8 @@ REFRESH_ORDER = (
 )
 
 # Tables that are stored by month: sales reports and upserts touch only the months they are about.
+# Tables whose rows an upsert looks up.
+FOUND_BY = dict.fromkeys(("st_sales", "fct_sales_summary"), ("sales_id",))
 STORED_BY = dict.fromkeys(("st_sales", "fct_sales_summary", "mart_sales_summary"), ("year", "month"))
 
 # Tables that are stored with their load time, and the column that holds it.
@@ -135,7 +137,8 @@ class Workspace:
             if name in MODEL_OUTPUTS:
                 stored = sinks.drop_and_write(frame, place, seen, *measures)
             else:
-                stored = sinks.write_table(frame, place, STORED_BY.get(name, ()), seen, *measures)
+                by, found_by = STORED_BY.get(name, ()), FOUND_BY.get(name, ())
+                stored = sinks.write_table(frame, place, by, seen, *measures, found_by=found_by)
             self.measured[name] = seen.get
             if most is not None:
                 quality.require_limits(name, self.measured[name], most)
@@ -155,7 +158,7 @@ class Workspace:
             by = STORED_BY["st_sales"]
             owners = ("customer_id", "salesperson_id", *by)
             replaced = batch.sparkSession.read.parquet(f"{folder}/st_sales").select("sales_id", *owners)
-            replaced = facts.only(replaced, lines, "sales_id")
+            replaced = facts.only(sinks.near_keys(replaced, lines, "sales_id"), lines, "sales_id")
             touched = checkpointed(replaced.select(*owners).unionByName(lines.select(*owners)).distinct())
             self._stored["st_sales"] = sinks.upsert_partitions(f"{folder}/st_sales", lines, ("sales_id",), by)
             fact = facts.fct_sales_summary(

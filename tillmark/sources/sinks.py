@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators.durable import checkpointed
@@ -13,17 +13,30 @@ from tillmark.sources import schemas
 from tillmark.sources.readers import judged, load_raw, raw_files, read_table, table_name
 
 
+def with_filters(writer: DataFrameWriter, columns: tuple[str, ...]) -> DataFrameWriter:
+    """``writer`` that gives every row group a Bloom filter of each column, sized by what it holds (1 MB at most)."""
+    for column in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true") if columns else writer
+
+
 def write_table(
-    df: DataFrame, target: str, partition_by: tuple[str, ...] = (), observed: Observation | None = None, *measures
+    df: DataFrame,
+    target: str,
+    partition_by: tuple[str, ...] = (),
+    observed: Observation | None = None,
+    *measures,
+    found_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Replace a whole table (parquet folder or catalog table) and return a frame that reads it.
 
     Reading back cuts the lineage: a later failure re-reads the table instead of rebuilding everything above it.
-    ``measures`` are aggregates over the rows, gathered into ``observed`` by the write itself.
+    ``measures`` are aggregates over the rows, gathered into ``observed`` by the write itself.  Rows are looked up by
+    the columns ``found_by`` (``near_keys``).
     """
     if observed is not None:
         df = df.observe(observed, *measures)
-    writer = df.write.mode("overwrite")
+    writer = with_filters(df.write.mode("overwrite"), found_by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if "/" in target:
@@ -140,23 +153,51 @@ def require_unique(batch: DataFrame, *keys: str) -> DataFrame:
     return batch
 
 
+# So many keys of a batch are named to the scan; a few kilobytes in the plan.
+NAMED = 1000
+
+
+def near_keys(target: DataFrame, batch: DataFrame, key: str, named: int = NAMED) -> DataFrame:
+    """The rows of ``target`` that can have a key of ``batch``: never fewer, mostly not many more.
+
+    A scan answers the condition from its row groups' Bloom filters and smallest and largest values, so most of a large
+    table is not read.  Up to ``named`` keys are named; of a larger batch the smallest and largest key bound the scan.
+    Null keys count as keys.  What is kept still has to meet the batch.
+    """
+    spark = target.sparkSession
+    seen = [row[0] for row in batch.select(key).distinct().limit(named + 1).collect()]
+    if len(seen) <= named:
+        # A scan is given no more than the range of a list that is longer than this.
+        threshold = "spark.sql.parquet.pushdown.inFilterThreshold"
+        spark.conf.set(threshold, max(named, int(spark.conf.get(threshold))))
+        near, null = F.col(key).isin([k for k in seen if k is not None]), None in seen
+    else:
+        low, high, nulls = batch.agg(F.min(key), F.max(key), F.count_if(F.col(key).isNull())).first()
+        near, null = F.col(key).between(F.lit(low), F.lit(high)), nulls > 0
+    return target.where(near | F.col(key).isNull() if null else near)
+
+
 def upsert_partitions(path: str, batch: DataFrame, keys: tuple[str, ...], partition_by: tuple[str, ...]) -> DataFrame:
     """Upsert into a stored, partitioned table; only partitions that the batch's rows are in, or were in, are rewritten.
 
+    Replaced rows are looked for where row groups may have them (``near_keys``); what is written can be found so too.
     """
     spark = batch.sparkSession
     require_unique(batch, *keys)
     target = spark.read.parquet(path)
     batch = batch.select(target.columns)
     same = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-    was_in = target.select(*keys, *partition_by).alias("t").join(batch.select(*keys).alias("b"), same, "left_semi")
+    near = reduce(lambda rows, key: near_keys(rows, batch, key), keys, target)
+    was_in = near.select(*keys, *partition_by).alias("t").join(batch.select(*keys).alias("b"), same, "left_semi")
     touched = checkpointed(was_in.select(*partition_by).union(batch.select(*partition_by)).distinct())
     here = reduce(lambda a, b: a & b, [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partition_by])
     old = target.alias("t").join(touched.alias("p"), here, "left_semi").select("t.*")
-    return overwrite_partitions(path, upsert(old, batch, *keys), touched, partition_by)
+    return overwrite_partitions(path, upsert(old, batch, *keys), touched, partition_by, keys)
 
 
-def overwrite_partitions(path: str, rows: DataFrame, touched: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+def overwrite_partitions(
+    path: str, rows: DataFrame, touched: DataFrame, partition_by: tuple[str, ...], found_by: tuple[str, ...] = ()
+) -> DataFrame:
     """Replace the partitions that ``touched`` lists by ``rows``, which may be made from the table itself.
 
     They are stored aside first, so a failure before the last step leaves the table as it was.
@@ -167,7 +208,7 @@ def overwrite_partitions(path: str, rows: DataFrame, touched: DataFrame, partiti
     # A partition that keeps no row is not overwritten by the writer and has to go by itself.
     emptied = touched.join(new.select(*partition_by).distinct(), list(partition_by), "left_anti").collect()
     writer = new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    with_filters(writer, found_by).parquet(path)
     for row in emptied:
         gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/" + "/".join(f"{c}={row[c]}" for c in partition_by))
         gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
