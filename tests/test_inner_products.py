@@ -92,3 +92,25 @@ def test_recommendations_equal_full_scoring(spark, workspace, ratings):
     for key, (item, score) in got.items():
         assert score == pytest.approx(want[key][1], rel=1e-5)
     assert sum(got[key][0] == want[key][0] for key in got) > 0.99 * len(got)  # rounding may swap two near scores
+
+
+def test_users_are_sent_once(spark, monkeypatch):
+    """Every pair is scored, as no norm is small; what meets is users once and items once a share, not users by band."""
+    monkeypatch.setattr(inner_products, "USERS_A_SHARE", 100)
+    sent = []
+    own = inner_products._stream
+
+    def mapped(self, func, *args, **kwargs):
+        if getattr(func, "func", None) is own:
+            sent.append(self.count())
+        return original(self, func, *args, **kwargs)
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    original = DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", mapped)
+    rng = np.random.default_rng(3)
+    users, items = 1 + rng.random((300, 4)) / 9, 1 + rng.random((900, 4)) / 9
+    got = inner_products.largest_products(frame(spark, users), frame(spark, items), 5, 4, 8)
+    assert places(got) == brute(users, items, 5)
+    assert sent == [300 + 3 * (900 - 4)]
