@@ -5,8 +5,8 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tillmark.operators import ranking
-from tillmark.plans import marts
+from tillmark.operators import baskets, ranking
+from tillmark.plans import marts, recommend
 
 FACT = (
     "year int, month int, day int, customer_country string, customer_country_code string, salesperson_country string, "
@@ -60,3 +60,47 @@ def test_rows_are_ranked_without_what_follows_from_them(spark, monkeypatch):
     assert ranked.select(*rows.columns).exceptAll(rows).isEmpty() and ranked.count() == rows.count()
     weekday = F.dayofweek(F.lit(datetime.date(2001, 1, 2)))
     assert ranked.where("day = 2").where(F.col("day_of_week") == weekday).count() == 2
+
+
+LINES = (
+    "SalesDate timestamp_ntz, CustomerID bigint, ProductID bigint, TotalPrice decimal(18,4), Quantity bigint, "
+    "Discount decimal(18,4), TransactionNumber string"
+)
+
+
+def test_the_fallback_reads_sales_once_and_stores_what_it_reads_again(spark, monkeypatch):
+    """Sales were built twice, and all partners and purchases were sent to meet the few anchors that are left open."""
+    stored = []
+
+    def kept(df):
+        stored.append(df.columns)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(recommend, "checkpointed", kept)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    day, one = datetime.datetime(2001, 1, 1), Decimal(1)
+    rows = [(day, c, (c * 7 + 3 * k) % 40, one, 1, one, f"{c}-{k % 4}") for c in range(12) for k in range(16)]
+    sales = spark.createDataFrame(rows, LINES).mapInArrow(seen, LINES)
+    products = spark.range(40).selectExpr("id as product_id", "'p' as product_name", "id % 3 as category_id", "'c' as category_name")
+    customers = spark.range(12).selectExpr("id as customer_id", "'n' as customer_name")
+    found = recommend.heuristic_recommendations(sales, products, customers)
+    assert found.count() == 120
+    assert reads.value == len(rows)
+    assert any("_band" in columns for columns in stored)
+    owned = {(r[1], r[2]) for r in rows}
+    assert not owned & {(r.customer_id, r.product_id) for r in found.collect()}
+
+
+def test_items_of_short_baskets_do_not_carry_their_size(spark):
+    """Every item was joined with the size of its basket, to learn that hardly any basket is long."""
+    items = spark.createDataFrame([("a", 1, 1, 2), ("a", 2, 1, 3), ("b", 1, 1, 1)], "basket string, product long, lines long, units long")
+    short, long = baskets._by_size(items, tile=2)
+    assert long is None and short.columns == items.columns and "Join" not in plan(short)
+    short, long = baskets._by_size(items, tile=1)
+    assert [r.basket for r in short.collect()] == ["b"] and {(r.product, r._size) for r in long.collect()} == {(1, 2), (2, 2)}
