@@ -6,7 +6,8 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tillmark.operators import baskets, ranking
-from tillmark.plans import marts, recommend
+from tillmark.plans import facts, marts, recommend
+from tillmark.sources import sinks
 
 FACT = (
     "year int, month int, day int, customer_country string, customer_country_code string, salesperson_country string, "
@@ -104,3 +105,14 @@ def test_items_of_short_baskets_do_not_carry_their_size(spark):
     assert long is None and short.columns == items.columns and "Join" not in plan(short)
     short, long = baskets._by_size(items, tile=1)
     assert [r.basket for r in short.collect()] == ["b"] and {(r.product, r._size) for r in long.collect()} == {(1, 2), (2, 2)}
+
+
+def test_the_fact_carries_no_calendar_through_its_joins(workspace):
+    found = facts.fct_sales_summary(workspace.st_sales, workspace.st_products, workspace.st_customers, workspace.st_employees)
+    top, *below = plan(found).splitlines()
+    assert "AS day_of_week" in top and not any("AS day_of_week" in line or "AS month" in line for line in below)
+
+
+def test_stored_tables_are_packed(spark, tmp_path):
+    sinks.write_table(spark.range(3), f"{tmp_path}/t", found_by=("id",))
+    assert [p.name for p in (tmp_path / "t").glob("*.parquet")] and all(".zstd." in p.name for p in (tmp_path / "t").glob("*.parquet"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, line_profit, per_unit
+from tillmark.plans.staging import calendar
 
 
 def sale_count() -> Column:
@@ -21,8 +22,10 @@ def fct_sales_summary(
     """Sale lines with product, customer and salesperson labels and the estimated profit.
 
     Whether a dimension is broadcast is left to Spark, which sees its size at run time.  The product join comes first: lines that were
-    just priced by product are still partitioned by it where that join had to be shuffled.
+    just priced by product are still partitioned by it where that join had to be shuffled.  The calendar fields follow
+    from the time of the sale, so no join carries them.
     """
+    sales = sales.drop("year", "month", "day", "day_of_week")
     product = products.select("product_id", "product_name", "category_name", "class", "price_category", "price")
     customer = customers.select(
         "customer_id",
@@ -63,10 +66,7 @@ def fct_sales_summary(
         line_profit(F.col("total_price"), F.col("price"), F.col("quantity")).alias("estimated_profit"),
         "sales_date",
         "transaction_number",
-        "year",
-        "month",
-        "day",
-        "day_of_week",
+        *calendar("sales_date"),
     )
 
 

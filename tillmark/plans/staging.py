@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import labels
@@ -109,6 +109,16 @@ def st_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
+def calendar(time: str) -> list[Column]:
+    """The calendar fields of a sale."""
+    return [
+        F.year(time).alias("year"),
+        F.month(time).alias("month"),
+        F.dayofmonth(time).alias("day"),
+        F.dayofweek(time).alias("day_of_week"),
+    ]
+
+
 def st_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Dated sale lines with their value; the product price is the only thing taken from the product table."""
     prices = products.select(F.col("ProductID").alias("_product"), F.col("Price").alias("_price"))
@@ -123,8 +133,5 @@ def st_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
         line_total(F.col("_price"), F.col("Quantity"), F.col("Discount")).alias("total_price"),
         F.col("SalesDate").alias("sales_date"),
         F.col("TransactionNumber").alias("transaction_number"),
-        F.year("SalesDate").alias("year"),
-        F.month("SalesDate").alias("month"),
-        F.dayofmonth("SalesDate").alias("day"),
-        F.dayofweek("SalesDate").alias("day_of_week"),
+        *calendar("SalesDate"),
     )

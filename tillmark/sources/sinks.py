@@ -14,7 +14,11 @@ from tillmark.sources.readers import judged, load_raw, raw_files, read_table, ta
 
 
 def with_filters(writer: DataFrameWriter, columns: tuple[str, ...]) -> DataFrameWriter:
-    """``writer`` that gives every row group a Bloom filter of each column, sized by what it holds (1 MB at most)."""
+    """``writer`` that gives every row group a Bloom filter of each column, sized by what it holds (1 MB at most).
+
+    Stored tables are packed by zstd: half of a line is ids and hashes as text, which need the entropy coder.
+    """
+    writer = writer.option("compression", "zstd")
     for column in columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     return writer.option("parquet.bloom.filter.adaptive.enabled", "true") if columns else writer
