@@ -52,6 +52,14 @@ def test_lists_equal_all_pairs(spark, seed, n, size, products, head):
     assert listed(spark, rows, depths, tile=10, head=head) == brute(rows, depths)
 
 
+@pytest.mark.parametrize("seed, n, size, products, head", [(6, 0, 0, 30, 4), (7, 3, 50, 60, 4), (8, 2, 60, 60, 1)])
+def test_a_product_may_have_several_rows_in_a_basket(spark, seed, n, size, products, head):
+    rows = items(seed, n, size, products)
+    depths = {p: 1 + p % 9 for p in range(products)}
+    cut = [(b, p, 1, u) for b, p, lines, u in rows for _ in range(lines)]
+    assert listed(spark, cut, depths, tile=10, head=head) == brute(rows, depths)
+
+
 def test_a_lone_product_and_no_anchor(spark):
     rows = [("x", p, 1, 1) for p in range(20)] + [("y", 99, 1, 1)]
     assert listed(spark, rows, {99: 3, 5: 2}, tile=10, head=2) == {(5, 0, 1, 1), (5, 1, 1, 2)}

@@ -1,6 +1,7 @@
 """What is sent between tasks: rows once, and no more of them than a step needs."""
 
 import datetime
+from collections import Counter
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -107,6 +108,63 @@ def test_items_of_short_baskets_do_not_carry_their_size(spark):
     assert [r.basket for r in short.collect()] == ["b"] and {(r.product, r._size) for r in long.collect()} == {(1, 2), (2, 2)}
 
 
+def test_short_baskets_are_not_counted_one_by_one(spark, monkeypatch):
+    """All baskets were sent to be counted, though bins of them already hold fewer items than a long one."""
+    stored = []
+
+    def kept(df):
+        stored.append(df.columns)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(baskets, "checkpointed", kept)
+    items = spark.range(6000).selectExpr("concat('b', id div 2) as basket", "id as product", "1L as lines", "1L as units")
+    short, long = baskets._by_size(items, tile=2000)
+    assert long is None and stored == [["_bin"]] and short.count() == 6000
+    one = spark.range(900).selectExpr("'hot' as basket", "id as product", "1L as lines", "1L as units")
+    short, long = baskets._by_size(items.unionByName(one), tile=800)
+    assert short.count() == 6000 and {tuple(r) for r in long.select("basket", "_size").distinct().collect()} == {("hot", 900)}
+    assert baskets._by_size(items.where("product < 0"), tile=800)[1] is None
+
+
+def test_bought_lines_are_folded_and_a_purchase_is_marked_once(spark):
+    day, one = datetime.datetime(2001, 1, 1), Decimal(1)
+    keys = [(1, 5, "x"), (1, 5, "x"), (1, 5, "y"), (1, 6, "x"), (2, 5, "x"), (None, 5, "x"), (None, 5, "z"), (1, None, None), (1, None, None)]
+    lines = spark.createDataFrame([(day, c, p, one, 1, one, t) for c, p, t in keys], LINES)
+    rows = recommend._bought(lines).collect()
+    counts = Counter(keys)
+    assert {(r.customer_id, r.product_id, r.basket): r.lines for r in rows} == counts and len(rows) == len(counts)
+    assert Counter((r.customer_id, r.product_id) for r in rows if r.first) == Counter({k[:2] for k in keys})
+
+
+def test_a_purchase_and_its_offers_are_one_row_on_the_way_to_the_customer(spark, monkeypatch):
+    """The purchase and each of three offers were rows of their own; items were stored a second time."""
+    stored = {}
+
+    def kept(df):
+        stored[tuple(df.columns)] = plan(df)
+        return df.localCheckpoint()
+
+    for module in (recommend, baskets):
+        monkeypatch.setattr(module, "checkpointed", kept)
+    day, one = datetime.datetime(2001, 1, 1), Decimal(1)
+    rows = [(day, c, (c * 7 + 3 * k) % 40, one, 1, one, f"{c}-{k % 4}") for c in range(12) for k in range(16)]
+    products = spark.range(40).selectExpr("id as product_id", "'p' as product_name", "id % 3 as category_id", "'c' as category_name")
+    customers = spark.range(12).selectExpr("id as customer_id", "'n' as customer_name")
+    assert recommend.heuristic_recommendations(spark.createDataFrame(rows, LINES), products, customers).count() == 120
+    assert not [c for c in stored if "product" in c or "Quantity" in c]
+    judged = next(p for c, p in stored.items() if "_first" in c)
+    above, sent = judged.split("RepartitionByExpression [customer_id", 1)
+    assert "Generate" in above and "Union" not in judged and "Generate" not in sent.split("Aggregate")[0]
+    # Anchors that are not asked for more are left out before partners are sent.
+    assert ("anchor",) in stored and "LeftSemi" in stored["customer_id", "product_id", "score"]
+
+
+def test_lines_carry_no_id_through_the_join_with_their_orders(workspace):
+    """An id of its own for every line was sent only to learn whether the line is dated."""
+    below = plan(workspace.model_sales.select("CustomerID", "ProductID", "TransactionNumber")).split("Join Inner", 1)[1]
+    assert "_dated" in below and "AS SalesID" not in below
+
+
 def test_the_fact_carries_no_calendar_through_its_joins(workspace):
     found = facts.fct_sales_summary(workspace.st_sales, workspace.st_products, workspace.st_customers, workspace.st_employees)
     top, *below = plan(found).splitlines()

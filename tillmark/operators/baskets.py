@@ -11,6 +11,7 @@ several long baskets are paired among those.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,6 +22,8 @@ from tillmark.operators.durable import checkpointed
 from tillmark.operators.ranking import Ranks, desc, with_ranks
 
 TILE = 2000
+# Bins of baskets for every ``TILE`` items: rows of short baskets fill a bin to a quarter of what a long one has.
+BINS_A_TILE = 4
 # Entries of a long basket that its products meet before it is known who has to look further; any number gives the
 # same result.
 HEAD = 64
@@ -48,7 +51,7 @@ def product_pairs(items: DataFrame, min_baskets: int = 1, tile: int = TILE) -> D
 
     The items are checkpointed: both sides of the join read them, and whether there is a long basket is asked first.
     """
-    short, long = _by_size(items, tile)
+    short, long = _by_size(checkpointed(items), tile)
     ordinary = _meet(short, ["basket"])
     if long is None:
         pairs = _summed(ordinary)
@@ -78,13 +81,21 @@ def product_pairs(items: DataFrame, min_baskets: int = 1, tile: int = TILE) -> D
 
 
 def _by_size(items: DataFrame, tile: int) -> tuple[DataFrame, DataFrame | None]:
-    """The items of baskets of at most ``tile`` products, and those of longer ones with their ``_size``; stored.
+    """The stored items of baskets of at most ``tile`` rows, and those of longer ones with their ``_size``.
 
-    Only the long baskets are looked up, and those are few: no item is sent anywhere to learn that its basket is short.
+    Only the long baskets are looked up, and those are few: no item is sent anywhere to learn that its basket is short,
+    and most baskets are not counted one by one: bins of baskets are, and only those of a bin that holds more rows than
+    a basket may have.  There is at most one such bin for every ``tile`` rows.
     """
-    items = checkpointed(items)
+    bins = math.ceil(items.count() * BINS_A_TILE / tile)
+    if not bins:
+        return items, None
+    binned = items.select("basket", F.pmod(F.xxhash64("basket"), F.lit(bins)).alias("_bin"))
+    full = checkpointed(binned.groupBy("_bin").count().where(F.col("count") > tile).select("_bin"))
+    if full.isEmpty():
+        return items, None
     # Counted and joined, not windowed: a placeholder basket with a third of all lines is no window of one task.
-    sizes = items.groupBy("basket").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = binned.join(full, "_bin", "left_semi").groupBy("basket").agg(F.count(F.lit(1)).alias("_size"))
     sizes = checkpointed(sizes.where(F.col("_size") > tile))
     if sizes.isEmpty():
         return items, None
@@ -98,6 +109,9 @@ def partner_lists(items: DataFrame, depths: DataFrame, tile: int = TILE, head: i
     of at most ``tile`` products are all formed.  A longer one is a posting list of its products, most lines first:
     an anchor meets only the heads of its lists.  What stands behind all heads has at most the line pairs of the next
     entries together, so an anchor is done once its list is full of better partners; the others look further.
+
+    The items are read several times: give stored ones.  A basket may hold a product in several rows; as line pairs are
+    products of sums, the short baskets need no folding.
     """
     short, long = _by_size(items.select("basket", "product", "lines"), tile)
     ordinary = _meet(short, ["basket"], measures=("line_pairs",))
@@ -110,7 +124,8 @@ def partner_lists(items: DataFrame, depths: DataFrame, tile: int = TILE, head: i
         return _listed(known, depths).where(F.col("place") <= F.col("depth")).drop("depth")
     known = checkpointed(known)
     places = Ranks([desc("lines")], ["product"], ["basket"], row_number="at")
-    postings = checkpointed(with_ranks(long.select("basket", "product", "lines"), places))
+    long = long.groupBy("basket", "product").agg(F.sum("lines").alias("lines"))
+    postings = checkpointed(with_ranks(long, places))
     inside = postings.select(F.col("product").alias("anchor")).distinct()
     parts = [_listed(known, depths.join(inside, "anchor", "left_anti")).where(F.col("place") <= F.col("depth"))]
     searching = checkpointed(depths.join(inside, "anchor"))
