@@ -60,6 +60,22 @@ def test_a_product_may_have_several_rows_in_a_basket(spark, seed, n, size, produ
     assert listed(spark, cut, depths, tile=10, head=head) == brute(rows, depths)
 
 
+@pytest.mark.parametrize("a_bin, most", [(7, 1000), (10_000, 1000), (7, 3)])
+@pytest.mark.parametrize("n", [0, 3])
+def test_lists_are_the_same_whatever_a_task_adds_up(spark, monkeypatch, a_bin, most, n):
+    """Pairs that lie in several bins, in one, and of products that are too frequent for one task."""
+    monkeypatch.setattr(baskets, "ITEMS_A_BIN", a_bin)
+    monkeypatch.setattr(baskets, "MOST_A_PRODUCT", most)
+    rows = items(9 + n, n, 30, 12 if not n else 40)
+    depths = {p: 1 + p % 12 for p in range(0, 40, 2)}
+    assert listed(spark, rows, depths, tile=10, head=4) == brute(rows, depths)
+
+
+def test_baskets_and_products_that_are_null_have_no_partner(spark):
+    rows = [(None, 1, 1, 1), (None, 2, 1, 1), ("x", None, 1, 1), ("x", 1, 2, 1), ("x", 3, 1, 1)]
+    assert listed(spark, rows, {1: 5, 2: 5, 3: 5}) == {(1, 3, 2, 1), (3, 1, 2, 1)}
+
+
 def test_a_lone_product_and_no_anchor(spark):
     rows = [("x", p, 1, 1) for p in range(20)] + [("y", 99, 1, 1)]
     assert listed(spark, rows, {99: 3, 5: 2}, tile=10, head=2) == {(5, 0, 1, 1), (5, 1, 1, 2)}

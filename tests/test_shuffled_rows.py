@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tillmark.operators import baskets, ranking
+from tillmark.operators import baskets, durable, ranking
 from tillmark.plans import facts, marts, recommend
 from tillmark.sources import sinks
 
@@ -126,6 +126,28 @@ def test_short_baskets_are_not_counted_one_by_one(spark, monkeypatch):
     assert baskets._by_size(items.where("product < 0"), tile=800)[1] is None
 
 
+def test_a_pair_is_sent_once_and_to_its_anchor(spark, monkeypatch):
+    """Pairs were sent to be added up, and then once more, both ways, to their anchors."""
+    items = spark.range(600).selectExpr("concat('b', id div 4) as basket", "id % 50 as product", "1L as lines").localCheckpoint()
+    depths = spark.range(50).selectExpr("id as anchor", "10L as depth").localCheckpoint()
+
+    def exchanges():
+        steps = baskets.partner_lists(items, depths)._jdf.queryExecution().executedPlan().toString()
+        return [step for step in steps.split("Initial Plan")[-1].splitlines() if "Exchange hashpartitioning" in step]
+
+    sent = exchanges()
+    assert len([s for s in sent if "(anchor" in s]) == 1 and len([s for s in sent if "(_bin" in s]) == 1 and len(sent) == 2
+    # A product with so many rows that no single task is to add up its partners.
+    monkeypatch.setattr(baskets, "MOST_A_PRODUCT", 11)
+    assert [s for s in exchanges() if "low" in s and "high" in s]
+
+
+def test_stored_tables_are_packed_by_zstd(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(durable, "fresh_place", lambda spark: f"{tmp_path}/t")
+    durable.checkpointed(spark.range(10))
+    assert list((tmp_path / "t").glob("*.zstd.parquet"))
+
+
 def test_bought_lines_are_folded_and_a_purchase_is_marked_once(spark):
     day, one = datetime.datetime(2001, 1, 1), Decimal(1)
     keys = [(1, 5, "x"), (1, 5, "x"), (1, 5, "y"), (1, 6, "x"), (2, 5, "x"), (None, 5, "x"), (None, 5, "z"), (1, None, None), (1, None, None)]

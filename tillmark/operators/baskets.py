@@ -24,6 +24,9 @@ from tillmark.operators.ranking import Ranks, desc, with_ranks
 TILE = 2000
 # Bins of baskets for every ``TILE`` items: rows of short baskets fill a bin to a quarter of what a long one has.
 BINS_A_TILE = 4
+# Items of short baskets whose pairs one task adds up before it sends them, and the most rows of a product whose partners
+# one task adds up afterwards.
+ITEMS_A_BIN, MOST_A_PRODUCT = 500_000, 250_000
 # Entries of a long basket that its products meet before it is known who has to look further; any number gives the
 # same result.
 HEAD = 64
@@ -87,19 +90,26 @@ def _by_size(items: DataFrame, tile: int) -> tuple[DataFrame, DataFrame | None]:
     and most baskets are not counted one by one: bins of baskets are, and only those of a bin that holds more rows than
     a basket may have.  There is at most one such bin for every ``tile`` rows.
     """
-    bins = math.ceil(items.count() * BINS_A_TILE / tile)
-    if not bins:
+    sizes = _frequent(items, "basket", tile)
+    if sizes is None:
         return items, None
-    binned = items.select("basket", F.pmod(F.xxhash64("basket"), F.lit(bins)).alias("_bin"))
-    full = checkpointed(binned.groupBy("_bin").count().where(F.col("count") > tile).select("_bin"))
+    sizes = sizes.withColumnRenamed("_rows", "_size")
+    return items.join(sizes, "basket", "left_anti"), items.join(sizes, "basket")
+
+
+def _frequent(items: DataFrame, key: str, most: int) -> DataFrame | None:
+    """The values of ``key`` that more than ``most`` of the stored items have, with their ``_rows``; None if there is none."""
+    bins = math.ceil(items.count() * BINS_A_TILE / most)
+    if not bins:
+        return None
+    binned = items.select(key, F.pmod(F.xxhash64(key), F.lit(bins)).alias("_bin"))
+    full = checkpointed(binned.groupBy("_bin").count().where(F.col("count") > most).select("_bin"))
     if full.isEmpty():
-        return items, None
+        return None
     # Counted and joined, not windowed: a placeholder basket with a third of all lines is no window of one task.
-    sizes = binned.join(full, "_bin", "left_semi").groupBy("basket").agg(F.count(F.lit(1)).alias("_size"))
-    sizes = checkpointed(sizes.where(F.col("_size") > tile))
-    if sizes.isEmpty():
-        return items, None
-    return items.join(sizes, "basket", "left_anti"), items.join(sizes, "basket")
+    rows = binned.join(full, "_bin", "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = checkpointed(rows.where(F.col("_rows") > most))
+    return None if rows.isEmpty() else rows
 
 
 def partner_lists(items: DataFrame, depths: DataFrame, tile: int = TILE, head: int = HEAD) -> DataFrame:
@@ -114,12 +124,7 @@ def partner_lists(items: DataFrame, depths: DataFrame, tile: int = TILE, head: i
     products of sums, the short baskets need no folding.
     """
     short, long = _by_size(items.select("basket", "product", "lines"), tile)
-    ordinary = _meet(short, ["basket"], measures=("line_pairs",))
-    ordinary = ordinary.groupBy("low", "high").agg(F.sum("line_pairs").alias("line_pairs"))
-    ways = F.array(F.struct(F.col("low").alias("a"), F.col("high").alias("b")), F.struct(F.col("high").alias("a"), F.col("low").alias("b")))
-    known = ordinary.select(F.explode(ways).alias("w"), "line_pairs").select(
-        F.col("w.a").alias("anchor"), F.col("w.b").alias("related"), "line_pairs"
-    )
+    known = _partners(short, items)
     if long is None:
         return _listed(known, depths).where(F.col("place") <= F.col("depth")).drop("depth")
     known = checkpointed(known)
@@ -138,6 +143,37 @@ def partner_lists(items: DataFrame, depths: DataFrame, tile: int = TILE, head: i
     return reduce(DataFrame.unionByName, parts).drop("depth")
 
 
+def _partners(short: DataFrame, items: DataFrame) -> DataFrame:
+    """All pairs of the short baskets, both ways, with the sum of their line pairs: anchor, related, line_pairs.
+
+    Baskets meet in bins, where the pairs of a bin are added up, so that a pair is sent once, and to its anchor: there
+    the bins are added up, and the partners can be ranked.  Where a product has too many rows for that, pairs are sent
+    to be added up first, each by itself.
+    """
+    if _frequent(items, "product", MOST_A_PRODUCT) is None:
+        bins = math.ceil(items.count() / ITEMS_A_BIN) or 1
+        binned = short.where(F.col("basket").isNotNull()).withColumn("_bin", F.pmod(F.xxhash64("basket"), F.lit(bins)))
+        # Dealt by the bin alone, rows lie right for every grouping that the bin is part of.  Their bytes do not tell how
+        # many pairs they make, so bins are not put together; among four times as many tasks, few share one.
+        whole = binned.repartition(4 * bins, "_bin").groupBy("_bin", "basket").agg(F.collect_list(F.struct("product", "lines")).alias("_all"))
+        met = whole.select("_bin", "_all", F.explode("_all").alias("l")).select("_bin", "l", F.explode("_all").alias("h"))
+        met = met.where(F.col("l.product") < F.col("h.product")).select("_bin", *_pair("l", "h", ("line_pairs",)))
+        pairs = met.groupBy("_bin", "low", "high").agg(F.sum("line_pairs").alias("line_pairs"))
+        # A window, not two hash tables: its sort serves the join with the depths too.
+        same = Window.partitionBy("anchor", "related")
+        sent = _both_ways(pairs).repartition("anchor").withColumn("_at", F.row_number().over(same.orderBy("line_pairs")))
+        return sent.withColumn("line_pairs", F.sum("line_pairs").over(same)).where(F.col("_at") == 1).drop("_at")
+    met = _meet(short, ["basket"], measures=("line_pairs",))
+    return _both_ways(met.groupBy("low", "high").agg(F.sum("line_pairs").alias("line_pairs")))
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    ways = F.array(F.struct(F.col("low").alias("a"), F.col("high").alias("b")), F.struct(F.col("high").alias("a"), F.col("low").alias("b")))
+    return pairs.select(F.explode(ways).alias("w"), "line_pairs").select(
+        F.col("w.a").alias("anchor"), F.col("w.b").alias("related"), "line_pairs"
+    )
+
+
 def _listed(pairs: DataFrame, depths: DataFrame) -> DataFrame:
     """Partners numbered; an anchor has no more of them than there are products."""
     order = Window.partitionBy("anchor").orderBy(F.desc("line_pairs"), F.asc("related"))

@@ -41,7 +41,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     them: whatever reads the result must have been stored by then.
     """
     path = fresh_place(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
