@@ -146,6 +146,9 @@ def test_stored_tables_are_packed_by_zstd(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(durable, "fresh_place", lambda spark: f"{tmp_path}/t")
     durable.checkpointed(spark.range(10))
     assert list((tmp_path / "t").glob("*.zstd.parquet"))
+    monkeypatch.setattr(durable, "fresh_place", lambda spark: f"{tmp_path}/u")
+    durable.checkpointed(spark.range(10), codec=None)
+    assert list((tmp_path / "u").glob("*.parquet")) and not list((tmp_path / "u").glob("*.zstd.parquet"))
 
 
 def test_bought_lines_are_folded_and_a_purchase_is_marked_once(spark):

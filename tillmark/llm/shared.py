@@ -24,7 +24,7 @@ def stored(df: DataFrame) -> DataFrame:
 
     The files go with ``tillmark.operators.durable.scratch`` or ``release``.
     """
-    return checkpointed(df)
+    return checkpointed(df, codec=None)
 
 
 def text_key(text: Column) -> Column:

@@ -34,14 +34,15 @@ def fresh_place(spark: SparkSession) -> str:
     return path
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, codec: str | None = "zstd") -> DataFrame:
     """``df`` computed now, written once to the shared folder, and read from there from then on.
 
+    ``codec`` packs the files; None leaves that to the session.
     This runs a job, so a function that calls it is not lazy.  The files stay until ``scratch`` or ``release`` removes
     them: whatever reads the result must have been stored by then.
     """
     path = fresh_place(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
