@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmark.operators import durable
+from tillmark.plans import facts
 from tillmark.plans.workspace import Workspace
 from tillmark.sources import sinks
 
@@ -85,6 +86,17 @@ def test_intermediate_tables_go_with_their_table(spark, workspace, tmp_path, mon
     assert stored["customer_lifetime_value"].count() and space.mart_employee_performance.count()
 
 
+def test_lines_are_not_sent_for_employees(spark, workspace):
+    """The plan did not know how few they are, so the lines were sent with all their labels to meet them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        found = facts.fct_sales_summary(workspace.st_sales, workspace.st_products, workspace.st_customers, workspace.st_employees)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [salesperson_id" in plan and "SortMergeJoin [customer_id" in plan
+
+
 
 def test_a_filter_is_as_small_as_its_file(spark, tmp_path):
     """A month of one task has some thousand lines, and had a filter of 64 kB."""

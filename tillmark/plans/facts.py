@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillmark.functions import labels
 from tillmark.functions.keys import surrogate_key
 from tillmark.functions.money import exact_avg, line_profit, per_unit
+from tillmark.operators.durable import checkpointed
 from tillmark.plans.staging import calendar
 
 
@@ -21,7 +22,9 @@ def fct_sales_summary(
 ) -> DataFrame:
     """Sale lines with product, customer and salesperson labels and the estimated profit.
 
-    Whether a dimension is broadcast is left to Spark, which sees its size at run time.  The product join comes first: lines that were
+    Whether a dimension is broadcast is left to Spark, which sees its size at run time, when the lines are already sent to meet
+    it.  The employees, the smallest, are stored first: the plan knows their size, and the lines, by then at their widest,
+    are not sent for them.  The product join comes first: lines that were
     just priced by product are still partitioned by it where that join had to be shuffled.  The calendar fields follow
     from the time of the sale, so no join carries them.
     """
@@ -33,11 +36,13 @@ def fct_sales_summary(
         F.col("country_name").alias("customer_country"),
         F.col("country_code").alias("customer_country_code"),
     )
-    salesperson = employees.select(
-        F.col("employee_id").alias("salesperson_id"),
-        F.col("full_name").alias("salesperson_name"),
-        F.col("city_name").alias("salesperson_city"),
-        F.col("country_name").alias("salesperson_country"),
+    salesperson = checkpointed(
+        employees.select(
+            F.col("employee_id").alias("salesperson_id"),
+            F.col("full_name").alias("salesperson_name"),
+            F.col("city_name").alias("salesperson_city"),
+            F.col("country_name").alias("salesperson_country"),
+        )
     )
     star = (
         sales.join(product, "product_id", "left")
