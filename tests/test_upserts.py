@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmark.operators import durable
-from tillmark.plans import facts
+from tillmark.plans import facts, recommend
 from tillmark.plans.workspace import Workspace
 from tillmark.sources import sinks
 
@@ -97,6 +97,18 @@ def test_lines_are_not_sent_for_employees(spark, workspace):
     assert "BroadcastHashJoin [salesperson_id" in plan and "SortMergeJoin [customer_id" in plan
 
 
+def test_the_fit_frees_the_shuffles_of_each_iteration(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def als(**params):
+        raise Seen(params["checkpointInterval"])
+
+    monkeypatch.setattr(recommend, "ALS", als)
+    ratings = spark.createDataFrame([(1, 2, 3.0)], "customer_id bigint, product_id bigint, rating double")
+    with pytest.raises(Seen, match="1"):
+        recommend.als_recommendations(ratings, ratings, ratings)
+
 
 def test_a_filter_is_as_small_as_its_file(spark, tmp_path):
     """A month of one task has some thousand lines, and had a filter of 64 kB."""
